@@ -1,0 +1,54 @@
+"""Finding keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot above this many rows; fewer are sorted comfortably in one task.
+HOT_ROWS = 1_000_000
+# Inputs below this size cannot hold a group too large for one task.
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
+# The sketch finds every key holding more than a few parts in TRACKED of the rows.
+TRACKED = 16_384
+_COMBINERS = 128
+
+
+def key_hash(key: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in key])
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of the input."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_key_hashes(
+    df: DataFrame,
+    key: Sequence[str],
+    *,
+    hot_rows: int = HOT_ROWS,
+    small_input_bytes: int = SMALL_INPUT_BYTES,
+) -> list[int]:
+    """Hashes of the keys holding more than ``hot_rows`` rows.
+
+    One pass over the key columns with a frequent-items sketch, merged in two steps so
+    that no task receives the sketches of all scan tasks. The answer only chooses the
+    plan: a key that is missed or listed wrongly changes no result.
+    """
+    if estimated_bytes(df) < small_input_bytes:
+        return []
+    per_group = (
+        df.select(key_hash(key).alias("h"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_COMBINERS)).alias("g"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("sketch"))
+    )
+    found = (
+        per_group.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+        .select(F.explode(F.expr("approx_top_k_estimate(sketch, 4096)")).alias("top"))
+        .where(F.col("top.count") > hot_rows)
+        .select("top.item")
+    )
+    return [row[0] for row in found.collect()]

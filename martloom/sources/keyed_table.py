@@ -1,0 +1,121 @@
+"""A table kept current by upserts, published commit by commit.
+
+Rows lie in ``data/_bucket=<hash of key>/_version=<commit>``. A commit writes new
+versions of the buckets its batch touches, then appends one row to the commit log;
+readers take each bucket's newest committed version. A job that dies before the log row
+leaves the published state as it was, and repeating the batch overwrites the leftovers.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from martloom.operators.upsert import check_unique, upsert
+from martloom.sources import paths
+from martloom.sources.appended import append_rows, read_rows
+
+BUCKET, VERSION = "_bucket", "_version"
+LOG_DDL = (
+    "version long, committed_at timestamp, operation string, writer string, batch_id long,"
+    " rows_written long, buckets array<int>"
+)
+
+
+class KeyedTable:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
+        self.spark = spark
+        self.keys = list(keys)
+        self.buckets = buckets
+        self._data = paths.join(path, "data")
+        self._log = paths.join(path, "commits")
+
+    def history(self) -> DataFrame:
+        """One row per commit."""
+        return read_rows(self.spark, self._log, LOG_DDL)
+
+    def read(self, only: Sequence[int] | None = None) -> DataFrame | None:
+        """The current rows (of some buckets), or None before the first commit."""
+        current = self._current()
+        chosen = [b for b in sorted(current) if only is None or b in set(only)]
+        if not current:
+            return None
+        locations = [self._location(b, current[b]) for b in chosen or sorted(current)[:1]]
+        rows = self.spark.read.option("basePath", self._data).parquet(*locations)
+        rows = rows.drop(BUCKET, VERSION)
+        return rows if chosen else rows.limit(0)
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        *,
+        writer: str = "batch",
+        batch_id: int | None = None,
+        null_safe: bool = False,
+        batch_is_unique: bool = False,
+    ) -> int | None:
+        """Apply a batch; returns the new version, or None when there was nothing to do.
+
+        A (writer, batch_id) pair that is already committed is skipped, so a replayed
+        streaming batch changes nothing.
+        """
+        log = self.history()
+        if batch_id is not None:
+            done = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+            if log.where(done).first() is not None:
+                return None
+        if not batch_is_unique:
+            check_unique(batch, self.keys, null_safe=null_safe)
+        bucket = self._bucket_of()
+        # At most `buckets` numbers reach the driver.
+        touched = sorted(r[0] for r in batch.select(bucket.alias("b")).distinct().collect())
+        if not touched:
+            return None
+        last = log.agg(F.max("version")).first()[0]
+        version = 0 if last is None else last + 1
+        target = None if last is None else self.read(only=touched)
+        result = upsert(target, batch, self.keys, null_safe=null_safe, source_is_unique=True)
+        rows = self._write(result, version)
+        entry = (
+            version,
+            datetime.now(timezone.utc),
+            "CREATE" if last is None else "UPSERT",
+            writer,
+            batch_id,
+            rows,
+            touched,
+        )
+        append_rows(self.spark, self._log, [entry], LOG_DDL)
+        return version
+
+    def _bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _location(self, bucket: int, version: int) -> str:
+        return paths.join(self._data, f"{BUCKET}={bucket}", f"{VERSION}={version}")
+
+    def _current(self) -> dict[int, int]:
+        newest = (
+            self.history()
+            .select("version", F.explode("buckets").alias("b"))
+            .groupBy("b")
+            .agg(F.max("version").alias("version"))
+        )
+        return {r["b"]: r["version"] for r in newest.collect()}
+
+    def _write(self, rows: DataFrame, version: int) -> int:
+        """Write one version; AQE evens out the file sizes, splitting large buckets."""
+        seen = Observation()
+        placed = rows.withColumn(BUCKET, self._bucket_of()).withColumn(VERSION, F.lit(version))
+        (
+            placed.hint("rebalance", BUCKET)
+            .observe(seen, F.count("*").alias("rows"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET, VERSION)
+            .parquet(self._data)
+        )
+        return seen.get["rows"]
