@@ -15,7 +15,6 @@ from martloom.sources.registry import TableSpec
 
 STATUS = "_dq_status"
 REASON = "_reject_reason"
-REASONS = "_reject_reasons"
 HAS_NULL = "_has_null"
 
 # Status names, the separator inside a reason text, the duplicate reason.
@@ -49,23 +48,26 @@ def label(
     order = order or survivor_order(df.columns, keep=keep)
     marked = mark_duplicates(df, spec.key, order, colocate=colocate, hot=hot)
     typed = apply_casts(marked, spec.casts)
-    broken = [(DUPLICATE_REASON, F.col(DUPLICATE))]
-    broken += [(reason, F.expr(predicate)) for reason, predicate in spec.rules]
-    reasons = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in broken]))
-    is_valid = F.size(REASONS) == 0
-    labelled = (
-        typed.withColumn(REASONS, reasons)
-        .withColumn(REASON, F.concat_ws(SEPARATOR, F.col(REASONS)))
-        .withColumn(HAS_NULL, any_null(spec.null_columns or spec.key))
-        .withColumn(STATUS, F.when(is_valid, F.lit(VALID)).otherwise(F.lit(REJECTED)))
+    broken = {DUPLICATE_REASON: F.col(DUPLICATE)}
+    broken |= {reason: F.expr(predicate) for reason, predicate in spec.rules}
+    # Plain predicates rather than a look at the reason text: a reader of valid rows then
+    # needs no text, and the optimizer sees the filter on the rank.
+    is_broken = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in broken.values()])
+    labelled = typed.select(
+        "*",
+        F.when(is_broken, F.lit(REJECTED)).otherwise(F.lit(VALID)).alias(STATUS),
+        F.concat_ws(SEPARATOR, *[F.when(c, F.lit(r)) for r, c in broken.items()]).alias(REASON),
+        any_null(spec.null_columns or spec.key).alias(HAS_NULL),
     )
+    # Valid rows need no original text.
     originals = [f"{c}_raw" for c in spec.casts if f"{c}_raw" in typed.columns]
-    return labelled.withColumns({c: F.when(~is_valid, F.col(c)) for c in originals})
+    kept = {c: F.when(F.col(STATUS) == REJECTED, F.col(c)) for c in originals}
+    return labelled.withColumns(kept) if kept else labelled
 
 
 def _helpers(labelled: DataFrame) -> list[str]:
     casts = [c for c in labelled.columns if f"{c}_raw" in labelled.columns]
-    return [DUPLICATE, HAS_NULL, STATUS, REASON, REASONS, *(f"{c}_raw" for c in casts)]
+    return [DUPLICATE, HAS_NULL, STATUS, REASON, *(f"{c}_raw" for c in casts)]
 
 
 def valid_rows(labelled: DataFrame) -> DataFrame:
@@ -99,7 +101,9 @@ def quality_metrics(labelled: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def write_labelled(labelled: DataFrame, path: str) -> dict[str, int]:
+def write_labelled(
+    labelled: DataFrame, path: str, *, keep_schema: bool = True
+) -> dict[str, int]:
     """Write valid and rejected rows side by side in one job; returns the metrics.
 
     The counts are taken in the job's last stage, which Spark counts once per task
@@ -108,4 +112,8 @@ def write_labelled(labelled: DataFrame, path: str) -> dict[str, int]:
     seen = Observation()
     observed = labelled.observe(seen, *metric_columns())
     observed.write.mode("overwrite").partitionBy(STATUS).parquet(path)
-    return {name: seen.get[name] for name in METRICS}
+    metrics = {name: seen.get.get(name, 0) for name in METRICS}
+    if keep_schema and not metrics["input_records"]:
+        # A partitioned write of no rows leaves no file to read the schema from.
+        labelled.limit(0).write.mode("overwrite").parquet(path)
+    return metrics

@@ -51,7 +51,7 @@ def build_marts(
             cleaned["order_items"], cleaned["products"], translation
         ),
     }
-    parallel({n: _writer(df, paths.join(out_dir, n)) for n, df in bases.items()})
+    parallel(spark, {n: _writer(df, paths.join(out_dir, n)) for n, df in bases.items()})
     by_day, by_product = (spark.read.parquet(paths.join(out_dir, n)) for n in bases)
 
     def writer(name: str, df: DataFrame):
@@ -61,7 +61,7 @@ def build_marts(
         return _writer(df, path)
 
     tables = mart_builders(cleaned, by_day, by_product)
-    return parallel({name: writer(name, df) for name, df in tables.items()})
+    return parallel(spark, {name: writer(name, df) for name, df in tables.items()})
 
 
 def _writer(df: DataFrame, path: str):

@@ -4,16 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.operators.label import (
-    REASONS,
-    REJECTED,
-    STATUS,
-    VALID,
-    label,
-    rejected_rows,
-    valid_rows,
-    write_labelled,
-)
+from martloom.operators.label import label, rejected_rows, valid_rows, write_labelled
 from martloom.sources import paths
 from martloom.sources.raw import parallel
 from martloom.sources.registry import CLEANED, TableSpec
@@ -31,18 +22,12 @@ def clean_tables(
 
         return job
 
-    return parallel({name: clean(spec) for name, spec in CLEANED.items()})
-
-
-def _part(spark: SparkSession, out_dir: str, table: str, status: str) -> DataFrame:
-    # The schema comes from the whole table, so a status without rows reads as empty.
-    rows = spark.read.parquet(paths.join(out_dir, table))
-    return rows.where(rows[STATUS] == status)
+    return parallel(spark, {name: clean(spec) for name, spec in CLEANED.items()})
 
 
 def read_valid(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    return valid_rows(_part(spark, out_dir, table, VALID))
+    return valid_rows(spark.read.parquet(paths.join(out_dir, table)))
 
 
 def read_rejected(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    return rejected_rows(_part(spark, out_dir, table, REJECTED)).drop(REASONS)
+    return rejected_rows(spark.read.parquet(paths.join(out_dir, table)))

@@ -8,8 +8,9 @@ leaves the published state as it was, and repeating the batch overwrites the lef
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,11 @@ LOG_DDL = (
 )
 
 
+class Published(NamedTuple):
+    versions: dict[int, int]
+    has_batch: bool
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
         self.spark = spark
@@ -39,14 +45,8 @@ class KeyedTable:
 
     def read(self, only: Sequence[int] | None = None) -> DataFrame | None:
         """The current rows (of some buckets), or None before the first commit."""
-        current = self._current()
-        chosen = [b for b in sorted(current) if only is None or b in set(only)]
-        if not current:
-            return None
-        locations = [self._location(b, current[b]) for b in chosen or sorted(current)[:1]]
-        rows = self.spark.read.option("basePath", self._data).parquet(*locations)
-        rows = rows.drop(BUCKET, VERSION)
-        return rows if chosen else rows.limit(0)
+        current = self._published().versions
+        return self._read(current, current if only is None else only) if current else None
 
     def upsert(
         self,
@@ -62,27 +62,24 @@ class KeyedTable:
         A (writer, batch_id) pair that is already committed is skipped, so a replayed
         streaming batch changes nothing.
         """
-        log = self.history()
-        if batch_id is not None:
-            done = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-            if log.where(done).first() is not None:
-                return None
+        published = self._published(writer, batch_id)
+        if published.has_batch:
+            return None
         if not batch_is_unique:
             check_unique(batch, self.keys, null_safe=null_safe)
-        bucket = self._bucket_of()
         # At most `buckets` numbers reach the driver.
-        touched = sorted(r[0] for r in batch.select(bucket.alias("b")).distinct().collect())
+        touched = sorted(r[0] for r in batch.select(self._bucket_of()).distinct().collect())
         if not touched:
             return None
-        last = log.agg(F.max("version")).first()[0]
-        version = 0 if last is None else last + 1
-        target = None if last is None else self.read(only=touched)
+        first = not published.versions
+        version = 0 if first else max(published.versions.values()) + 1
+        target = None if first else self._read(published.versions, touched)
         result = upsert(target, batch, self.keys, null_safe=null_safe, source_is_unique=True)
         rows = self._write(result, version)
         entry = (
             version,
             datetime.now(timezone.utc),
-            "CREATE" if last is None else "UPSERT",
+            "CREATE" if first else "UPSERT",
             writer,
             batch_id,
             rows,
@@ -91,21 +88,34 @@ class KeyedTable:
         append_rows(self.spark, self._log, [entry], LOG_DDL)
         return version
 
+    def _published(self, writer: str = "", batch_id: int | None = None) -> Published:
+        """The newest version per bucket, and whether a batch is among the commits."""
+        same = (F.col("writer") == writer) & (F.col("batch_id") == F.lit(batch_id))
+        newest = (
+            self.history()
+            .select("version", F.explode("buckets").alias("bucket"), same.alias("same"))
+            .groupBy("bucket")
+            .agg(F.max("version").alias("version"), F.bool_or("same").alias("same"))
+            .collect()
+        )
+        return Published(
+            {r["bucket"]: r["version"] for r in newest}, any(r["same"] for r in newest)
+        )
+
+    def _read(self, versions: dict[int, int], buckets: Iterable[int]) -> DataFrame:
+        chosen = [b for b in sorted(buckets) if b in versions]
+        # Without a bucket to read, any one lends its schema.
+        locations = [self._location(b, versions[b]) for b in chosen or list(versions)[:1]]
+        rows = self.spark.read.option("basePath", self._data).parquet(*locations)
+        rows = rows.drop(BUCKET, VERSION)
+        return rows if chosen else rows.limit(0)
+
     def _bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def _location(self, bucket: int, version: int) -> str:
         return paths.join(self._data, f"{BUCKET}={bucket}", f"{VERSION}={version}")
 
-    def _current(self) -> dict[int, int]:
-        newest = (
-            self.history()
-            .select("version", F.explode("buckets").alias("b"))
-            .groupBy("b")
-            .agg(F.max("version").alias("version"))
-        )
-        return {r["b"]: r["version"] for r in newest.collect()}
-
     def _write(self, rows: DataFrame, version: int) -> int:
         """Write one version; AQE evens out the file sizes, splitting large buckets."""
         seen = Observation()

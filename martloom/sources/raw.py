@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -22,12 +22,13 @@ CORRUPT = "_corrupt_record"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def parallel(jobs: Mapping[str, callable], workers: int = 4) -> dict:
+def parallel(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], object]], workers: int = 4
+) -> dict:
     """Run independent Spark actions side by side, so small ones do not queue behind large ones."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {
-            name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()
-        }
+        futures = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
@@ -90,4 +91,4 @@ def ingest(
             read_raw(spark, raw_dir, spec), paths.join(out_dir, spec.name)
         )
 
-    return parallel({name: land(spec) for name, spec in specs.items()})
+    return parallel(spark, {name: land(spec) for name, spec in specs.items()})

@@ -7,16 +7,14 @@ older load time are not skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.label import (
     METRICS,
-    REASONS,
-    REJECTED,
-    STATUS,
-    VALID,
     label,
     rejected_rows,
     valid_rows,
@@ -43,7 +41,7 @@ class IncrementalTable:
         storage: str,
         *,
         buckets: int = 16,
-        order=None,
+        order: Sequence[Column] | None = None,
         null_safe: bool = False,
     ):
         self.spark = spark
@@ -76,19 +74,17 @@ class IncrementalTable:
         # Everything is written under the batch's number, so a replay overwrites its own
         # output; the written rows also feed the upsert, so the batch is evaluated once.
         path = self._batch_dir(self._labelled, batch_id)
-        order = self.order() if self.order else None
-        metrics = write_labelled(label(batch, self.spec, order=order), path)
-        written = batch.sparkSession.read.parquet(path) if metrics["input_records"] else None
+        labelled = label(batch, self.spec, order=self.order)
+        metrics = write_labelled(labelled, path, keep_schema=False)
         if metrics["valid_records"]:
-            rows = valid_rows(written.where(F.col(STATUS) == VALID))
             self.current.upsert(
-                rows,
+                valid_rows(self.spark.read.parquet(path)),
                 writer=self.checkpoint,
                 batch_id=batch_id,
                 null_safe=self.null_safe,
                 batch_is_unique=True,
             )
-        counts = batch.sparkSession.createDataFrame(
+        counts = self.spark.createDataFrame(
             [(self.spec.name, *(metrics[m] for m in METRICS))], self._quality_ddl()
         )
         counts.coalesce(1).write.mode("overwrite").json(
@@ -98,7 +94,7 @@ class IncrementalTable:
     def rejects(self) -> DataFrame:
         """All rejected rows with the batch they came in."""
         rows = self.spark.read.parquet(self._labelled)
-        return rejected_rows(rows.where(F.col(STATUS) == REJECTED)).drop(REASONS)
+        return rejected_rows(rows)
 
     def quality(self) -> DataFrame:
         """Quality counts per batch."""

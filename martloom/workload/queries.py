@@ -14,7 +14,6 @@ from martloom.operators.label import (
     DUPLICATE,
     METRICS,
     REASON,
-    REASONS,
     STATUS,
     label,
     rejected_rows,
@@ -69,7 +68,7 @@ def cleaned(spark, sf_dir, name, **how) -> DataFrame:
 
 
 def rejected(spark, sf_dir, name, **how) -> DataFrame:
-    return rejected_rows(labelled(spark, sf_dir, name, **how)).drop(REASONS)
+    return rejected_rows(labelled(spark, sf_dir, name, **how))
 
 
 def by_day(spark, sf_dir) -> DataFrame:
@@ -342,7 +341,8 @@ def mom_growth(spark, sf_dir):
 
 @query
 def partial_months(spark, sf_dir):
-    return analysis.partial_months(marts.monthly_revenue(by_day(spark, sf_dir)))
+    monthly = marts.monthly_revenue(by_day(spark, sf_dir))
+    return analysis.partial_months(monthly, min_orders=100)
 
 
 @query
@@ -395,7 +395,7 @@ def stream_upsert_orders(spark, sf_dir):
         spark,
         CLEANED["orders"],
         f"{folder}/orders",
-        order=lambda: views.survivor_orders()["orders"],
+        order=views.survivor_orders()["orders"],
     )
     for load in (views.orders(spark, sf_dir), views.order_updates(spark, sf_dir)):
         load.withColumn("customer_id", F.col("customer_id").cast("long")).write.mode(
@@ -407,12 +407,11 @@ def stream_upsert_orders(spark, sf_dir):
 
 @query
 def rejects_latest(spark, sf_dir):
-    batches = [
-        rejected(spark, sf_dir, "order_items", keep=keep).withColumn(BATCH, F.lit(n))
-        for n, keep in enumerate(("earliest", "latest"))
-    ]
-    appended = batches[0].unionByName(batches[1])
-    return rejects.latest_rejects(appended, CLEANED["order_items"].key)
+    folder = paths.shared_folder(spark)
+    for n, keep in enumerate(("earliest", "latest")):
+        batch = rejected(spark, sf_dir, "order_items", keep=keep)
+        batch.write.parquet(f"{folder}/{BATCH}={n}")
+    return rejects.latest_rejects(spark.read.parquet(folder), CLEANED["order_items"].key)
 
 
 @query

@@ -219,4 +219,4 @@ def export_raw(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
         path = f"{raw_dir}/{SOURCES[name].files.lstrip('*')}"
         return lambda: df.write.options(**CSV_OPTIONS).csv(path)
 
-    parallel({n: writer(n, df) for n, df in raw_tables(spark, sf_dir).items()})
+    parallel(spark, {n: writer(n, df) for n, df in raw_tables(spark, sf_dir).items()})
