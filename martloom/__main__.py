@@ -5,14 +5,14 @@ from __future__ import annotations
 import argparse
 import inspect
 
-from martloom.plans.pipeline import run_job
+from martloom.plans.pipeline import BATCH_MODE, INCREMENTAL_MODE, run_job
 from martloom.plans.reports import Reports
 from martloom.session import get_session
 
 _REPORTS = sorted(
     n
     for n, f in inspect.getmembers(Reports, inspect.isfunction)
-    if not n.startswith("_") and n not in ("table", "published_run")
+    if not n.startswith("_") and n not in ("table", "published_run", "register_views")
 )
 
 
@@ -22,6 +22,7 @@ def main() -> None:
     run = commands.add_parser("run", help="ingest, clean and aggregate")
     run.add_argument("--raw", required=True)
     run.add_argument("--storage", required=True)
+    run.add_argument("--mode", choices=(BATCH_MODE, INCREMENTAL_MODE), default=BATCH_MODE)
     run.add_argument("--keep", choices=("latest", "earliest"), default="latest")
     report = commands.add_parser("report", help="show a report of the newest run")
     report.add_argument("name", choices=_REPORTS)
@@ -32,7 +33,7 @@ def main() -> None:
 
     spark = get_session()
     if args.command == "run":
-        done = run_job(spark, args.raw, args.storage, keep=args.keep)
+        done = run_job(spark, args.raw, args.storage, mode=args.mode, keep=args.keep)
         print(done["execution_id"], done["status"])
         return
     given = {"table": args.table, "n": args.limit}

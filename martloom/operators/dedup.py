@@ -41,7 +41,9 @@ def mark_duplicates(
     """Add ``_is_duplicate``: false for one row per key, true for its other copies.
 
     NULL keys equal each other here. ``colocate`` names a part of the key to shuffle by,
-    so that a later aggregate or join on it needs no further shuffle. Rows of hot keys
+    so that a later aggregate or join on it needs no further shuffle. The shuffle is asked
+    for by name: for readers of the survivors alone, Spark would otherwise sort every input
+    split before it, which is lost work where keys are mostly unique. Rows of hot keys
     (``hot``: hashes over ``colocate`` or the key, looked up when None) are ranked in two
     steps: first per input split, then only the winners of the splits meet in one group.
     The split number is a property of the input, so a repeated task gives the same ranks,
@@ -55,9 +57,7 @@ def mark_duplicates(
         return F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
 
     def plain(rows: DataFrame) -> DataFrame:
-        if colocate:
-            rows = rows.repartition(*spread_by)
-        return rows.withColumn(DUPLICATE, rank_over(*key) > 1)
+        return rows.repartition(*spread_by).withColumn(DUPLICATE, rank_over(*key) > 1)
 
     if not hot:
         return plain(df)

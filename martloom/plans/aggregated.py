@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import marts
-from martloom.plans.cleaned import read_valid
 from martloom.sources import paths
 from martloom.sources.raw import parallel, write_counted
-from martloom.sources.registry import CLEANED
 
 # Unrounded bases that several tables roll up from; written once, then read back.
 BASE_BY_DAY = "base_sales_by_day"
 BASE_BY_PRODUCT = "base_sales_by_product"
 
+MARTS = (
+    "monthly_revenue",
+    "daily_sales",
+    "top_products",
+    "category_revenue",
+    "seller_revenue",
+    "customers_by_state",
+    "order_status",
+    "payment_methods",
+    "review_scores",
+    "kpis",
+)
+
 
 def mart_builders(
     cleaned: dict[str, DataFrame], by_day: DataFrame, by_product: DataFrame
@@ -39,12 +50,9 @@ def write_daily_sales(daily: DataFrame, path: str) -> int:
 
 
 def build_marts(
-    spark: SparkSession, raw_tables: str, cleaned_dir: str, out_dir: str
+    spark: SparkSession, cleaned: dict[str, DataFrame], translation: DataFrame, out_dir: str
 ) -> dict[str, int]:
     """Write every aggregated table; returns rows per table."""
-    cleaned = {name: read_valid(spark, cleaned_dir, name) for name in CLEANED}
-    translation = spark.read.parquet(paths.join(raw_tables, "category_translation"))
-
     bases = {
         BASE_BY_DAY: marts.sales_by_day(cleaned["orders"], cleaned["payments"]),
         BASE_BY_PRODUCT: marts.product_totals(

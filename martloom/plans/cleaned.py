@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.operators.label import label, rejected_rows, valid_rows, write_labelled
@@ -11,9 +13,14 @@ from martloom.sources.registry import CLEANED, TableSpec
 
 
 def clean_tables(
-    spark: SparkSession, raw_tables: str, out_dir: str, *, keep: str = "latest"
+    spark: SparkSession,
+    raw_tables: str,
+    out_dir: str,
+    *,
+    keep: str = "latest",
+    tables: Iterable[str] = tuple(CLEANED),
 ) -> dict[str, dict[str, int]]:
-    """Label and write all cleaned tables; returns the metrics per table."""
+    """Label and write cleaned tables; returns the metrics per table."""
 
     def clean(spec: TableSpec):
         def job():
@@ -22,7 +29,7 @@ def clean_tables(
 
         return job
 
-    return parallel(spark, {name: clean(spec) for name, spec in CLEANED.items()})
+    return parallel(spark, {name: clean(CLEANED[name]) for name in tables})
 
 
 def read_valid(spark: SparkSession, out_dir: str, table: str) -> DataFrame:

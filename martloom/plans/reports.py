@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.label import METRICS
-from martloom.operators.rejects import reason_counts, rejected_sample
+from martloom.operators.label import METRICS, label
+from martloom.operators.rejects import latest_rejects, reason_counts, rejected_sample
 from martloom.operators.topn import top_n
 from martloom.plans import analysis
-from martloom.plans.cleaned import read_rejected
-from martloom.plans.pipeline import CLEAN_STAGE, MART_STAGE, layer_dir
+from martloom.plans.aggregated import MARTS
+from martloom.plans.cleaned import read_rejected, read_valid
+from martloom.plans.pipeline import (
+    CLEAN_STAGE,
+    INCREMENTAL_MODE,
+    MART_STAGE,
+    RAW_STAGE,
+    UPSERTED,
+    layer_dir,
+    upserted_table,
+)
 from martloom.plans.runlog import RunLog, run_history
 from martloom.sources import paths
-from martloom.sources.registry import cleaned_spec
+from martloom.sources.registry import CLEANED, SOURCES, TableSpec, cleaned_spec
+from martloom.streaming.incremental import BATCH
 
 
 class NothingPublished(LookupError):
@@ -31,19 +41,19 @@ class Reports:
         self.log = RunLog(spark, storage)
 
     def published_run(self) -> str:
-        newest = (
-            self.log.runs()
-            .where(F.col("status") == "SUCCESS")
-            .agg(F.max_by("execution_id", "start_time"))
-            .first()[0]
-        )
+        return self._published()["execution_id"]
+
+    def _published(self) -> Row:
+        run = F.struct("execution_id", "mode")
+        good = self.log.runs().where(F.col("status") == "SUCCESS")
+        newest = good.agg(F.max_by(run, "start_time").alias("run")).first()["run"]
         if newest is None:
             raise NothingPublished(f"no successful run in {self.storage}")
         return newest
 
     def table(self, name: str) -> DataFrame:
         """An aggregated table of the published run."""
-        folder = layer_dir(self.storage, self.published_run(), MART_STAGE)
+        folder = self._folder(self._published(), MART_STAGE)
         return self.spark.read.parquet(paths.join(folder, name))
 
     def summary(self) -> DataFrame:
@@ -82,10 +92,56 @@ class Reports:
     def quality_trend(self) -> DataFrame:
         return analysis.quality_trend(self.log.quality())
 
+    def cleaned(self, table: str) -> DataFrame:
+        """Valid rows of a cleaned table."""
+        spec = cleaned_spec(table)
+        run = self._published()
+        if self._is_upserted(spec.name, run):
+            table = upserted_table(self.spark, self.storage, spec.name)
+            return table.valid(self._labelled_landing(run, spec))
+        return read_valid(self.spark, self._folder(run, CLEAN_STAGE), spec.name)
+
     def rejected(self, table: str) -> DataFrame:
+        """Rejected rows of a cleaned table; for an upserted one each key's newest."""
+        spec = cleaned_spec(table)
+        run = self._published()
+        if self._is_upserted(spec.name, run):
+            table = upserted_table(self.spark, self.storage, spec.name)
+            appended = table.rejects(self._labelled_landing(run, spec))
+            return latest_rejects(appended, spec.key).drop(BATCH)
+        return read_rejected(self.spark, self._folder(run, CLEAN_STAGE), spec.name)
+
+    def table_history(self, table: str) -> DataFrame:
+        """Commits of an upserted table, newest first."""
         name = cleaned_spec(table).name
-        folder = layer_dir(self.storage, self.published_run(), CLEAN_STAGE)
-        return read_rejected(self.spark, folder, name)
+        history = upserted_table(self.spark, self.storage, name).current.history()
+        return history.orderBy(F.desc("version"))
+
+    def register_views(self) -> list[str]:
+        """Temporary views over all tables of the published run, for SQL users."""
+        run = self._published()
+        tables = {f"gold_{n}": lambda n=n: self.table(n) for n in MARTS}
+        for name in CLEANED:
+            tables[f"silver_{name}"] = lambda n=name: self.cleaned(n)
+            tables[f"rejected_{name}"] = lambda n=name: self.rejected(n)
+        raw = self._folder(run, RAW_STAGE)
+        for name in SOURCES:
+            tables[f"bronze_{name}"] = lambda n=name: self.spark.read.parquet(paths.join(raw, n))
+        for view, rows in tables.items():
+            rows().createOrReplaceTempView(view)
+        self.log.quality().createOrReplaceTempView("quality_metrics")
+        return [*tables, "quality_metrics"]
+
+    def _labelled_landing(self, run: Row, spec: TableSpec) -> DataFrame:
+        landed = self.spark.read.parquet(paths.join(self._folder(run, RAW_STAGE), spec.name))
+        return label(landed, spec, hot=[])
+
+    def _folder(self, run: Row, layer: str) -> str:
+        return layer_dir(self.storage, run["execution_id"], layer)
+
+    @staticmethod
+    def _is_upserted(name: str, run: Row) -> bool:
+        return run["mode"] == INCREMENTAL_MODE and name in UPSERTED
 
     def rejected_sample(self, table: str, n: int = REJECTS_SHOWN) -> DataFrame:
         rows = self.rejected(table)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from martloom.sources import paths
 
@@ -15,10 +17,16 @@ JSON_TIMES = {
 }
 
 
+def control_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A handful of rows as one partition, handed over as an Arrow table."""
+    schema = T.StructType.fromDDL(ddl)
+    table = pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows])
+    return spark.createDataFrame(table, schema=schema).coalesce(1)
+
+
 def append_rows(spark: SparkSession, path: str, rows: Sequence[tuple], ddl: str) -> None:
-    """Append a handful of rows as one JSON-lines file, so that an append is all or nothing."""
-    df = spark.createDataFrame(list(rows), ddl).coalesce(1)
-    df.write.mode("append").options(**JSON_TIMES).json(path)
+    """Append rows as one JSON-lines file, so that an append is all or nothing."""
+    control_rows(spark, rows, ddl).write.mode("append").options(**JSON_TIMES).json(path)
 
 
 def read_rows(spark: SparkSession, path: str, ddl: str) -> DataFrame:

@@ -7,6 +7,7 @@ older load time are not skipped.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from martloom.operators.label import (
     write_labelled,
 )
 from martloom.sources import paths
+from martloom.sources.appended import control_rows
 from martloom.sources.keyed_table import KeyedTable
 from martloom.sources.registry import TableSpec
 
@@ -52,15 +54,22 @@ class IncrementalTable:
         self._labelled = paths.join(storage, "labelled")
         self._quality = paths.join(storage, "quality")
         self.checkpoint = paths.join(storage, "checkpoint")
+        self._counts: Counter[str] = Counter()
 
-    def load(self, raw_dir: str, schema: T.StructType, *, files_per_batch: int = 1000) -> int:
-        """Process all files that arrived since the last call; returns the rows read."""
+    def load(
+        self, raw_dir: str, schema: T.StructType, *, files_per_batch: int = 1000
+    ) -> dict[str, int]:
+        """Process all files that arrived since the last call; returns their quality counts.
+
+        ``raw_dir`` may be a pattern, so that each run can land its files in a folder of
+        its own.
+        """
         raw = (
             self.spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch)
             .parquet(raw_dir)
         )
-        before = self._rows_processed()
+        self._counts.clear()
         query = (
             raw.writeStream.foreachBatch(self._apply)
             .option("checkpointLocation", self.checkpoint)
@@ -68,7 +77,7 @@ class IncrementalTable:
             .start()
         )
         query.awaitTermination()
-        return self._rows_processed() - before
+        return {m: self._counts[m] for m in METRICS}
 
     def _apply(self, batch: DataFrame, batch_id: int) -> None:
         # Everything is written under the batch's number, so a replay overwrites its own
@@ -84,17 +93,27 @@ class IncrementalTable:
                 null_safe=self.null_safe,
                 batch_is_unique=True,
             )
-        counts = self.spark.createDataFrame(
-            [(self.spec.name, *(metrics[m] for m in METRICS))], self._quality_ddl()
-        )
-        counts.coalesce(1).write.mode("overwrite").json(
+        counts = [(self.spec.name, *(metrics[m] for m in METRICS))]
+        control_rows(self.spark, counts, self._quality_ddl()).write.mode("overwrite").json(
             self._batch_dir(self._quality, batch_id)
         )
+        self._counts.update(metrics)
 
-    def rejects(self) -> DataFrame:
-        """All rejected rows with the batch they came in."""
-        rows = self.spark.read.parquet(self._labelled)
-        return rejected_rows(rows)
+    def valid(self, like: DataFrame) -> DataFrame:
+        """The current rows; before any arrived, no rows of the labelled frame's kind."""
+        current = self.current.read()
+        return valid_rows(like).limit(0) if current is None else current
+
+    def rejects(self, like: DataFrame | None = None) -> DataFrame:
+        """All rejected rows with the batch they came in; ``like`` as for ``valid``."""
+        if like is not None and not self._has_rows():
+            return rejected_rows(like).limit(0).withColumn(BATCH, F.lit(0))
+        return rejected_rows(self.spark.read.parquet(self._labelled))
+
+    def _has_rows(self) -> bool:
+        if not paths.exists(self.spark, self._quality):
+            return False
+        return not self.quality().where("input_records > 0").isEmpty()
 
     def quality(self) -> DataFrame:
         """Quality counts per batch."""
@@ -103,11 +122,6 @@ class IncrementalTable:
     def _batch_dir(self, base: str, batch_id: int) -> str:
         return paths.join(base, f"{BATCH}={batch_id}")
 
-    def _rows_processed(self) -> int:
-        if not paths.exists(self.spark, self._quality):
-            return 0
-        return self.quality().agg(F.sum("input_records")).first()[0] or 0
-
     @staticmethod
     def _quality_ddl() -> str:
         return "table_name string, " + ", ".join(f"{m} long" for m in METRICS)

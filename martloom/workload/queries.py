@@ -28,6 +28,7 @@ from martloom.plans.pipeline import run_job
 from martloom.plans.reports import Reports
 from martloom.sources import paths, watermark
 from martloom.sources.appended import JSON_TIMES
+from martloom.sources.catalog import save_table
 from martloom.sources.keyed_table import KeyedTable
 from martloom.sources.raw import INGESTED_AT, SOURCE_FILE, read_raw
 from martloom.sources.registry import CLEANED, SOURCES, TableSpec
@@ -274,6 +275,18 @@ def daily_sales_partitioned(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+@query
+def catalog_daily_sales(spark, sf_dir):
+    """The same table kept in the catalog and scanned by name, pruned to some years."""
+    save_table(
+        marts.daily_sales(by_day(spark, sf_dir)),
+        "martloom_daily_sales",
+        partition_by=["year"],
+        path=paths.shared_folder(spark),
+    )
+    return spark.table("martloom_daily_sales").where("year >= 1998")
+
+
 @query
 def product_sales(spark, sf_dir):
     return marts.product_sales(by_product(spark, sf_dir))

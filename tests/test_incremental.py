@@ -43,7 +43,7 @@ def test_loads_are_applied_once_and_reruns_do_nothing(spark, tmp_path):
     raw, t = str(tmp_path / "raw"), table(spark, tmp_path)
     schema = spark.createDataFrame([], DDL).schema
     land(spark, raw, order("a", "created", 1), order("b", "created", 1), order(None, "x", 1))
-    assert t.load(raw, schema) == 3
+    assert t.load(raw, schema)["input_records"] == 3
     assert current(t) == {"a": "created", "b": "created"}
 
     land(
@@ -54,12 +54,12 @@ def test_loads_are_applied_once_and_reruns_do_nothing(spark, tmp_path):
         order("c", "created", 2),
         order("a", "lost", 2, at="bad"),
     )
-    assert t.load(raw, schema) == 4
+    assert t.load(raw, schema)["valid_records"] == 2
     # The invalid update of a is rejected; its earlier valid row stays.
     assert current(t) == {"a": "created", "b": "shipped", "c": "created"}
 
     before = t.current.history().count()
-    assert t.load(raw, schema) == 0
+    assert set(t.load(raw, schema).values()) == {0}
     assert t.current.history().count() == before
     assert current(t) == {"a": "created", "b": "shipped", "c": "created"}
 

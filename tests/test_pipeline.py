@@ -145,14 +145,72 @@ def test_a_failed_run_is_recorded_and_not_published(spark, tmp_path):
     assert reports.last_run().first()["status"] == "FAILED"
 
 
-def test_sources_without_rows(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["batch", "incremental"])
+def test_sources_without_rows(spark, tmp_path, mode):
     empty = {name: text.splitlines()[0] + "\n" for name, text in FILES.items()}
     storage = str(tmp_path / "storage")
-    run = run_job(spark, write_files(tmp_path / "raw", empty), storage)
+    run = run_job(spark, write_files(tmp_path / "raw", empty), storage, mode=mode)
     assert (run["input_records"], run["output_records"]) == (0, 0)
     reports = Reports(spark, storage)
     assert tuple(reports.summary().first()) == (0.0, 0, 0.0, 0, 0)
-    assert reports.rejected("orders").isEmpty()
+    for table in ("orders", "payments"):
+        assert reports.rejected(table).isEmpty() and reports.cleaned(table).isEmpty()
+    assert "_reject_reason" in reports.rejected("orders").columns
+
+
+def test_incremental_runs_upsert_orders(spark, tmp_path, rows):
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    first = run_job(spark, raw, storage, mode="incremental")
+    reports = Reports(spark, storage)
+    assert first["output_records"] == 16
+    assert rows(reports.summary(), "total_revenue", "total_orders") == [(130.5, 2)]
+    before = rows(reports.cleaned("orders"), "order_id", "order_status")
+
+    # The same files again: their rows are applied once more and change nothing.
+    run_job(spark, raw, storage, mode="incremental")
+    assert rows(reports.cleaned("orders"), "order_id", "order_status") == before
+    assert rows(reports.summary(), "total_revenue", "total_orders") == [(130.5, 2)]
+
+    lines = FILES["orders"].splitlines()
+    update = [lines[0], lines[3].replace("shipped", "canceled"), "o5,c1,shipped,bad,", lines[6]]
+    more = {**FILES, "orders": "\n".join(update) + "\n"}
+    run_job(spark, write_files(tmp_path / "more", more), storage, mode="incremental")
+    assert rows(reports.cleaned("orders"), "order_id", "order_status") == [
+        ("o1", "delivered"),
+        ("o2", "canceled"),
+        ("o3", "canceled"),
+    ]
+    assert rows(reports.summary(), "total_revenue", "total_orders") == [(100.0, 1)]
+    history = reports.table_history("orders").collect()
+    assert [(r["version"], r["operation"]) for r in history] == [
+        (2, "UPSERT"),
+        (1, "UPSERT"),
+        (0, "CREATE"),
+    ]
+    reasons = {r["reason"]: r["rows"] for r in reports.reject_reasons("orders").collect()}
+    # Rows without a key stay from both earlier runs; keys show their newest rejects.
+    assert reasons == {
+        "null_order_id": 2,
+        "duplicate_key": 1,
+        "invalid_purchase_timestamp": 1,
+        "delivered_status_missing_date": 1,
+    }
+    with pytest.raises(ValueError, match="mode"):
+        run_job(spark, raw, storage, mode="sometimes")
+
+
+def test_sql_users_get_views(finished, spark):
+    _, reports = finished
+    views = reports.register_views()
+    assert {"silver_orders", "rejected_orders", "gold_kpis", "bronze_reviews"} <= set(views)
+    share = spark.sql(
+        """SELECT category, round(100 * revenue / sum(revenue) OVER (), 1) AS share
+           FROM gold_category_revenue ORDER BY revenue DESC LIMIT 10"""
+    ).collect()
+    assert [(r["category"], r["share"]) for r in share] == [("beauty", 80.0), ("unknown", 20.0)]
+    trend = spark.sql("SELECT * FROM quality_metrics ORDER BY run_ts DESC, table_name")
+    assert trend.first()["table_name"] == "customers"
+    assert spark.sql("SELECT count(*) FROM rejected_orders").first()[0] == 3
 
 
 def test_layers_lie_in_the_run_folder(finished):
