@@ -48,11 +48,11 @@ def latest_rejects(
 ) -> DataFrame:
     """Of rejects appended batch by batch, the rows of each key's newest batch.
 
-    NULL keys match nothing, as in an upsert: all their rows stay.
+    NULL keys match nothing, as in an upsert: all their rows stay, and take no part in the
+    shuffles. The newest batch per key is combined map-side; a key with many rejected
+    copies is split by the adaptive skew join, as the other side has one row per key.
     """
     has_key = ~any_null(key)
-    newest = (
-        rejects.where(has_key).groupBy(*key).agg(F.max(batch).alias(batch))
-    )
+    newest = rejects.where(has_key).groupBy(*key).agg(F.max(batch).alias(batch))
     current = rejects.where(has_key).join(newest, [*key, batch], "left_semi")
     return current.unionByName(rejects.where(~has_key))

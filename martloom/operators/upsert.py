@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import any_null
@@ -44,9 +44,17 @@ def upsert(
         return source
     changed = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
 
-    def same(k: str):
+    def same(k: str) -> Column:
         old, new = F.col(k), F.col(f"_new_{k}")
         return old.eqNullSafe(new) if null_safe else old == new
 
-    match = reduce(lambda a, b: a & b, [same(k) for k in keys])
-    return target.join(changed, match, "left_anti").unionByName(source)
+    match = [same(k) for k in keys]
+    if not null_safe:
+        # Rows without a key match nothing. Joined also on a lane, which is the number of
+        # their input split, they are spread instead of meeting in one task.
+        lane = F.when(any_null(keys), F.spark_partition_id()).otherwise(-1)
+        target = target.withColumn("_lane", lane)
+        changed = changed.withColumn("_new_lane", F.lit(-1))
+        match.append(F.col("_lane") == F.col("_new_lane"))
+    kept = target.join(changed, reduce(lambda a, b: a & b, match), "left_anti")
+    return kept.drop("_lane").unionByName(source)

@@ -2,7 +2,8 @@
 
 Rows lie in ``data/_bucket=<hash of key>/_version=<commit>``. A commit writes new
 versions of the buckets its batch touches, then appends one row to the commit log;
-readers take each bucket's newest committed version. A job that dies before the log row
+readers take each bucket's newest committed version. One writer at a time; readers need no
+lock. A job that dies before the log row
 leaves the published state as it was, and repeating the batch overwrites the leftovers.
 """
 

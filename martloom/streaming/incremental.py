@@ -34,6 +34,7 @@ class IncrementalTable:
 
     ``storage`` holds the current rows, the labelled rows of every batch (rejects are
     appended per batch, never merged), the quality counts per batch and the checkpoint.
+    The checkpoint numbers the batches, so it must be kept or dropped together with the rest.
     """
 
     def __init__(
@@ -67,6 +68,8 @@ class IncrementalTable:
         raw = (
             self.spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch)
+            # The default ignores files a week older than the newest one.
+            .option("maxFileAge", "36500d")
             .parquet(raw_dir)
         )
         self._counts.clear()

@@ -250,9 +250,9 @@ def quality_history(spark, sf_dir):
         log.add_quality(
             run_ts, {r["table_name"]: {m: r[m] for m in METRICS} for r in counted}
         )
-    return analysis.quality_trend(log.quality()).withColumn(
-        "run_ts", F.col("run_ts").cast("timestamp_ntz")
-    )
+    local = F.col("run_ts").cast("timestamp_ntz")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    return analysis.quality_trend(log.quality()).withColumn("run_ts", utc)
 
 
 # --- aggregated layer ------------------------------------------------------------------

@@ -42,16 +42,16 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(
             F.min("l_suppkey").alias("customer_id"),
-            F.max("l_linestatus").alias("last"),
+            F.bool_and(F.col("l_linestatus") == "F").alias("done"),
             F.min("l_shipdate").alias("order_purchase_timestamp"),
             F.max("l_shipdate").alias("arrived"),
         )
         .selectExpr(
             "order_id",
             "customer_id",
-            "if(last = 'F', 'delivered', 'shipped') AS order_status",
+            "if(done, 'delivered', 'shipped') AS order_status",
             "order_purchase_timestamp",
-            "if(last = 'F', arrived, NULL) AS order_delivered_customer_date",
+            "if(done, arrived, NULL) AS order_delivered_customer_date",
             "3 AS load_no",
             "order_id AS src_key",
         )
