@@ -23,6 +23,7 @@ def main() -> None:
     run.add_argument("--raw", required=True)
     run.add_argument("--storage", required=True)
     run.add_argument("--mode", choices=(BATCH_MODE, INCREMENTAL_MODE), default=BATCH_MODE)
+    run.add_argument("--buckets", type=int, default=16, help="of a new upserted table")
     run.add_argument("--keep", choices=("latest", "earliest"), default="latest")
     report = commands.add_parser("report", help="show a report of the newest run")
     report.add_argument("name", choices=_REPORTS)
@@ -33,7 +34,9 @@ def main() -> None:
 
     spark = get_session()
     if args.command == "run":
-        done = run_job(spark, args.raw, args.storage, mode=args.mode, keep=args.keep)
+        done = run_job(
+            spark, args.raw, args.storage, mode=args.mode, keep=args.keep, buckets=args.buckets
+        )
         print(done["execution_id"], done["status"])
         return
     given = {"table": args.table, "n": args.limit}

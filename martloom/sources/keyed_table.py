@@ -2,9 +2,9 @@
 
 Rows lie in ``data/_bucket=<hash of key>/_version=<commit>``. A commit writes new
 versions of the buckets its batch touches, then appends one row to the commit log;
-readers take each bucket's newest committed version. One writer at a time; readers need no
-lock. A job that dies before the log row
+readers take each bucket's newest committed version. A job that dies before the log row
 leaves the published state as it was, and repeating the batch overwrites the leftovers.
+One writer at a time; readers need no lock.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.upsert import check_unique, upsert
@@ -23,16 +23,23 @@ from martloom.sources.appended import append_rows, read_rows
 BUCKET, VERSION = "_bucket", "_version"
 LOG_DDL = (
     "version long, committed_at timestamp, operation string, writer string, batch_id long,"
-    " rows_written long, buckets array<int>"
+    " rows_written long, buckets array<int>, bucket_count int"
 )
 
 
 class Published(NamedTuple):
     versions: dict[int, int]
     has_batch: bool
+    bucket_count: int
 
 
 class KeyedTable:
+    """``buckets`` counts when the table is created; later commits keep that number.
+
+    A commit rewrites the buckets it touches, so choose as many as make one bucket a few
+    gigabytes, and prefer few large batches to many small ones.
+    """
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
         self.spark = spark
         self.keys = list(keys)
@@ -69,14 +76,15 @@ class KeyedTable:
         if not batch_is_unique:
             check_unique(batch, self.keys, null_safe=null_safe)
         # At most `buckets` numbers reach the driver.
-        touched = sorted(r[0] for r in batch.select(self._bucket_of()).distinct().collect())
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(published.bucket_count)).cast("int")
+        touched = sorted(r[0] for r in batch.select(bucket).distinct().collect())
         if not touched:
             return None
         first = not published.versions
         version = 0 if first else max(published.versions.values()) + 1
         target = None if first else self._read(published.versions, touched)
         result = upsert(target, batch, self.keys, null_safe=null_safe, source_is_unique=True)
-        rows = self._write(result, version)
+        rows = self._write(result.withColumn(BUCKET, bucket), version)
         entry = (
             version,
             datetime.now(timezone.utc),
@@ -85,6 +93,7 @@ class KeyedTable:
             batch_id,
             rows,
             touched,
+            published.bucket_count,
         )
         append_rows(self.spark, self._log, [entry], LOG_DDL)
         return version
@@ -94,13 +103,19 @@ class KeyedTable:
         same = (F.col("writer") == writer) & (F.col("batch_id") == F.lit(batch_id))
         newest = (
             self.history()
-            .select("version", F.explode("buckets").alias("bucket"), same.alias("same"))
-            .groupBy("bucket")
-            .agg(F.max("version").alias("version"), F.bool_or("same").alias("same"))
+            .select("version", F.explode("buckets").alias("b"), same.alias("same"), "bucket_count")
+            .groupBy("b")
+            .agg(
+                F.max("version").alias("version"),
+                F.bool_or("same").alias("same"),
+                F.max("bucket_count").alias("bucket_count"),
+            )
             .collect()
         )
         return Published(
-            {r["bucket"]: r["version"] for r in newest}, any(r["same"] for r in newest)
+            {r["b"]: r["version"] for r in newest},
+            any(r["same"] for r in newest),
+            newest[0]["bucket_count"] if newest else self.buckets,
         )
 
     def _read(self, versions: dict[int, int], buckets: Iterable[int]) -> DataFrame:
@@ -111,18 +126,15 @@ class KeyedTable:
         rows = rows.drop(BUCKET, VERSION)
         return rows if chosen else rows.limit(0)
 
-    def _bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
     def _location(self, bucket: int, version: int) -> str:
         return paths.join(self._data, f"{BUCKET}={bucket}", f"{VERSION}={version}")
 
     def _write(self, rows: DataFrame, version: int) -> int:
         """Write one version; AQE evens out the file sizes, splitting large buckets."""
         seen = Observation()
-        placed = rows.withColumn(BUCKET, self._bucket_of()).withColumn(VERSION, F.lit(version))
         (
-            placed.hint("rebalance", BUCKET)
+            rows.withColumn(VERSION, F.lit(version))
+            .hint("rebalance", BUCKET)
             .observe(seen, F.count("*").alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

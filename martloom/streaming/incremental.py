@@ -57,21 +57,15 @@ class IncrementalTable:
         self.checkpoint = paths.join(storage, "checkpoint")
         self._counts: Counter[str] = Counter()
 
-    def load(
-        self, raw_dir: str, schema: T.StructType, *, files_per_batch: int = 1000
-    ) -> dict[str, int]:
+    def load(self, raw_dir: str, schema: T.StructType) -> dict[str, int]:
         """Process all files that arrived since the last call; returns their quality counts.
 
-        ``raw_dir`` may be a pattern, so that each run can land its files in a folder of
-        its own.
+        They form one batch, as each batch rewrites what it touches. ``raw_dir`` may be a
+        pattern, so that each run can land its files in a folder of its own.
         """
-        raw = (
-            self.spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_batch)
-            # The default ignores files a week older than the newest one.
-            .option("maxFileAge", "36500d")
-            .parquet(raw_dir)
-        )
+        # By default the source ignores files a week older than the newest one.
+        arrived = self.spark.readStream.schema(schema).option("maxFileAge", "36500d")
+        raw = arrived.parquet(raw_dir)
         self._counts.clear()
         query = (
             raw.writeStream.foreachBatch(self._apply)

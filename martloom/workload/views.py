@@ -77,7 +77,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber AS payment_sequential",
         """CASE WHEN l_suppkey % 7 = 0 THEN -l_extendedprice WHEN l_suppkey % 17 = 0 THEN NULL
                 WHEN l_suppkey % 23 = 0 THEN 0.0D ELSE l_extendedprice END AS payment_value""",
-        """CASE WHEN l_suppkey % 29 = 0 THEN 'not_defined' WHEN l_returnflag = 'A' THEN 'credit_card'
+        """CASE WHEN l_suppkey % 29 = 0 THEN 'not_defined'
+                WHEN l_returnflag = 'A' THEN 'credit_card'
                 WHEN l_returnflag = 'R' THEN 'boleto' ELSE 'voucher' END AS payment_type""",
         "l_shipdate",
         "l_partkey",

@@ -82,7 +82,8 @@ def test_replayed_batches_and_leftovers_change_nothing(spark, tmp_path, rows):
     table = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
     table.upsert(frame(spark, [("a", 1), ("b", 2)]), writer="w", batch_id=0)
     # A batch whose job died after writing data and before the log row.
-    table._write(frame(spark, [("a", -1), ("z", -1)]), 1)
+    leftover = frame(spark, [("a", -1), ("z", -1)])
+    table._write(leftover.selectExpr("*", "pmod(xxhash64(k), 4) AS _bucket"), 1)
     assert rows(table.read()) == [("a", 1), ("b", 2)]
     assert table.upsert(frame(spark, [("a", 9)]), writer="w", batch_id=0) is None
     assert table.upsert(frame(spark, [("a", 5)]), writer="w", batch_id=1) == 1
@@ -90,6 +91,14 @@ def test_replayed_batches_and_leftovers_change_nothing(spark, tmp_path, rows):
     assert rows(table.read()) == [("a", 6), ("b", 2)]
 
 
+def test_bucket_count_is_fixed_at_creation(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    KeyedTable(spark, path, ["k"], buckets=4).upsert(frame(spark, [("a", 1), ("b", 2)]))
+    reopened = KeyedTable(spark, path, ["k"], buckets=99)
+    reopened.upsert(frame(spark, [("a", 10), ("c", 3)]))
+    assert rows(reopened.read()) == [("a", 10), ("b", 2), ("c", 3)]
+
+
 @CALM
 @given(st.lists(MAPPINGS, min_size=1, max_size=3))
 def test_keyed_table_equals_a_dict(spark, tmp_path_factory, batches):
