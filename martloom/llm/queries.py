@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import packing, sharding
+from martloom.llm import packing, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,11 @@ def op1_best_fit_packing(spark, sf_dir):
 def op9_jump_sharding(spark, sf_dir):
     rows = stored(sharding.key_shards(read(spark, sf_dir, "documents"), SHARDS))
     return sharding.with_slots(rows).withColumn("law", F.lit("key"))
+
+
+@query
+def op10_simhash_near_dup(spark, sf_dir):
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+    )
