@@ -3,3 +3,53 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+SPACE = r"[\x20\x09-\x0D]+"
+
+# Counts of words and lines as defined for the rules; frequent lines by plain grouping of texts.
+ORACLES["op2_line_frequency"] = rf"""
+with d as (
+  select row_number() over () rid, doc_id, coalesce(source, '') host, coalesce(text, '') t from documents
+), w as (
+  select rid, doc_id, host, t,
+    list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') words,
+    string_split(t, chr(10)) lines from d
+), g as (
+  select rid, i, words[i] || ' ' || words[i+1] || ' ' || words[i+2] gram
+  from (select rid, words, unnest(range(1, len(words) - 1)) i from w)
+), twice as (
+  select rid, i from g qualify count(*) over (partition by rid, gram) > 1
+), covered as (
+  select rid, count(distinct p) n from (select rid, unnest([i, i+1, i+2]) p from twice) group by rid
+), l as (
+  select rid, host, doc_id, t, k, lines[k] line,
+    lower(trim(regexp_replace(lines[k], '{SPACE}', ' ', 'g'))) norm
+  from (select *, unnest(range(1, len(lines) + 1)) k from w)
+), hosts as (
+  select host, count(distinct t) texts from d group by host
+), freq as (
+  select host, norm, first_t from (
+    select host, norm, arg_min(t, doc_id) first_t, count(*) n from (
+      select host, norm, t, min(doc_id) doc_id from l where norm <> '' group by all)
+    group by host, norm) join hosts using (host) where n >= 10 and n * 100 > 5 * texts
+), line_words as (
+  select l.rid, l.norm <> '' has_word,
+    len(list_filter(regexp_split_to_array(l.line, '{SPACE}'), lambda x: x <> '')) n, l.line,
+    f.norm is not null and f.first_t <> l.t lost
+  from l left join freq f on f.host = l.host and f.norm = l.norm
+), per as (
+  select rid, count(*) filter (has_word) - count(distinct line) filter (has_word) n_dup_lines,
+    count(*) filter (lost) n_frequent_lines, coalesce(sum(n) filter (not lost), 0)::bigint n_words_left
+  from line_words group by rid
+), c as (
+  select w.doc_id, len(words)::bigint n_words, length(regexp_replace(t, '{SPACE}', '', 'g'))::bigint word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint n_symbols, per.n_dup_lines,
+    coalesce(covered.n, 0)::bigint n_repeat_words, n_frequent_lines, n_words_left
+  from w left join covered using (rid) left join per using (rid)
+), b as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from c
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not (n_words_left < 50 or n_words_left * 100 < n_words * 50) kept,
+  n_frequent_lines, n_words_left from b
+"""

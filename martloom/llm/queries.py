@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import packing, sharding, simhash
+from martloom.llm import line_frequency, packing, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,13 @@ def op10_simhash_near_dup(spark, sf_dir):
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op2_line_frequency(spark, sf_dir):
+    judged = line_frequency.judge(read(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("in_doc_id").alias("doc_id"),
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_frequent_lines", "n_words_left",
+    )
