@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import line_frequency, packing, sharding, simhash
+from martloom.llm import decontamination, line_frequency, packing, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,10 @@ def op2_line_frequency(spark, sf_dir):
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_frequent_lines", "n_words_left",
     )
+
+
+@query
+def op3_template_decontamination(spark, sf_dir):
+    return decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
