@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontamination, line_frequency, packing, sharding, simhash
+from martloom.llm import decontamination, line_frequency, packing, sanitisation, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,30 @@ def op3_template_decontamination(spark, sf_dir):
     return decontamination.contaminated(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op6_information_pii(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    done = sanitisation.sanitised(docs)
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    def count(kind):
+        return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in sanitisation.KINDS]
+    base = F.filter("_spans", lambda s: s["kind"].isin(*sanitisation.KINDS))
+    return done.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("_spans")).alias("spans"),
+    )
