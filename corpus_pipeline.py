@@ -12,7 +12,11 @@ from martloom.llm.common import read, stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
-    ("pack", stages.pack),
+    ("quality_rules", stages.quality),
+    ("simhash_near_dup", stages.near_duplicates),
+    ("decontamination", stages.decontaminate),
+    ("personal_data", stages.personal_data),
+    ("packing", stages.pack),
 ]
 # Tokenizing and packing have no SQL counterpart; tests hold each stage against brute force.
 ORACLE_SQL: str | None = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontamination, line_frequency, packing, sanitisation, sharding, simhash
+from martloom.llm import arrow_sequences, decontamination, line_frequency, packing, sanitisation, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,12 @@ def op6_information_pii(spark, sf_dir):
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("_spans")).alias("spans"),
     )
+
+
+@query
+def op4_arrow_sequences(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    folder, path = arrow_sequences.new_folder(docs), public_tokenizers.path("byte_bpe_50k.json")
+    files = arrow_sequences.write_sequences(docs, folder, path, end_id=2)
+    back = arrow_sequences.read_documents(files, folder)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
