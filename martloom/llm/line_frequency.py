@@ -207,7 +207,9 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
 
 def keep_good(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
     """The documents that pass, with frequent lines removed and ``n_chars`` counted anew if there."""
-    judged = judge(docs, limits, host).where("kept")
+    # Stored before the filter, which else is pushed down and evaluates all counts twice.
+    judged = judge(docs, limits, host).drop("in_text")
+    judged = stored(judged, compression="zstd").where("kept")
     made = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
     return judged.select(
         *[made.get(c, F.col(f"in_{c}")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
