@@ -75,7 +75,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     found. Null texts have no windows; a null item_id stays, repeated items count once.
     """
     rows = benchmark.select(benchmark["item_id"].cast("long"), whole_text().alias("_text")).distinct()
-    tokens = with_template(rows).where(F.size("template") > 0)
+    tokens = stored(with_template(rows)).where(F.size("template") > 0)
     tokens = tokens.withColumns(
         {
             "_hashes": F.transform("template", lambda t: F.xxhash64(t)),
@@ -115,10 +115,11 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     for length in lengths:
         places = F.sequence(F.lit(1), F.size("_hashes") - (length - 1))
-        windows = F.transform(places, lambda i: window_at(i, length))
-        rows = hashed.where(F.size("_hashes") >= length).select(
-            "text_hash", F.posexplode(windows).alias("_at", "window")
+        # No filter on the size: it would be pushed down and compute all templates twice.
+        windows = F.when(
+            F.size("_hashes") >= length, F.transform(places, lambda i: window_at(i, length))
         )
+        rows = hashed.select("text_hash", F.posexplode(windows).alias("_at", "window"))
         side = small_side(keys.where(F.col("length") == length).drop("length"))
         met = rows.join(side, "window").select(
             "text_hash", "item_id", "place", (F.col("_at") + 1 - F.col("place")).alias("diagonal")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martloom.llm import licences
+
 ORACLES: dict[str, str] = {}
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -53,3 +55,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and not (n_words_left < 50 or n_words_left * 100 < n_words * 50) kept,
   n_frequent_lines, n_words_left from b
 """
+
+
+def licence_sql() -> str:
+    """The rules as nested replacements over the identifiers of a document."""
+    values = ", ".join(f"('{normal}', '{name}')" for normal, name in licences.known_sentences().items())
+    left, steps = "',' || list_aggregate(ids, 'string_agg', ',,') || ','", []
+    for k, (_, rule) in enumerate(licences.RULES):
+        sequence = "," + ",,".join(rule) + ","
+        source = "m" if k == 0 else f"r{k - 1}"
+        seen = f"contains(s, '{sequence}') as rule{k}"
+        first = f"(select *, {left} as s from m)" if k == 0 else source
+        steps.append(f"r{k} as (select * exclude (s), {seen}, replace(s, '{sequence}', '') as s from {first})")
+    names = ", ".join(f"case when rule{k} then '{name}' end" for k, (name, _) in enumerate(licences.RULES))
+    return rf"""
+with known(normal, sentence_id) as (values {values}),
+s as (
+  select rid, doc_id, unnest(parts) part, generate_subscripts(parts, 1) i from (
+    select row_number() over () rid, doc_id, string_split(regexp_replace(
+      regexp_replace(coalesce(text, ''), '{licences.VERSION}', '', 'g'),
+      '{licences.END}', '' || chr(1), 'g'), chr(1)) parts from documents)
+), p as (
+  select rid, doc_id, i, unnest(lines) line, generate_subscripts(lines, 1) j from (
+    select *, case when contains(part, chr(10)) then list_concat([part], string_split(part, chr(10)))
+      else [part] end as lines from s)
+), m as (
+  select rid, doc_id, list(sentence_id order by i, j, sentence_id) ids
+  from p join known on trim(regexp_replace(lower(line), '{licences.NOT_LETTERS}', ' ', 'g')) = normal
+  group by all
+), {", ".join(steps)}
+, f as (select doc_id, ids, s, list_filter([{names}], lambda x: x is not null) names from r{len(licences.RULES) - 1})
+select doc_id,
+  case when len(names) > 0 then list_aggregate(list_filter(names, lambda x, i: list_position(names, x) = i), 'string_agg', ',') end licences,
+  list_aggregate(ids, 'string_agg', ',') sentences,
+  len(list_filter(string_split(s, ','), lambda x: x <> ''))::bigint unmatched from f
+"""
+
+
+ORACLES["op8_licence_sentences"] = licence_sql()

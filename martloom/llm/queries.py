@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import arrow_sequences, decontamination, line_frequency, packing, sanitisation, sharding, simhash
+from martloom.llm import arrow_sequences, decontamination, licences, line_frequency, packing, sanitisation, sharding, simhash
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,8 @@ def op4_arrow_sequences(spark, sf_dir):
     files = arrow_sequences.write_sequences(docs, folder, path, end_id=2)
     back = arrow_sequences.read_documents(files, folder)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_licence_sentences(spark, sf_dir):
+    return licences.licences(read(spark, sf_dir, "documents"))
