@@ -93,3 +93,71 @@ select doc_id,
 
 
 ORACLES["op8_licence_sentences"] = licence_sql()
+
+# The mails are parsed line by line; links are looked up by text instead of by hash.
+ORACLES["op5_quotation_linking"] = r"""
+with recursive said as (
+  select conv_id, turn, min(text) said from conversations group by all
+), mails as (
+  select row_number() over () rid, c.conv_id, c.turn,
+    coalesce('> > ' || replace(b.said, chr(10), chr(10) || '> > ') || chr(10), '')
+    || coalesce('> ' || replace(case when c.turn % 3 = 2 then string_split(a.said, chr(10))[1] else a.said end,
+                                chr(10), chr(10) || '> ') || chr(10), '')
+    || coalesce(c.text, '') mail
+  from conversations c
+  left join said a on a.conv_id = c.conv_id and a.turn + 1 = c.turn
+  left join said b on b.conv_id = c.conv_id and b.turn + 2 = c.turn
+), lines as (
+  select rid, conv_id, turn, i, length(regexp_replace(regexp_extract(l, '^(?:[ \t]*>)+ ?'), '[^>]', '', 'g')) lvl,
+    substr(l, length(regexp_extract(l, '^(?:[ \t]*>)+ ?')) + 1) said
+  from (select rid, conv_id, turn, unnest(x) l, generate_subscripts(x, 1) i
+        from (select *, string_split(mail, chr(10)) x from mails))
+), runs as (
+  select *, sum(case when lvl = prev then 0 else 1 end) over (partition by rid order by i) run
+  from (select *, lag(lvl) over (partition by rid order by i) prev from lines)
+), own as (
+  select rid, conv_id, turn, coalesce(string_agg(said, chr(10) order by i) filter (lvl = 0), '') own
+  from lines group by all
+), passages as (
+  select rid, conv_id, turn, lvl, run,
+    lower(trim(regexp_replace(string_agg(said, ' ' order by i), '[\x20\x09-\x0D]+', ' ', 'g'))) whole,
+    lower(trim(regexp_replace(arg_min(said, i), '[\x20\x09-\x0D]+', ' ', 'g'))) line
+  from runs where lvl > 0 group by all having whole <> ''
+), units as (
+  select distinct conv_id, turn, u from (
+    select conv_id, turn, lower(trim(regexp_replace(own, '[\x20\x09-\x0D]+', ' ', 'g'))) u from own
+    union all
+    select conv_id, turn, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g')))
+    from (select conv_id, turn, unnest(string_split(own, chr(10))) l from own))
+  where u <> ''
+), here as (
+  select conv_id, u, min(turn) turn from units group by all
+), anywhere as (
+  select u, min({'c': conv_id, 't': turn}) o from units group by all
+), asked as (
+  select rid, conv_id, turn, lvl, run, 0 how, whole u from passages
+  union all select rid, conv_id, turn, lvl, run, 1, line from passages
+), targets as (
+  select q.rid, q.lvl, q.run, how,
+    case when h.turn < q.turn then 0 else 1 end far,
+    case when h.turn < q.turn then q.conv_id when a.o.c < q.conv_id then a.o.c end tc,
+    case when h.turn < q.turn then h.turn when a.o.c < q.conv_id then a.o.t end tt
+  from asked q left join here h on h.conv_id = q.conv_id and h.u = q.u left join anywhere a on a.u = q.u
+), linked as (
+  select rid, lvl, run, arg_min({'c': tc, 't': tt}, far * 2 + how) dest
+  from targets where tc is not null group by all
+), per as (
+  select rid, count(*) n_linked, min({'l': lvl, 'c': -dest.c, 't': -dest.t}) best from linked group by all
+), msgs as (
+  select own.*, (select count(*) from passages p where p.rid = own.rid) n_passages,
+    coalesce(n_linked, 0) n_linked, -best.c reply_conv, -best.t reply_turn
+  from own left join per using (rid)
+), tree as (
+  select conv_id, turn, conv_id root_conv, turn root_turn, 0::bigint depth from msgs where reply_conv is null
+  union all
+  select m.conv_id, m.turn, t.root_conv, t.root_turn, t.depth + 1
+  from msgs m join tree t on m.reply_conv = t.conv_id and m.reply_turn = t.turn
+)
+select m.conv_id, m.turn, n_passages, n_linked, reply_conv || ':' || reply_turn reply_to, root_conv, root_turn, depth, md5(own) own_md5
+from msgs m join tree t using (conv_id, turn)
+"""

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import arrow_sequences, decontamination, licences, line_frequency, packing, sanitisation, sharding, simhash
+from martloom.llm import (
+    arrow_sequences,
+    decontamination,
+    licences,
+    line_frequency,
+    packing,
+    quotations,
+    sanitisation,
+    sharding,
+    simhash,
+)
 from martloom.llm.common import read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +107,16 @@ def op4_arrow_sequences(spark, sf_dir):
 @query
 def op8_licence_sentences(spark, sf_dir):
     return licences.licences(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quotation_linking(spark, sf_dir):
+    # The turns hold no quotes of their own; as mails, each quotes the turns before it.
+    mails = quotations.as_mail(read(spark, sf_dir, "conversations"))
+    ordered = quotations.reply_order(mails)
+    reply_to = F.concat_ws(":", "reply_conv", "reply_turn")
+    return ordered.select(
+        "conv_id", "turn", "n_passages", "n_linked",
+        F.when(F.col("reply_conv").isNotNull(), reply_to).alias("reply_to"),
+        "root_conv", "root_turn", "depth", F.md5("own").alias("own_md5"),
+    )
