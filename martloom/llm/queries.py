@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     arrow_sequences,
     decontamination,
+    language,
     licences,
     line_frequency,
     packing,
@@ -120,3 +121,9 @@ def op5_quotation_linking(spark, sf_dir):
         F.when(F.col("reply_conv").isNotNull(), reply_to).alias("reply_to"),
         "root_conv", "root_turn", "depth", F.md5("own").alias("own_md5"),
     )
+
+
+@query
+def op7_byte_network_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return language.identify(docs).withColumn("held_out", language.held_out())
