@@ -30,3 +30,24 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def _framed_name(docs: DataFrame, column: str) -> str:
+    # Arrow functions cannot address names with dots.
+    number = f"{docs.columns.index(column)}_" if "." in column else ""
+    return f"in_{number}{column.replace('.', '_')}"
+
+
+def framed(docs: DataFrame) -> DataFrame:
+    """The rows with ``in_`` before each column's name, so that added names never clash."""
+    return docs.select(*[F.col(f"`{c}`").alias(_framed_name(docs, c)) for c in docs.columns])
+
+
+def unframed(rows: DataFrame, docs: DataFrame, **made: Column) -> DataFrame:
+    """The columns of ``docs`` again, under their names and types; ``made`` replaces some."""
+    return rows.select(
+        *[
+            made.get(c, F.col(_framed_name(docs, c))).cast(docs.schema[c].dataType).alias(c)
+            for c in docs.columns
+        ]
+    )

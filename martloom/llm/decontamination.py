@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import small_side, stored, whole_text
+from martloom.llm.common import framed, small_side, stored, unframed, whole_text
 
 WINDOW = 8
 # The share of an item's windows that must be found.
@@ -226,6 +226,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that hold no benchmark item."""
     held = stored(contaminated_texts(docs, benchmark, window).select("text_hash").distinct())
-    hashed = docs.withColumn("_hash", F.xxhash64(docs["text"]))
+    rows = framed(docs).withColumn("_hash", F.xxhash64("in_text"))
     side = small_side(held.withColumnRenamed("text_hash", "_held"))
-    return hashed.join(side, F.col("_hash") == F.col("_held"), "left_anti").select(*docs.columns)
+    return unframed(rows.join(side, F.col("_hash") == F.col("_held"), "left_anti"), docs)

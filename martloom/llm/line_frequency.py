@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import BROADCAST_ROWS, stored, whole_text
+from martloom.llm.common import BROADCAST_ROWS, framed, stored, unframed, whole_text
 
 SPACE = r"[\x20\x09-\x0D]+"
 SALTS = 64
@@ -153,7 +153,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
     A null text has no words and fails; a null host is a host of its own; repeated rows stay and
     get the same verdict; null ids come last when the text that keeps a line is chosen.
     """
-    given = docs.select(*[F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns])
+    given = framed(docs)
     rows = given.withColumns(
         {
             "host": F.coalesce(F.concat(F.lit("="), F.col(f"in_{host}")), F.lit("")),
@@ -199,7 +199,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
         F.col("n_words_left") * 100 < F.col("n_words") * limits.min_left_percent
     )
     return judged.withColumn("kept", ~F.col("base_failed") & ~depleted).select(
-        *given.columns,
+        *[F.col(f"`{c}`") for c in given.columns],
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "n_frequent_lines", "n_words_left", "kept", "clean_text",
     )
@@ -210,7 +210,6 @@ def keep_good(docs: DataFrame, limits: Limits = Limits(), host: str = "source")
     # Stored before the filter, which else is pushed down and evaluates all counts twice.
     judged = judge(docs, limits, host).drop("in_text")
     judged = stored(judged, compression="zstd").where("kept")
-    made = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return judged.select(
-        *[made.get(c, F.col(f"in_{c}")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    return unframed(
+        judged, docs, text=F.col("clean_text"), n_chars=F.length("clean_text").cast("long")
     )

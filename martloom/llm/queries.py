@@ -71,8 +71,7 @@ def op3_template_decontamination(spark, sf_dir):
 
 @query
 def op6_information_pii(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    done = sanitisation.sanitised(docs)
+    done = sanitisation.sanitised(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
     def listed(spans):
         return F.array_join(
@@ -84,15 +83,15 @@ def op6_information_pii(spark, sf_dir):
         )
 
     def count(kind):
-        return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long")
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
     counts = [count(kind).alias(f"n_{kind}") for kind in sanitisation.KINDS]
-    base = F.filter("_spans", lambda s: s["kind"].isin(*sanitisation.KINDS))
+    base = F.filter("spans", lambda s: s["kind"].isin(*sanitisation.KINDS))
     return done.select(
-        "doc_id",
+        F.col("in_doc_id").alias("doc_id"),
         *counts,
         F.sha2(listed(base), 256).alias("base_sha256"),
-        listed(F.col("_spans")).alias("spans"),
+        listed(F.col("spans")).alias("spans"),
     )
 
 

@@ -25,6 +25,7 @@ def normal(text: Column) -> Column:
 def as_mail(turns: DataFrame) -> DataFrame:
     """The turns (conv_id, turn, text) as mails: each quotes the turn before it and what that one
     quoted of its own predecessor; every third turn quotes only the first line."""
+    turns = turns.select("conv_id", "turn", "text")
     said = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
 
     def before(steps: int) -> DataFrame:

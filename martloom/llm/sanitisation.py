@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martloom.llm.common import small_side, stored, whole_text
+from martloom.llm.common import framed, small_side, stored, unframed, whole_text
 
 # The patterns and their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -235,41 +235,40 @@ def _apply(how: Disclosure):
         for batch in batches:
             spans, texts = [], []
             for text, terms in zip(
-                batch.column("_text").to_pylist(), batch.column("_terms").to_pylist(), strict=True
+                batch.column("in_text").to_pylist(), batch.column("_terms").to_pylist(), strict=True
             ):
                 found = base_spans(text or "")
                 if terms and found:
                     found += term_spans(text, found, terms, how)
                 spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in found])
                 texts.append(cleaned(text, found) if found else text)
-            kept = batch.drop_columns(["_text", "_terms"])
-            yield kept.append_column("_spans", pa.array(spans, kind)).append_column(
-                "_clean", pa.array(texts, pa.string())
+            kept = batch.drop_columns(["in_text", "_terms"])
+            yield kept.append_column("spans", pa.array(spans, kind)).append_column(
+                "clean_text", pa.array(texts, pa.string())
             )
 
     return of
 
 
 def sanitised(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
-    """Every row of ``docs`` without its text, then ``_spans`` and the cleaned text ``_clean``.
+    """Every row of ``docs`` (columns prefixed ``in_``, without the text), then spans and clean_text.
 
-    _spans holds (kind, start, end) in code points: email, ip, card, phone, generalised, removed,
+    spans holds (kind, start, end) in code points: email, ip, card, phone, generalised, removed,
     each by start. A null text has no spans and stays null; repeated rows stay; texts without
-    entities are left as they are.
+    entities are left as they are; an empty table gives an empty one.
     """
     terms = stored(disclosing_terms(docs, how))
     side = small_side(terms.select(F.col("text_hash").alias("_of"), F.col("terms").alias("_terms")))
-    hashed = docs.withColumn("_hash", F.xxhash64(docs["text"])).withColumnRenamed("text", "_text")
+    hashed = framed(docs).withColumn("_hash", F.xxhash64("in_text"))
     rows = hashed.join(side, F.col("_hash") == F.col("_of"), "left").drop("_hash", "_of")
-    schema = StructType([f for f in rows.schema.fields if f.name not in ("_text", "_terms")])
-    schema = schema.add("_spans", StructType.fromDDL(f"s {SPANS}")["s"].dataType).add("_clean", "string")
-    return rows.mapInArrow(_apply(how), schema)
+    schema = StructType([f for f in rows.schema.fields if f.name not in ("in_text", "_terms")])
+    schema = schema.add("spans", StructType.fromDDL(f"s {SPANS}")["s"].dataType)
+    return rows.mapInArrow(_apply(how), schema.add("clean_text", "string"))
 
 
 def without_personal_data(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
     """The documents with cleaned texts, and ``n_chars`` counted anew if there."""
     done = sanitised(docs, how)
-    made = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
-    return done.select(
-        *[made.get(c, F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    return unframed(
+        done, docs, text=F.col("clean_text"), n_chars=F.length("clean_text").cast("long")
     )

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import small_side, stored
+from martloom.llm.common import framed, small_side, stored, unframed
 
 SHINGLE = 4
 RADIUS = 4
@@ -365,17 +365,16 @@ def one_per_group(docs: DataFrame, **how: int) -> DataFrame:
     fate = stored(
         ranked.groupBy("doc_id", "text_hash").agg(F.max(same).alias("stays"), F.count("*").alias("n"))
     )
-    columns = docs.columns
-    hashed = docs.withColumn("_hash", F.xxhash64(docs["text"]))
+    hashed = framed(docs).withColumn("_hash", F.xxhash64("in_text"))
 
-    def met(side: DataFrame, how_joined: str) -> DataFrame:
+    def met(side: DataFrame, kind: str) -> DataFrame:
         side = small_side(side.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of")))
-        on = hashed["doc_id"].cast("long").eqNullSafe(side["_id"]) & (hashed["_hash"] == side["_of"])
-        return hashed.join(side, on, how_joined)
+        same_id = F.col("in_doc_id").cast("long").eqNullSafe(F.col("_id"))
+        return hashed.join(side, same_id & (F.col("_hash") == F.col("_of")), kind)
 
     repeated = fate.where("stays and n > 1")
-    kept = met(fate.where("not stays or n > 1"), "left_anti").select(*columns)
+    kept = unframed(met(fate.where("not stays or n > 1"), "left_anti"), docs)
     if repeated.isEmpty():
         return kept
-    again = met(repeated, "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return kept.unionByName(again.select(*columns))
+    again = met(repeated, "left_semi").dropDuplicates(["in_doc_id", "_hash"])
+    return kept.unionByName(unframed(again, docs))
