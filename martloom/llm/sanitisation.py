@@ -144,13 +144,26 @@ def _contexts(window: int):
     return of
 
 
-def term_counts(texts: DataFrame, wanted: DataFrame, how: Disclosure) -> DataFrame:
-    """term, n_t: how many different texts hold each wanted term; every text is read whole."""
+def copy_counts(texts: DataFrame) -> DataFrame:
+    """text_hash, copies of the texts that occur more than once."""
+    counts = texts.groupBy("text_hash").agg(F.count("*").alias("copies"))
+    return stored(counts.where("copies > 1"))
+
+
+def term_counts(
+    texts: DataFrame, copies: DataFrame, wanted: DataFrame, how: Disclosure
+) -> DataFrame:
+    """term, n_t: how many different texts hold each wanted term; every text is read whole.
+
+    A copy counts as the part that it is of all copies, so that rows can be summed where they
+    arise and only sums are shuffled.
+    """
+    weighed = texts.join(small_side(copies, how.broadcast_terms), "text_hash", "left")
     words = F.array_distinct(F.transform(F.split("_text", _BETWEEN), F.lower))
-    rows = texts.select("text_hash", F.explode(words).alias("word"))
-    rows = rows.select("text_hash", F.xxhash64("word").alias("term"))
+    rows = weighed.select(F.explode(words).alias("word"), "copies")
+    rows = rows.select(F.xxhash64("word").alias("term"), (1 / F.coalesce("copies", F.lit(1))).alias("part"))
     side = small_side(wanted.select("term").distinct(), how.broadcast_terms)
-    return rows.join(side, "term").groupBy("term").agg(F.count_distinct("text_hash").alias("n_t"))
+    return rows.join(side, "term").groupBy("term").agg(F.round(F.sum("part")).alias("n_t"))
 
 
 def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
@@ -158,7 +171,9 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     texts = docs.select(F.xxhash64(docs["text"]).alias("text_hash"), whole_text().alias("_text"))
     near_schema = "text_hash long, entity string, terms array<string>"
     found = stored(texts.mapInArrow(_contexts(how.window), near_schema))
-    n = float(texts.agg(F.count_distinct("text_hash")).first()[0])
+    copies = copy_counts(texts)
+    more = copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
+    n = float(texts.count() - more)
     mentions = found.select("text_hash", "entity").distinct()
     known = mentions.groupBy("entity").agg(F.count("*").alias("n_c"))
     # Entities of fewer texts cannot have a term in enough of them.
@@ -177,7 +192,7 @@ def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFra
     most = F.col("n_ct") * F.pow(F.lit(n) / F.col("n_c"), F.lit(1 - how.generalise))
     pairs = pairs.join(at_least, "word").where(F.col("at_least") <= most * 1.000001)
     pairs = stored(pairs.withColumn("term", F.xxhash64("word")))
-    counts = term_counts(texts, pairs, how)
+    counts = term_counts(texts, copies, pairs, how)
     told = F.log2(F.col("n_ct") * F.lit(n) / (F.col("n_c") * F.col("n_t")))
     bits = F.log2(F.lit(n) / F.col("n_c"))
     shares = pairs.join(counts, "term").select(
