@@ -11,11 +11,14 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
-# Entries of a cache's young half; a full half becomes the old one. About 250 MB a worker.
-CACHE_ENTRIES = 350_000
+# Entries of the young half of the words' cache, and of that of the parts that words consist of; a
+# full half becomes the old one. About 250 MB a worker.
+CACHE_ENTRIES = 500_000
+PART_ENTRIES = 150_000
 
 # Words of these characters are the same in every Unicode normal form in use, and their letters
 # and digits are known without tables; all others go through the library.
@@ -36,14 +39,53 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+
+
 # White space that is neither one blank nor one line break between two words.
 _ODD_SPACE = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+_ODD_PAIRS = (b"  ", b" \n", b"\n ", b"\n\n")
+_ODD_BYTES = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+# How white space outside of ASCII starts in UTF-8; other characters may start so, too.
+_WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 # Places where a byte-level pattern certainly starts a new pre-token.
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 _encoders: dict[str, Encoder] = {}
 
 
+def _has_odd_space(text: str, data: bytes) -> bool:
+    if data[:1] in b" \n" or data[-1:] in b" \n" or any(p in data for p in _ODD_PAIRS):
+        return True
+    if len(data.translate(None, _ODD_BYTES)) < len(data):
+        return True
+    return any(p in data for p in _WIDE_SPACE) and bool(_ODD_SPACE.search(text))
+
+
+class Cache:
+    """Ids by piece of text; a full young half becomes the old one."""
+
+    def __init__(self, make: Callable[[str], bytes], lead: str = "", entries: int = CACHE_ENTRIES):
+        self.make, self.lead, self.entries = make, lead, entries
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _new(self, piece: bytes) -> bytes:
+        found = self.old.get(piece) or self.make(self.lead + piece.decode())
+        if len(self.young) >= self.entries:
+            self.old, self.young = self.young, {}
+        self.young[piece] = found
+        return found
+
+    def one(self, piece: bytes) -> bytes:
+        return self.young.get(piece) or self._new(piece)
+
+    def all(self, pieces: list[bytes]) -> list[bytes]:
+        found = list(map(self.young.get, pieces))
+        if not all(found):
+            found = [f or self._new(p) for f, p in zip(found, pieces, strict=True)]
+        return found
+
+
 class Encoder:
     """``ids(text)`` equals ``encode(text, add_special_tokens=False).ids`` as unsigned ids.
 
@@ -61,33 +103,22 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.merge = self.tokenizer.model.tokenize
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            found = self.old_parts.get(part)
-            if found is None:
-                found = array(self.code, [t.id for t in self.merge(part)]).tobytes()
-            if len(self.parts) >= CACHE_ENTRIES:
-                self.old_parts, self.parts = self.parts, {}
-            self.parts[part] = found
-        return found
+        self.parts = Cache(self._merged, entries=PART_ENTRIES)
+        # Words after a blank have it in their first id; the rest start a line or text.
+        self.words = Cache(self._split_word, " " if self.keeps_space else "")
+        self.first_words = Cache(self._split_word)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word that the young words lack."""
-        found = self.old_words.get(word)
-        if found is None:
-            found = self._split_word(word)
-        if len(self.words) >= CACHE_ENTRIES:
-            self.old_words, self.words = self.words, {}
-        self.words[word] = found
-        return found
+    def _merged(self, part: str) -> bytes:
+        return array(self.code, [t.id for t in self.merge(part)]).tobytes()
 
     def _split_word(self, word: str) -> bytes:
+        # Most words are letters, some with a mark behind them: two parts at most.
+        body, tail = (word[:-1], word[-1]) if word[-1] in ",." else (word, "")
+        letters = body[1:] if body[:1] == " " else body
+        if letters.isalpha() and letters.isascii():
+            part = letters if len(letters) == len(body) else "Ġ" + letters
+            found = self._part(part if self.keeps_space else part.lower())
+            return found + self._part(tail) if tail else found
         if _PLAIN.fullmatch(word):
             parts = (
                 _BYTE_PARTS.findall(word)
@@ -103,26 +134,27 @@ class Encoder:
             parts = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
         return b"".join(map(self._part, parts))
 
-    def _cut(self, text: str) -> list[str]:
-        if not self.keeps_space:
-            return [w.decode() for w in text.encode("utf-8", "replace").split()]
-        if not text:
-            return []
-        if _ODD_SPACE.search(text):
-            return _SAFE_CUT.split(text)
-        cut: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            cut.append(first)
-            cut += [" " + word for word in rest]
-            cut.append("\n")
-        cut.pop()
-        return cut
+    def _part(self, part: str) -> bytes:
+        return self.parts.one(part.encode())
 
     def ids(self, text: str) -> np.ndarray:
-        new = self._word
-        joined = b"".join([self.words.get(w) or new(w) for w in self._cut(text)])
-        return np.frombuffer(joined, self.dtype)
+        data = text.encode()
+        if not self.keeps_space:
+            found = self.words.all(data.split())
+        elif not data:
+            found = []
+        elif _has_odd_space(text, data):
+            found = self.first_words.all([p.encode() for p in _SAFE_CUT.split(text)])
+        else:
+            (line_break,) = self.first_words.all([b"\n"])
+            found = []
+            for line in data.split(b"\n"):
+                first, *rest = line.split(b" ")
+                found += self.first_words.all([first])
+                found += self.words.all(rest)
+                found.append(line_break)
+            found.pop()
+        return np.frombuffer(b"".join(found), self.dtype)
 
 
 def encoder(path: str) -> Encoder:
