@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import inspect
 
+from martloom.plans.catalog_layers import publish
 from martloom.plans.pipeline import BATCH_MODE, INCREMENTAL_MODE, run_job
 from martloom.plans.reports import Reports
 from martloom.session import get_session
@@ -12,7 +13,7 @@ from martloom.session import get_session
 _REPORTS = sorted(
     n
     for n, f in inspect.getmembers(Reports, inspect.isfunction)
-    if not n.startswith("_") and n not in ("table", "published_run", "register_views")
+    if not n.startswith("_") and n not in ("table", "published_run", "register_views", "compact")
 )
 
 
@@ -23,22 +24,35 @@ def main() -> None:
     run.add_argument("--raw", required=True)
     run.add_argument("--storage", required=True)
     run.add_argument("--mode", choices=(BATCH_MODE, INCREMENTAL_MODE), default=BATCH_MODE)
-    run.add_argument("--buckets", type=int, default=16, help="of a new upserted table")
     run.add_argument("--keep", choices=("latest", "earliest"), default="latest")
+    run.add_argument("--reject-malformed", action="store_true", help="reject broken CSV rows")
+    run.add_argument("--catalog", metavar="SCHEMA", help="also publish the layers as tables")
+    compact = commands.add_parser("compact", help="fold the batches of upserted tables")
+    compact.add_argument("--storage", required=True)
     report = commands.add_parser("report", help="show a report of the newest run")
     report.add_argument("name", choices=_REPORTS)
     report.add_argument("--storage", required=True)
     report.add_argument("--table", help="for the reports on rejects")
     report.add_argument("--limit", type=int)
     args = parser.parse_args()
+    if args.command == "report":
+        wanted = inspect.signature(getattr(Reports, args.name)).parameters.get("table")
+        if wanted is not None and wanted.default is inspect.Parameter.empty and not args.table:
+            parser.error(f"report {args.name} needs --table")
 
     spark = get_session()
     if args.command == "run":
         done = run_job(
-            spark, args.raw, args.storage, mode=args.mode, keep=args.keep, buckets=args.buckets
-        )
+            spark, args.raw, args.storage,
+            mode=args.mode, keep=args.keep, reject_malformed=args.reject_malformed,
+        )
+        if args.catalog:
+            publish(spark, args.storage, args.catalog)
         print(done["execution_id"], done["status"])
         return
+    if args.command == "compact":
+        Reports(spark, args.storage).compact()
+        return
     given = {"table": args.table, "n": args.limit}
     method = getattr(Reports(spark, args.storage), args.name)
     takes = inspect.signature(method).parameters

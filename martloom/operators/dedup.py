@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.operators.skew import hot_key_hashes, key_hash
-
 DUPLICATE = "_is_duplicate"
-_SALT, _LANE = "_dedup_salt", "_dedup_lane"
+_SPLIT, _LANE = "_dedup_split", "_dedup_lane"
 
 
 def survivor_order(
@@ -30,45 +28,23 @@ def survivor_order(
     return first + [F.col(c).asc_nulls_first() for c in columns if c != recency]
 
 
-def mark_duplicates(
-    df: DataFrame,
-    key: Sequence[str],
-    order: Sequence[Column],
-    *,
-    colocate: Sequence[str] | None = None,
-    hot: Sequence[int] | None = None,
-) -> DataFrame:
+def mark_duplicates(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Add ``_is_duplicate``: false for one row per key, true for its other copies.
 
-    NULL keys equal each other here. ``colocate`` names a part of the key to shuffle by,
-    so that a later aggregate or join on it needs no further shuffle. The shuffle is asked
-    for by name: for readers of the survivors alone, Spark would otherwise sort every input
-    split before it, which is lost work where keys are mostly unique. Rows of hot keys
-    (``hot``: hashes over ``colocate`` or the key, looked up when None) are ranked in two
-    steps: first per input split, then only the winners of the splits meet in one group.
-    The split number is a property of the input, so a repeated task gives the same ranks,
-    and it also separates exact copies, which no hash of the row could.
+    NULL keys equal each other here. Rows are ranked in two steps whatever the data: first the
+    copies of a key within their input split, then only the winners of the splits meet in one
+    group, while the losers stay spread by their split. A key's last group so has no more rows
+    than the input has splits, and one plan with one scan serves unique keys and hot ones. The
+    split number is a property of the input, so a repeated task gives the same ranks; of exact
+    copies, it does not matter which one stays.
     """
-    spread_by = list(colocate or key)
-    if hot is None:
-        hot = hot_key_hashes(df, spread_by)
 
     def rank_over(*parts: str) -> Column:
         return F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
 
-    def plain(rows: DataFrame) -> DataFrame:
-        return rows.repartition(*spread_by).withColumn(DUPLICATE, rank_over(*key) > 1)
-
-    if not hot:
-        return plain(df)
-
-    is_hot = key_hash(spread_by).isin(list(hot))
-    split_winner = F.col(_LANE) == -1
-    salted = (
-        df.where(is_hot)
-        .withColumn(_SALT, F.spark_partition_id())
-        .withColumn(_LANE, F.when(rank_over(*key, _SALT) == 1, -1).otherwise(F.col(_SALT)))
-        .withColumn(DUPLICATE, ~split_winner | (rank_over(*key, _LANE) > 1))
-        .drop(_SALT, _LANE)
+    return (
+        df.withColumn(_SPLIT, F.spark_partition_id())
+        .withColumn(_LANE, F.when(rank_over(*key, _SPLIT) == 1, -1).otherwise(F.col(_SPLIT)))
+        .withColumn(DUPLICATE, (F.col(_LANE) != -1) | (rank_over(*key, _LANE) > 1))
+        .drop(_SPLIT, _LANE)
     )
-    return plain(df.where(~is_hot)).unionByName(salted)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.functions import any_null
 from martloom.functions.casts import apply_casts
 from martloom.operators.dedup import DUPLICATE, mark_duplicates, survivor_order
+from martloom.sources import paths
 from martloom.sources.registry import TableSpec
 
 STATUS = "_dq_status"
@@ -37,8 +38,6 @@ def label(
     *,
     keep: str = "latest",
     order: Sequence[Column] | None = None,
-    colocate: Sequence[str] | None = None,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Cast, mark duplicates, apply the rules; no row is lost.
 
@@ -46,7 +45,7 @@ def label(
     invalid is rejected altogether.
     """
     order = order or survivor_order(df.columns, keep=keep)
-    marked = mark_duplicates(df, spec.key, order, colocate=colocate, hot=hot)
+    marked = mark_duplicates(df, spec.key, order)
     typed = apply_casts(marked, spec.casts)
     broken = {DUPLICATE_REASON: F.col(DUPLICATE)}
     broken |= {reason: F.expr(predicate) for reason, predicate in spec.rules}
@@ -112,8 +111,9 @@ def write_labelled(
     seen = Observation()
     observed = labelled.observe(seen, *metric_columns())
     observed.write.mode("overwrite").partitionBy(STATUS).parquet(path)
-    metrics = {name: seen.get.get(name, 0) for name in METRICS}
-    if keep_schema and not metrics["input_records"]:
+    if missing := [name for name in METRICS if name not in seen.get]:
+        raise RuntimeError(f"the write of {path} reported no {', '.join(missing)}")
+    if keep_schema and not paths.glob(labelled.sparkSession, paths.join(path, f"{STATUS}=*")):
         # A partitioned write of no rows leaves no file to read the schema from.
-        labelled.limit(0).write.mode("overwrite").parquet(path)
-    return metrics
+        labelled.limit(0).write.mode("append").parquet(path)
+    return {name: seen.get[name] for name in METRICS}

@@ -48,13 +48,10 @@ def upsert(
         old, new = F.col(k), F.col(f"_new_{k}")
         return old.eqNullSafe(new) if null_safe else old == new
 
-    match = [same(k) for k in keys]
-    if not null_safe:
-        # Rows without a key match nothing. Joined also on a lane, which is the number of
-        # their input split, they are spread instead of meeting in one task.
-        lane = F.when(any_null(keys), F.spark_partition_id()).otherwise(-1)
-        target = target.withColumn("_lane", lane)
-        changed = changed.withColumn("_new_lane", F.lit(-1))
-        match.append(F.col("_lane") == F.col("_new_lane"))
-    kept = target.join(changed, reduce(lambda a, b: a & b, match), "left_anti")
-    return kept.drop("_lane").unionByName(source)
+    match = reduce(lambda a, b: a & b, [same(k) for k in keys])
+    if null_safe:
+        return target.join(changed, match, "left_anti").unionByName(source)
+    # Rows without a key match nothing: they stay out of the join, where they would meet in the
+    # one task that NULL hashes to.
+    kept = target.where(~any_null(keys)).join(changed, match, "left_anti")
+    return kept.unionByName(target.where(any_null(keys))).unionByName(source)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +19,7 @@ def clean_tables(
     *,
     keep: str = "latest",
     tables: Iterable[str] = tuple(CLEANED),
+    specs: Mapping[str, TableSpec] = CLEANED,
 ) -> dict[str, dict[str, int]]:
     """Label and write cleaned tables; returns the metrics per table."""
 
@@ -29,7 +30,7 @@ def clean_tables(
 
         return job
 
-    return parallel(spark, {name: clean(CLEANED[name]) for name in tables})
+    return parallel(spark, {name: clean(specs[name]) for name in tables})
 
 
 def read_valid(spark: SparkSession, out_dir: str, table: str) -> DataFrame:

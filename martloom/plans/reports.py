@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators.label import METRICS, label
+from martloom.operators.label import METRICS, label, rejected_rows, valid_rows
 from martloom.operators.rejects import latest_rejects, reason_counts, rejected_sample
 from martloom.operators.topn import top_n
 from martloom.plans import analysis
@@ -18,12 +18,13 @@ from martloom.plans.pipeline import (
     RAW_STAGE,
     UPSERTED,
     layer_dir,
+    published_batches,
     upserted_table,
 )
 from martloom.plans.runlog import RunLog, run_history
 from martloom.sources import paths
+from martloom.sources.batched_table import BATCH
 from martloom.sources.registry import CLEANED, SOURCES, TableSpec, cleaned_spec
-from martloom.streaming.incremental import BATCH
 
 
 class NothingPublished(LookupError):
@@ -44,9 +45,8 @@ class Reports:
         return self._published()["execution_id"]
 
     def _published(self) -> Row:
-        run = F.struct("execution_id", "mode")
-        good = self.log.runs().where(F.col("status") == "SUCCESS")
-        newest = good.agg(F.max_by(run, "start_time").alias("run")).first()["run"]
+        run = F.struct("execution_id", "mode", "start_time", F.unix_micros("start_time").alias("number"))
+        newest = self.log.published().agg(F.max_by(run, "start_time").alias("run")).first()["run"]
         if newest is None:
             raise NothingPublished(f"no successful run in {self.storage}")
         return newest
@@ -97,8 +97,8 @@ class Reports:
         spec = cleaned_spec(table)
         run = self._published()
         if self._is_upserted(spec.name, run):
-            table = upserted_table(self.spark, self.storage, spec.name)
-            return table.valid(self._labelled_landing(run, spec))
+            current = self._upserted(spec.name).read(self._batches(run))
+            return valid_rows(self._labelled_landing(run, spec)).limit(0) if current is None else current
         return read_valid(self.spark, self._folder(run, CLEAN_STAGE), spec.name)
 
     def rejected(self, table: str) -> DataFrame:
@@ -106,16 +106,27 @@ class Reports:
         spec = cleaned_spec(table)
         run = self._published()
         if self._is_upserted(spec.name, run):
-            table = upserted_table(self.spark, self.storage, spec.name)
-            appended = table.rejects(self._labelled_landing(run, spec))
+            appended = self._upserted(spec.name).rejects(self._batches(run))
+            if appended is None:
+                return rejected_rows(self._labelled_landing(run, spec)).limit(0)
             return latest_rejects(appended, spec.key).drop(BATCH)
         return read_rejected(self.spark, self._folder(run, CLEAN_STAGE), spec.name)
 
-    def table_history(self, table: str) -> DataFrame:
-        """Commits of an upserted table, newest first."""
-        name = cleaned_spec(table).name
-        history = upserted_table(self.spark, self.storage, name).current.history()
-        return history.orderBy(F.desc("version"))
+    def compact(self) -> None:
+        """Fold the batches of the successful runs; do this while no run is going on."""
+        batches = published_batches(self.log)
+        for name in UPSERTED:
+            self._upserted(name).compact(only=batches)
+
+    def reject_total(self, table: str) -> DataFrame:
+        """How many rows of a table are rejected now."""
+        return self.rejected(table).agg(F.count("*").alias("rejected"))
+
+    def _upserted(self, name: str):
+        return upserted_table(self.spark, self.storage, name)
+
+    def _batches(self, run: Row) -> list[int]:
+        return [b for b in published_batches(self.log) if b <= run["number"]]
 
     def register_views(self) -> list[str]:
         """Temporary views over all tables of the published run, for SQL users."""
@@ -134,7 +145,7 @@ class Reports:
 
     def _labelled_landing(self, run: Row, spec: TableSpec) -> DataFrame:
         landed = self.spark.read.parquet(paths.join(self._folder(run, RAW_STAGE), spec.name))
-        return label(landed, spec, hot=[])
+        return label(landed, spec)
 
     def _folder(self, run: Row, layer: str) -> str:
         return layer_dir(self.storage, run["execution_id"], layer)

@@ -31,6 +31,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def data_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching the pattern, and those in folders matching it; hidden ones left out."""
+    fs, hadoop_path = _hadoop(spark, pattern)
+    found, open_ = [], list(fs.globStatus(hadoop_path) or [])
+    while open_:
+        status = open_.pop()
+        if status.getPath().getName()[:1] in "._":
+            continue
+        if status.isDirectory():
+            open_ += list(fs.listStatus(status.getPath()))
+        else:
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def stamp(spark: SparkSession, path: str) -> str:
+    """Path, time and length of a file: differs once the file was replaced."""
+    fs, hadoop_path = _hadoop(spark, path)
+    status = fs.getFileStatus(hadoop_path)
+    return f"{path} {status.getModificationTime()} {status.getLen()}"
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _hadoop(spark, path)
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import csv
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,29 +41,65 @@ def require_sources(spark: SparkSession, raw_dir: str, specs: Iterable[TableSpec
         raise FileNotFoundError(f"no files in {raw_dir} for: {', '.join(missing)}")
 
 
+def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first line; one short read per file, side by side."""
+
+    def header(file: str) -> tuple[str, ...]:
+        line = paths.first_line(spark, file)
+        return tuple(next(csv.reader([line]), ())) if line else ()
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for file, names in zip(files, pool.map(header, files), strict=True):
+            groups.setdefault(names, []).append(file)
+    return groups
+
+
 def read_raw(
-    spark: SparkSession, raw_dir: str, spec: TableSpec, *, keep_malformed: bool = False
+    spark: SparkSession,
+    raw_dir: str,
+    spec: TableSpec,
+    *,
+    keep_malformed: bool = False,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All-string rows plus lineage.
+    """All-string rows plus lineage, of all (or the given) files of a source.
 
-    Declared columns are checked against each file's header; without them the names
-    come from the header of the first file. With ``keep_malformed`` short, long or
-    broken rows carry their text in ``_corrupt_record``.
+    Every file is read by the names in its own header, so the order of columns may differ
+    between files; a column that a file lacks is NULL there, except for the columns the spec
+    declares, whose absence is an error that names the file. With ``keep_malformed`` short, long
+    or broken rows carry their text in ``_corrupt_record``. A file of a ``multi_line`` source is
+    read by one task, so store such a source as many files of some hundred megabytes at most.
     """
-    location = paths.join(raw_dir, spec.files)
+    known = paths.data_files(spark, paths.join(raw_dir, spec.files))
+    groups = read_headers(spark, known if files is None else files or known[:1])
+    for names, located in groups.items():
+        if absent := [c for c in spec.columns if c not in names]:
+            raise ValueError(f"{located[0]}: the header lacks {', '.join(absent)}")
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", spec.multi_line)
-    names = spec.columns or tuple(reader.csv(location).columns)
-    fields = [T.StructField(n, T.StringType()) for n in names]
     if keep_malformed:
-        fields.append(T.StructField(CORRUPT, T.StringType()))
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    elif spec.columns:
-        reader = reader.option("enforceSchema", "false")
-    return reader.schema(T.StructType(fields)).csv(location).select(
-        "*",
-        F.current_timestamp().alias(INGESTED_AT),
-        F.col("_metadata.file_name").alias(SOURCE_FILE),
+
+    def read(names: tuple[str, ...], located: list[str]) -> DataFrame:
+        fields = [T.StructField(n, T.StringType()) for n in names]
+        if keep_malformed:
+            fields.append(T.StructField(CORRUPT, T.StringType()))
+        return reader.schema(T.StructType(fields)).csv(located).select(
+            "*",
+            F.current_timestamp().alias(INGESTED_AT),
+            F.col("_metadata.file_name").alias(SOURCE_FILE),
+        )
+
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [read(names, located) for names, located in sorted(groups.items())],
     )
+    if len(groups) > 1:
+        added = {INGESTED_AT, SOURCE_FILE, CORRUPT}
+        rows = rows.select(
+            *[c for c in rows.columns if c not in added], *[c for c in rows.columns if c in added]
+        )
+    return rows.where("false") if files is not None and not files else rows
 
 
 def write_counted(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> int:
@@ -82,13 +120,26 @@ def ingest(
     raw_dir: str,
     out_dir: str,
     specs: Mapping[str, TableSpec] = SOURCES,
+    *,
+    keep_malformed: bool = False,
+    files: Mapping[str, Sequence[str]] | None = None,
+    workers: int = 4,
 ) -> dict[str, int]:
-    """Land every source as Parquet; returns rows per source."""
+    """Land every source as Parquet; returns rows per source.
+
+    ``files`` names the files to land of some sources; ``workers`` sources are landed at once.
+    """
     require_sources(spark, raw_dir, specs.values())
 
     def land(spec: TableSpec):
-        return lambda: write_counted(
-            read_raw(spark, raw_dir, spec), paths.join(out_dir, spec.name)
-        )
+        chosen = (files or {}).get(spec.name)
+        # A lookup without a key is never judged, so it has no use for broken rows.
+        strict = keep_malformed and bool(spec.key)
+
+        def job():
+            rows = read_raw(spark, raw_dir, spec, keep_malformed=strict, files=chosen)
+            return write_counted(rows, paths.join(out_dir, spec.name))
+
+        return job
 
-    return parallel(spark, {name: land(spec) for name, spec in specs.items()})
+    return parallel(spark, {name: land(spec) for name, spec in specs.items()}, workers)

@@ -10,7 +10,8 @@ class TableSpec:
     """One source and its cleaning contract.
 
     ``rules`` is ordered: the order fixes the text of a row's reject reason. A rule
-    that evaluates to NULL does not reject, so every "missing" case is spelt out.
+    that evaluates to NULL does not reject, so every "missing" case is spelt out. Every
+    file of the source must have the ``columns``; it may have others.
     """
 
     name: str
@@ -27,12 +28,13 @@ class TableSpec:
         return replace(self, files=files, **changes)
 
 
-# File names, business keys, reject reasons and their predicates.
+# File names, columns, business keys, reject reasons and their predicates.
 # multi_line is on only for the source with free text, as it makes a file unsplittable.
 _SPECS = (
     TableSpec(
         name="orders",
         files="*orders_dataset.csv",
+        columns=("order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date"),
         key=("order_id",),
         casts={
             "order_purchase_timestamp": "timestamp",
@@ -56,6 +58,7 @@ _SPECS = (
     TableSpec(
         name="customers",
         files="*customers_dataset.csv",
+        columns=("customer_id", "customer_state"),
         key=("customer_id",),
         rules=(
             ("null_customer_id", "customer_id IS NULL"),
@@ -66,6 +69,7 @@ _SPECS = (
     TableSpec(
         name="payments",
         files="*order_payments_dataset.csv",
+        columns=("order_id", "payment_sequential", "payment_value", "payment_type"),
         key=("order_id", "payment_sequential"),
         casts={"payment_value": "double"},
         rules=(
@@ -79,6 +83,7 @@ _SPECS = (
     TableSpec(
         name="order_items",
         files="*order_items_dataset.csv",
+        columns=("order_id", "order_item_id", "product_id", "seller_id", "price"),
         key=("order_id", "order_item_id"),
         casts={"price": "double", "freight_value": "double"},
         rules=(
@@ -90,6 +95,7 @@ _SPECS = (
     TableSpec(
         name="products",
         files="*products_dataset.csv",
+        columns=("product_id", "product_category_name"),
         key=("product_id",),
         rules=(
             ("null_product_id", "product_id IS NULL"),
@@ -100,12 +106,14 @@ _SPECS = (
     TableSpec(
         name="sellers",
         files="*sellers_dataset.csv",
+        columns=("seller_id", "seller_state"),
         key=("seller_id",),
         rules=(("null_seller_id", "seller_id IS NULL"),),
     ),
     TableSpec(
         name="reviews",
         files="*order_reviews_dataset.csv",
+        columns=("review_id", "order_id", "review_score"),
         key=("review_id", "order_id"),
         casts={"review_score": "int"},
         rules=(("invalid_score", "review_score IS NULL OR review_score NOT BETWEEN 1 AND 5"),),
@@ -113,7 +121,11 @@ _SPECS = (
         multi_line=True,
     ),
     # A lookup without rules: read raw, never cleaned.
-    TableSpec(name="category_translation", files="*product_category_name_translation.csv"),
+    TableSpec(
+        name="category_translation",
+        files="*product_category_name_translation.csv",
+        columns=("product_category_name", "product_category_name_english"),
+    ),
 )
 
 SOURCES: dict[str, TableSpec] = {s.name: s for s in _SPECS}
@@ -125,3 +137,8 @@ def cleaned_spec(name: str) -> TableSpec:
     if name not in CLEANED:
         raise ValueError(f"unknown table {name!r}: expected one of {sorted(CLEANED)}")
     return CLEANED[name]
+
+
+def rejecting_malformed(spec: TableSpec) -> TableSpec:
+    """The same contract for rows read with their broken text kept: these are rejected."""
+    return replace(spec, rules=(*spec.rules, ("malformed_row", "_corrupt_record IS NOT NULL")))

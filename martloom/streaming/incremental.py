@@ -1,4 +1,4 @@
-"""Incremental cleaning: new raw files are labelled and upserted, each exactly once.
+"""Incremental cleaning of a file stream: new raw files are labelled and applied, each once.
 
 The file source's checkpoint takes the place of a stored high-water mark: it commits after
 the batch function returns, and it tracks files rather than clocks, so late rows with an
@@ -11,30 +11,20 @@ from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.operators.label import (
-    METRICS,
-    label,
-    rejected_rows,
-    valid_rows,
-    write_labelled,
-)
+from martloom.operators.label import METRICS, label
 from martloom.sources import paths
 from martloom.sources.appended import control_rows
-from martloom.sources.keyed_table import KeyedTable
+from martloom.sources.batched_table import BATCH, BatchedTable
 from martloom.sources.registry import TableSpec
 
-BATCH = "_batch_id"
 
-
-class IncrementalTable:
+class IncrementalTable(BatchedTable):
     """A cleaned table fed by appended raw files.
 
-    ``storage`` holds the current rows, the labelled rows of every batch (rejects are
-    appended per batch, never merged), the quality counts per batch and the checkpoint.
-    The checkpoint numbers the batches, so it must be kept or dropped together with the rest.
+    ``storage`` holds the batches, their quality counts and the checkpoint, which numbers the
+    batches, so it must be kept or dropped together with the rest.
     """
 
     def __init__(
@@ -43,82 +33,52 @@ class IncrementalTable:
         spec: TableSpec,
         storage: str,
         *,
-        buckets: int = 16,
+        keep: str = "latest",
         order: Sequence[Column] | None = None,
         null_safe: bool = False,
     ):
-        self.spark = spark
-        self.spec = spec
-        self.order = order
-        self.null_safe = null_safe
-        self.current = KeyedTable(spark, paths.join(storage, "current"), spec.key, buckets)
-        self._labelled = paths.join(storage, "labelled")
+        super().__init__(spark, storage, spec.key, null_safe=null_safe)
+        self.spec, self.keep, self.order = spec, keep, order
         self._quality = paths.join(storage, "quality")
         self.checkpoint = paths.join(storage, "checkpoint")
-        self._counts: Counter[str] = Counter()
 
-    def load(self, raw_dir: str, schema: T.StructType) -> dict[str, int]:
+    def load(
+        self, raw_dir: str, schema: T.StructType, *, max_file_age: str = "36500d"
+    ) -> dict[str, int]:
         """Process all files that arrived since the last call; returns their quality counts.
 
-        They form one batch, as each batch rewrites what it touches. ``raw_dir`` may be a
-        pattern, so that each run can land its files in a folder of its own.
+        The checkpoint remembers the files of ``max_file_age``; files older than that, measured
+        from the newest one, are taken for done, which bounds what a start has to list.
         """
-        # By default the source ignores files a week older than the newest one.
-        arrived = self.spark.readStream.schema(schema).option("maxFileAge", "36500d")
-        raw = arrived.parquet(raw_dir)
-        self._counts.clear()
+        counts: Counter[str] = Counter()
+
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            counts.update(self.apply(batch, batch_id))
+
+        raw = self.spark.readStream.schema(schema).option("maxFileAge", max_file_age).parquet(raw_dir)
         query = (
-            raw.writeStream.foreachBatch(self._apply)
+            raw.writeStream.foreachBatch(apply)
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
-        return {m: self._counts[m] for m in METRICS}
-
-    def _apply(self, batch: DataFrame, batch_id: int) -> None:
-        # Everything is written under the batch's number, so a replay overwrites its own
-        # output; the written rows also feed the upsert, so the batch is evaluated once.
-        path = self._batch_dir(self._labelled, batch_id)
-        labelled = label(batch, self.spec, order=self.order)
-        metrics = write_labelled(labelled, path, keep_schema=False)
-        if metrics["valid_records"]:
-            self.current.upsert(
-                valid_rows(self.spark.read.parquet(path)),
-                writer=self.checkpoint,
-                batch_id=batch_id,
-                null_safe=self.null_safe,
-                batch_is_unique=True,
-            )
-        counts = [(self.spec.name, *(metrics[m] for m in METRICS))]
-        control_rows(self.spark, counts, self._quality_ddl()).write.mode("overwrite").json(
-            self._batch_dir(self._quality, batch_id)
+        return {m: counts[m] for m in METRICS}
+
+    def apply(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
+        """Label and add one batch; all is written under its number, so a replay overwrites it."""
+        labelled = label(batch, self.spec, keep=self.keep, order=self.order)
+        metrics = self.add(labelled, batch_id)
+        row = (self.spec.name, *(metrics[m] for m in METRICS))
+        control_rows(self.spark, [row], self._quality_ddl()).write.mode("overwrite").json(
+            self._folder(self._quality, batch_id)
         )
-        self._counts.update(metrics)
-
-    def valid(self, like: DataFrame) -> DataFrame:
-        """The current rows; before any arrived, no rows of the labelled frame's kind."""
-        current = self.current.read()
-        return valid_rows(like).limit(0) if current is None else current
-
-    def rejects(self, like: DataFrame | None = None) -> DataFrame:
-        """All rejected rows with the batch they came in; ``like`` as for ``valid``."""
-        if like is not None and not self._has_rows():
-            return rejected_rows(like).limit(0).withColumn(BATCH, F.lit(0))
-        return rejected_rows(self.spark.read.parquet(self._labelled))
-
-    def _has_rows(self) -> bool:
-        if not paths.exists(self.spark, self._quality):
-            return False
-        return not self.quality().where("input_records > 0").isEmpty()
+        return metrics
 
     def quality(self) -> DataFrame:
         """Quality counts per batch."""
         return self.spark.read.schema(f"{self._quality_ddl()}, {BATCH} long").json(self._quality)
 
-    def _batch_dir(self, base: str, batch_id: int) -> str:
-        return paths.join(base, f"{BATCH}={batch_id}")
-
     @staticmethod
     def _quality_ddl() -> str:
         return "table_name string, " + ", ".join(f"{m} long" for m in METRICS)

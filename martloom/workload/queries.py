@@ -27,12 +27,11 @@ from martloom.plans.aggregated import write_daily_sales
 from martloom.plans.pipeline import run_job
 from martloom.plans.reports import Reports
 from martloom.sources import paths, watermark
-from martloom.sources.appended import JSON_TIMES
+from martloom.sources.batched_table import BATCH
 from martloom.sources.catalog import save_table
-from martloom.sources.keyed_table import KeyedTable
-from martloom.sources.raw import INGESTED_AT, SOURCE_FILE, read_raw
+from martloom.sources.raw import CSV_OPTIONS, INGESTED_AT, SOURCE_FILE, read_raw
 from martloom.sources.registry import CLEANED, SOURCES, TableSpec
-from martloom.streaming.incremental import BATCH, IncrementalTable
+from martloom.streaming.incremental import IncrementalTable
 from martloom.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,12 +54,11 @@ def query(f: Query) -> Query:
     return f
 
 
-def labelled(spark, sf_dir, name, *, keep="latest", colocate=None) -> DataFrame:
+def labelled(spark, sf_dir, name, *, keep="latest") -> DataFrame:
     return label(
         views.VIEWS[name](spark, sf_dir),
         CLEANED[name],
         order=views.survivor_orders(keep)[name],
-        colocate=colocate,
     )
 
 
@@ -73,10 +71,8 @@ def rejected(spark, sf_dir, name, **how) -> DataFrame:
 
 
 def by_day(spark, sf_dir) -> DataFrame:
-    """Payments are shuffled by order alone, so ranking, summing and joining share one shuffle."""
     return marts.sales_by_day(
-        cleaned(spark, sf_dir, "orders"),
-        cleaned(spark, sf_dir, "payments", colocate=["order_id"]),
+        cleaned(spark, sf_dir, "orders"), cleaned(spark, sf_dir, "payments")
     )
 
 
@@ -122,6 +118,29 @@ def bronze_orders(spark, sf_dir):
     )
 
 
+@query
+def bronze_two_files(spark, sf_dir):
+    """A source in two files whose columns come in a different order."""
+    folder = paths.shared_folder(spark)
+    orders = views.VIEWS["orders"](spark, sf_dir)
+    for name, rest in (("a", 0), ("b", 1)):
+        part = views.as_text(orders.where(F.col("src_key") % 2 == rest).drop(*views.HELPERS["orders"]))
+        columns = part.columns if name == "a" else part.columns[::-1]
+        part.select(*columns).write.options(**CSV_OPTIONS).csv(f"{folder}/{name}_orders_dataset.csv")
+    spec = SOURCES["orders"]
+    parts = [
+        read_raw(spark, folder, spec, files=paths.data_files(spark, f"{folder}/{name}_*")).withColumn(
+            "file", F.lit(name)
+        )
+        for name in "ab"
+    ]
+    together = read_raw(spark, folder, spec)
+    both = parts[0].unionByName(parts[1])
+    # Read as one source, no row may differ from the two read apart.
+    wrong = together.select(*spec.columns).exceptAll(both.select(*spec.columns))
+    return both.select(*spec.columns, "file").join(wrong.limit(1).select(F.lit(1)), how="left_anti")
+
+
 @query
 def bronze_counts(spark, sf_dir):
     stages = Reports(spark, finished_job(spark, sf_dir)).log.stages()
@@ -247,9 +266,11 @@ def quality_history(spark, sf_dir):
         (SECOND_RUN, {"orders": second_load}),
     ):
         counted = count_quality(tables).collect()
+        run = run_ts.isoformat()
         log.add_quality(
-            run_ts, {r["table_name"]: {m: r[m] for m in METRICS} for r in counted}
+            run, run_ts, {r["table_name"]: {m: r[m] for m in METRICS} for r in counted}
         )
+        log.add_run(execution_id=run, start_time=run_ts, mode="batch", status="SUCCESS")
     local = F.col("run_ts").cast("timestamp_ntz")
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
     return analysis.quality_trend(log.quality()).withColumn("run_ts", utc)
@@ -275,16 +296,21 @@ def daily_sales_partitioned(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+def catalog_table(spark, name, rows, **how) -> DataFrame:
+    save_table(rows, name, path=paths.shared_folder(spark), **how)
+    return spark.table(name)
+
+
 @query
 def catalog_daily_sales(spark, sf_dir):
-    """The same table kept in the catalog and scanned by name, pruned to some years."""
-    save_table(
-        marts.daily_sales(by_day(spark, sf_dir)),
-        "martloom_daily_sales",
-        partition_by=["year"],
-        path=paths.shared_folder(spark),
-    )
-    return spark.table("martloom_daily_sales").where("year >= 1998")
+    """The same table kept in the catalog, partitioned, and scanned by name."""
+    daily = marts.daily_sales(by_day(spark, sf_dir))
+    return catalog_table(spark, "martloom_daily_sales", daily, partition_by=["year"])
+
+
+@query
+def catalog_orders(spark, sf_dir):
+    return catalog_table(spark, "martloom_orders", cleaned(spark, sf_dir, "orders"))
 
 
 @query
@@ -354,8 +380,13 @@ def mom_growth(spark, sf_dir):
 
 @query
 def partial_months(spark, sf_dir):
-    monthly = marts.monthly_revenue(by_day(spark, sf_dir))
-    return analysis.partial_months(monthly, min_orders=100)
+    """Orders moved by up to 599 months, so that there are months with few of them."""
+    moved = F.col("order_purchase_timestamp") + F.make_interval(
+        months=(F.col("order_id") % 600).cast("int")
+    )
+    orders = cleaned(spark, sf_dir, "orders").withColumn("order_purchase_timestamp", moved)
+    by_day = marts.sales_by_day(orders, cleaned(spark, sf_dir, "payments"))
+    return analysis.partial_months(marts.monthly_revenue(by_day))
 
 
 @query
@@ -415,7 +446,7 @@ def stream_upsert_orders(spark, sf_dir):
             "append"
         ).parquet(f"{folder}/raw")
         table.load(f"{folder}/raw", spark.read.parquet(f"{folder}/raw").schema)
-    return table.current.read()
+    return table.read()
 
 
 @query
@@ -428,12 +459,31 @@ def rejects_latest(spark, sf_dir):
 
 
 @query
-def table_history(spark, sf_dir):
-    table = KeyedTable(spark, paths.shared_folder(spark), ["order_id"])
-    for load in (cleaned(spark, sf_dir, "orders"), views.order_updates(spark, sf_dir)):
-        table.upsert(load, batch_is_unique=True)
-    return table.history().select(
-        "version", "operation", "rows_written", F.size("buckets").alias("buckets")
+def scd1_upsert_null_keys(spark, sf_dir):
+    """Onto raw orders, some of which have no key: these match nothing and stay."""
+    return upsert(
+        views.VIEWS["orders"](spark, sf_dir),
+        views.order_updates(spark, sf_dir),
+        ["order_id"],
+        source_is_unique=True,
+    )
+
+
+@query
+def incremental_job_quality(spark, sf_dir):
+    """Counts of orders in three incremental runs: a first load, a later one, and no new file."""
+    folder = paths.shared_folder(spark)
+    raw, storage = f"{folder}/raw", f"{folder}/storage"
+    views.export_raw(spark, sf_dir, raw)
+    late = views.order_updates(spark, sf_dir).drop(*views.HELPERS["orders"])
+    for load in range(3):
+        if load == 1:
+            text = views.as_text(late)
+            text.write.options(**CSV_OPTIONS).csv(f"{raw}/late_orders_dataset.csv")
+        run_job(spark, raw, storage, mode="incremental", execution_id=str(load))
+    counted = Reports(spark, storage).log.quality().where("table_name = 'orders'")
+    return counted.withColumn("load", F.col("execution_id").cast("long")).drop(
+        "execution_id", "run_ts"
     )
 
 
@@ -442,26 +492,22 @@ def table_history(spark, sf_dir):
 
 @query
 def run_history(spark, sf_dir):
-    """The event log read as a run log: one JSON line per event, errors as failed runs."""
-    storage = paths.shared_folder(spark)
+    """The event log taken over as a run log, errors as failed runs, and listed."""
+    log = runlog.RunLog(spark, paths.shared_folder(spark))
     failed = F.col("event_type") == "error"
-    views.table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("execution_id"),
-        F.col("ts").alias("start_time"),
-        F.lit("batch").alias("mode"),
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(failed, F.left("props", F.lit(runlog.ERROR_CHARS))).alias("error"),
-        F.when(failed, F.repeat("props", F.lit(100))).alias("trace"),
-        F.col("user_id").alias("input_records"),
-    ).write.option("timestampNTZFormat", JSON_TIMES["timestampNTZFormat"]).json(
-        f"{storage}/runs"
-    )
-    runs = (
-        spark.read.schema(runlog.RUNS_DDL.replace("timestamp", "timestamp_ntz"))
-        .options(**JSON_TIMES)
-        .json(f"{storage}/runs")
+    log.take_over(
+        views.table(spark, sf_dir, "events").select(
+            F.col("event_id").cast("string").alias("execution_id"),
+            F.col("ts").cast("timestamp").alias("start_time"),
+            F.lit("batch").alias("mode"),
+            F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
+            F.when(failed, F.col("props")).alias("error"),
+            F.when(failed, F.repeat("props", F.lit(100))).alias("trace"),
+            F.col("user_id").alias("input_records"),
+        )
     )
-    return runlog.run_history(runs).drop("end_time", "output_records")
+    listed = runlog.run_history(log.runs()).drop("end_time", "output_records")
+    return listed.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
 @query
