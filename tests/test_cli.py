@@ -17,13 +17,19 @@ def test_run_and_report(spark, tmp_path, monkeypatch, capsys):
     run(monkeypatch, "run", "--raw", raw, "--storage", storage)
     assert capsys.readouterr().out.strip().endswith("SUCCESS")
     run(monkeypatch, "report", "summary", "--storage", storage)
-    assert "130.5" in capsys.readouterr().out
+    assert "65.25" in capsys.readouterr().out
     run(monkeypatch, "report", "top_products", "--storage", storage, "--limit", "1")
-    assert "beauty" in capsys.readouterr().out
+    assert "books" in capsys.readouterr().out
     run(monkeypatch, "report", "reject_reasons", "--storage", storage, "--table", "orders")
     assert "null_order_id" in capsys.readouterr().out
 
 
+def test_a_report_that_needs_a_table_says_so(monkeypatch, capsys, tmp_path):
+    with pytest.raises(SystemExit):
+        run(monkeypatch, "report", "rejected", "--storage", str(tmp_path))
+    assert "needs --table" in capsys.readouterr().err
+
+
 def test_a_failing_run_exits_with_an_error(spark, tmp_path, monkeypatch):
     with pytest.raises(FileNotFoundError):
         run(monkeypatch, "run", "--raw", str(tmp_path / "no"), "--storage", str(tmp_path / "s"))

@@ -30,13 +30,12 @@ def table(spark, tmp_path):
         spark,
         CLEANED["orders"],
         str(tmp_path / "table"),
-        buckets=4,
         order=survivor_order(columns, recency="load_no"),
     )
 
 
 def current(t):
-    return {r["order_id"]: r["order_status"] for r in t.current.read().collect()}
+    return {r["order_id"]: r["order_status"] for r in t.read().collect()}
 
 
 def test_loads_are_applied_once_and_reruns_do_nothing(spark, tmp_path):
@@ -58,9 +57,9 @@ def test_loads_are_applied_once_and_reruns_do_nothing(spark, tmp_path):
     # The invalid update of a is rejected; its earlier valid row stays.
     assert current(t) == {"a": "created", "b": "shipped", "c": "created"}
 
-    before = t.current.history().count()
+    before = t.batch_ids()
     assert set(t.load(raw, schema).values()) == {0}
-    assert t.current.history().count() == before
+    assert t.batch_ids() == before
     assert current(t) == {"a": "created", "b": "shipped", "c": "created"}
 
     rejects = {(r["_batch_id"], r["order_id"], r["_reject_reason"]) for r in t.rejects().collect()}
@@ -82,7 +81,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     t.load(raw, schema)
     state = current(t), t.rejects().count(), t.quality().count()
     replay = spark.createDataFrame([order("a", "shipped", 2), order(None, "x", 2)], DDL)
-    t._apply(replay, 1)
+    t.apply(replay, 1)
     assert (current(t), t.rejects().count(), t.quality().count()) == state
 
 
@@ -134,5 +133,16 @@ def test_valid_rows_keep_their_types(spark, tmp_path):
     raw, t = str(tmp_path / "raw"), table(spark, tmp_path)
     land(spark, raw, order("a", "created", 1))
     t.load(raw, spark.createDataFrame([], DDL).schema)
-    assert dict(t.current.read().dtypes)["order_purchase_timestamp"] == "timestamp"
-    assert valid_rows(spark.read.parquet(str(tmp_path / "table" / "labelled"))).count() == 1
+    assert dict(t.read().dtypes)["order_purchase_timestamp"] == "timestamp"
+    assert valid_rows(spark.read.parquet(str(tmp_path / "table" / "batches"))).count() == 1
+
+
+def test_keep_is_passed_on(spark, tmp_path):
+    ddl = DDL.replace("load_no int", "_ingested_at int")
+    data = [order("a", "first", 1), order("a", "second", 2)]
+    for keep, status in (("latest", "second"), ("earliest", "first")):
+        folder = tmp_path / keep
+        spark.createDataFrame(data, ddl).write.parquet(str(folder / "raw"))
+        t = IncrementalTable(spark, CLEANED["orders"], str(folder / "t"), keep=keep)
+        t.load(str(folder / "raw"), spark.createDataFrame([], ddl).schema)
+        assert current(t) == {"a": status}

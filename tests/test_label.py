@@ -5,7 +5,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from martloom.operators import skew
 from martloom.operators.dedup import DUPLICATE, mark_duplicates, survivor_order
 from martloom.operators.label import (
     METRICS,
@@ -16,7 +15,6 @@ from martloom.operators.label import (
     valid_rows,
     write_labelled,
 )
-from martloom.operators.skew import hot_key_hashes, key_hash
 from martloom.sources.registry import CLEANED, TableSpec, cleaned_spec
 
 SPEC = TableSpec(
@@ -33,25 +31,25 @@ def metrics_of(labelled):
     return labelled.agg(*metric_columns()).first().asDict()
 
 
-def test_duplicates_nulls_and_negative_amounts(spark):
-    data = [("o1", 10.0), ("o1", 10.0), ("o2", -5.0), (None, 3.0), ("o3", 7.0)]
-    df = spark.createDataFrame(data, "order_id string, amount double").withColumn(
-        "_ingested_at", F.current_timestamp()
-    )
+def test_every_row_is_either_valid_or_rejected_with_its_reasons(spark):
+    rows = [
+        ("tea", 4.5, 1), ("tea", 4.0, 3), ("tea", 9.0, 2), ("rum", -0.5, 1), ("rum", 8.0, 0),
+        (None, 2.0, 1), ("oil", 0.0, 1), ("ink", None, 1),
+    ]
+    df = spark.createDataFrame(rows, "order_id string, amount double, _ingested_at int")
     labelled = label(df, SPEC)
-    assert metrics_of(labelled) == {
-        "input_records": 5,
-        "valid_records": 2,
-        "rejected_records": 3,
-        "duplicate_records": 1,
-        "null_records": 1,
+    assert metrics_of(labelled) == dict(zip(METRICS, (8, 3, 5, 3, 1), strict=True))
+    kept = {r["order_id"]: r["amount"] for r in valid_rows(labelled).collect()}
+    # Of rum the latest copy is invalid, so that its earlier one is lost with it.
+    assert kept == {"tea": 4.0, "oil": 0.0, "ink": None}
+    reasons = {}
+    for r in rejected_rows(labelled).collect():
+        reasons.setdefault(r[REASON], set()).add((r["order_id"], r["amount"]))
+    assert reasons == {
+        "duplicate_key": {("tea", 4.5), ("tea", 9.0), ("rum", 8.0)},
+        "neg": {("rum", -0.5)},
+        "null_id": {(None, 2.0)},
     }
-    assert {r["order_id"] for r in valid_rows(labelled).collect()} == {"o1", "o3"}
-    assert sorted(r[REASON] for r in rejected_rows(labelled).collect()) == [
-        "duplicate_key",
-        "neg",
-        "null_id",
-    ]
     assert valid_rows(labelled).columns == df.columns
 
 
@@ -99,47 +97,24 @@ def test_ties_do_not_depend_on_row_order(spark):
     assert kept == {0.0}
 
 
-def skewed(spark):
-    """A third of the rows are exact copies, a third have no key, the rest are mixed."""
-    return spark.range(9000, numPartitions=6).selectExpr(
-        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('k', id % 500) END AS order_id",
-        "CASE id % 3 WHEN 0 THEN 1.0D ELSE (id % 7) * 1.0D END AS amount",
-        "CASE id % 3 WHEN 0 THEN 1 ELSE cast(id % 11 AS int) END AS load_no",
-    )
-
-
-@pytest.mark.parametrize("colocate", [None, ["order_id"]])
-def test_hot_keys_give_the_same_rows(spark, rows, colocate):
-    df = skewed(spark)
-    order = survivor_order(df.columns, recency="load_no")
-    hot = hot_key_hashes(df, ["order_id"], hot_rows=1000, small_input_bytes=0)
-    names = spark.createDataFrame([("hot",), (None,), ("k1",)], "order_id string")
-    expected = [r[0] for r in names.select(key_hash(["order_id"])).collect()]
-    assert set(expected[:2]) <= set(hot) and expected[2] not in hot
-    plain = mark_duplicates(df, ["order_id"], order, hot=[], colocate=colocate)
-    salted = mark_duplicates(df, ["order_id"], order, hot=hot, colocate=colocate)
-    assert rows(plain) == rows(salted)
-    assert salted.where(~F.col(DUPLICATE)).groupBy("order_id").count().where("count > 1").isEmpty()
-
-
-def test_hot_keys_are_spread_over_tasks(spark):
-    df = skewed(spark)
-    order = survivor_order(df.columns, recency="load_no")
-    hot = hot_key_hashes(df, ["order_id"], hot_rows=1000, small_input_bytes=0)
-    salted = mark_duplicates(df, ["order_id"], order, hot=hot)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "spark_partition_id" in plan.lower()
-    assert "partitionid" not in mark_duplicates(
-        df, ["order_id"], order
-    )._jdf.queryExecution().optimizedPlan().toString().lower()
-
-
-def test_small_inputs_are_not_scanned_for_hot_keys(spark):
-    df = spark.range(10).select(F.lit("a").alias("order_id"))
-    assert skew.estimated_bytes(df) < skew.SMALL_INPUT_BYTES
-    assert hot_key_hashes(df, ["order_id"], hot_rows=1) == []
-    unknown_size = spark.createDataFrame([("a",)] * 10, "order_id string")
-    assert len(hot_key_hashes(unknown_size, ["order_id"], hot_rows=1)) == 1
+@pytest.mark.parametrize("key", ["'hot'", "cast(null as string)"])
+def test_a_key_with_most_rows_is_ranked_by_many_tasks(spark, key):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(0, 40_000, 1, 32).selectExpr(
+            f"if(id % 10 < 9, {key}, cast(id as string)) as order_id", "id % 7 as load_no", "id"
+        )
+        order = survivor_order(df.columns, recency="load_no")
+        marked = mark_duplicates(df, ["order_id"], order)
+        counts = marked.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in counts) < 40_000 / 4
+        alone = marked.where(f"order_id <=> {key} and not {DUPLICATE}").collect()
+        assert [(r["load_no"], r["id"]) for r in alone] == [(6, 6)]
+        assert marked.where(f"not {DUPLICATE}").count() == 4001
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 @settings(
@@ -161,7 +136,6 @@ def test_small_inputs_are_not_scanned_for_hot_keys(spark):
 def test_label_against_python(spark, data):
     df = spark.createDataFrame(data, DDL).repartition(3)
     order = survivor_order(df.columns, recency="load_no")
-    hot = [r[0] for r in df.select(key_hash(["order_id"])).distinct().collect()]
 
     def rank(row):
         key, amount, load = row
@@ -176,9 +150,8 @@ def test_label_against_python(spark, data):
         if row[0] is None:
             reasons.append("null_id")
         expected.append((*row, "; ".join(reasons)))
-    for keys in ([], hot):
-        got = label(df, SPEC, order=order, hot=keys).select(*df.columns, REASON).collect()
-        assert sorted((tuple(r) for r in got), key=repr) == sorted(expected, key=repr)
+    got = label(df, SPEC, order=order).select(*df.columns, REASON).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(expected, key=repr)
 
 
 def test_write_gives_metrics_and_both_parts(spark, tmp_path):

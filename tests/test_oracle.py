@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from martloom.workload.oracle import oracle_queries
+from martloom.workload.queries import QUERIES
 
 DATA = os.environ.get("MARTLOOM_TESTDATA", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -36,12 +37,12 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = contract.queries()[name](spark, DATA)
-    result = duck.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, DATA)
+    result = duck.execute(oracle_queries()[name])
     expected = canonical([c[0] for c in result.description], result.fetchall())
     assert canonical(df.columns, df.collect()) == expected

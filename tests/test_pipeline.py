@@ -1,5 +1,7 @@
 import pytest
 
+from martloom.plans import pipeline
+from martloom.plans.catalog_layers import publish
 from martloom.plans.pipeline import layer_dir, run_job
 from martloom.plans.reports import NothingPublished, Reports
 from martloom.plans.runlog import run_history
@@ -7,31 +9,35 @@ from martloom.sources.registry import SOURCES
 
 FILES = {
     "orders": """order_id,customer_id,order_status,order_purchase_timestamp,order_delivered_customer_date
-o1,c1,delivered,2018-01-05 10:00:00,2018-01-09 10:00:00
-o2,c1,canceled,2018-01-06 10:00:00,
-o3,c2,shipped,2018-02-06 10:00:00,
-o3,c2,shipped,2018-02-06 10:00:00,
-,c2,shipped,2018-02-06 10:00:00,
-o4,c2,delivered,2018-02-06 10:00:00,
+a1,k1,delivered,2021-03-02 08:15:00,2021-03-05 09:00:00
+a2,k2,shipped,2021-03-09 12:00:00,
+a2,k2,shipped,2021-03-09 12:00:00,
+a3,k1,canceled,2021-04-01 07:30:00,
+a4,k3,delivered,2021-04-11 19:45:00,2021-04-10 10:00:00
+a5,k2,invoiced,2021-04-20 23:59:59,
+,k3,shipped,2021-04-21 10:00:00,
 """,
-    "customers": "customer_id,customer_state\nc1,SP\nc2,RJ\nc3,\n",
+    "customers": "customer_id,customer_state\nk1,North\nk2,South\nk3,South\n,East\n",
     "payments": """order_id,payment_sequential,payment_value,payment_type
-o1,1,60.00,credit_card
-o1,2,40.00,voucher
-o2,1,50.00,boleto
-o3,1,30.50,boleto
-o3,2,0.00,voucher
-o4,1,99.00,boleto
+a1,1,12.50,card
+a1,2,7.50,cash
+a2,1,40.00,card
+a3,1,99.00,card
+a4,1,80.00,card
+a5,1,5.25,cash
+a5,2,-1.00,cash
 """,
     "order_items": """order_id,order_item_id,product_id,seller_id,price,freight_value
-o1,1,p1,s1,80.00,5.00
-o1,2,p2,s1,20.00,5.00
-o3,1,p1,s2,oops,1.00
+a1,1,x1,m1,11.00,1.50
+a1,2,x2,m2,6.00,1.50
+a2,1,x1,m1,38.00,2.00
+a3,1,x3,m2,cheap,1.00
+a5,1,x2,m1,4.00,1.25
 """,
-    "products": "product_id,product_category_name\np1,beleza\np2,\n",
-    "sellers": "seller_id,seller_state\ns1,SP\ns2,RJ\n",
-    "reviews": 'review_id,order_id,review_score,comment\nr1,o1,5,"fine,\nreally"\nr2,o3,9,\n',
-    "category_translation": "product_category_name,product_category_name_english\nbeleza,beauty\n",
+    "products": "product_id,product_category_name\nx1,livros\nx2,jogos\nx3,\n",
+    "sellers": "seller_id,seller_state\nm1,North\nm2,West\n",
+    "reviews": 'review_id,order_id,review_score,text\nv1,a1,4,"good,\nthough late"\nv2,a2,0,\nv3,a5,5,ok\n',
+    "category_translation": "product_category_name,product_category_name_english\nlivros,books\nmoveis,furniture\n",
 }
 
 
@@ -53,61 +59,53 @@ def finished(spark, tmp_path_factory):
 def test_record(finished):
     run, reports = finished
     assert run["status"] == "SUCCESS"
-    assert (run["input_records"], run["output_records"]) == (6 + 3 + 6 + 3 + 2 + 2 + 2 + 1, 16)
+    assert (run["input_records"], run["output_records"]) == (33, 23)
     assert reports.published_run() == run["execution_id"]
 
 
 def test_summary_and_trend(finished, rows):
     _, reports = finished
-    assert reports.summary().first().asDict() == {
-        "total_revenue": 130.5,
-        "total_orders": 2,
-        "avg_order_value": 65.25,
-        "total_customers": 2,
-        "total_products": 1,
-    }
-    assert rows(reports.revenue_trend()) == [("2018-01", 100.0, 1), ("2018-02", 30.5, 1)]
+    assert tuple(reports.summary().first()) == (65.25, 3, 21.75, 3, 2)
+    assert rows(reports.revenue_trend()) == [("2021-03", 60.0, 2), ("2021-04", 5.25, 1)]
     assert reports.month_growth().isEmpty()
     assert reports.partial_months().count() == 2
 
 
 def test_listings(finished, rows):
     _, reports = finished
-    assert rows(reports.top_products(1)) == [("p1", "beauty", 1, 80.0)]
-    assert rows(reports.top_categories()) == [("beauty", 80.0, 1), ("unknown", 20.0, 1)]
-    assert rows(reports.category_share()) == [("beauty", 80.0, 80.0), ("unknown", 20.0, 20.0)]
-    assert rows(reports.table("seller_revenue")) == [("s1", "SP", 100.0, 2)]
-    assert rows(reports.table("review_scores")) == [(5, 1)]
+    assert rows(reports.top_products(1)) == [("x1", "books", 2, 49.0)]
+    assert rows(reports.top_categories()) == [("books", 49.0, 2), ("jogos", 10.0, 2)]
+    assert rows(reports.category_share()) == [("books", 49.0, 83.1), ("jogos", 10.0, 16.9)]
+    assert rows(reports.table("seller_revenue")) == [("m1", "North", 53.0, 3), ("m2", "West", 6.0, 1)]
+    assert rows(reports.table("review_scores")) == [(4, 1), (5, 1)]
 
 
-def test_daily_sales_are_partitioned_by_year(finished, tmp_path):
-    run, reports = finished
-    plan = reports.table("daily_sales").where("year = 2018")
+def test_daily_sales_are_partitioned_by_year(finished):
+    _, reports = finished
+    plan = reports.table("daily_sales").where("year = 2021")
     assert "PartitionFilters: [isnotnull(year" in plan._jdf.queryExecution().toString()
-    assert plan.count() == 2
+    assert plan.count() == 3
+
+
+def counts_of(reports, table):
+    (row,) = reports.quality().where(f"table_name = '{table}'").collect()
+    return tuple(row[f"{m}_records"] for m in ("input", "valid", "rejected", "duplicate", "null"))
 
 
 def test_quality_and_rejects(finished, rows):
     _, reports = finished
-    quality = {r["table_name"]: r.asDict() for r in reports.quality().collect()}
-    assert quality["orders"] == {
-        "table_name": "orders",
-        "input_records": 6,
-        "valid_records": 3,
-        "rejected_records": 3,
-        "duplicate_records": 1,
-        "null_records": 1,
-    }
-    assert len(quality) == 7
-    assert reports.quality_score().first()["quality_score"] == 66.67
+    assert counts_of(reports, "orders") == (7, 4, 3, 1, 1)
+    assert reports.quality().count() == 7
+    assert reports.quality_score().first()["quality_score"] == 74.19
     assert rows(reports.reject_reasons("orders")) == [
-        ("delivered_status_missing_date", 1),
+        ("delivered_before_purchase", 1),
         ("duplicate_key", 1),
         ("null_order_id", 1),
     ]
     item = reports.rejected_sample("order_items").first()
-    assert item["price_raw"] == "oops" and item["_reject_reason"] == "invalid_price"
+    assert item["price_raw"] == "cheap" and item["_reject_reason"] == "invalid_price"
     assert reports.rejected("payments").count() == 1
+    assert reports.reject_total("orders").first()["rejected"] == 3
     with pytest.raises(ValueError, match="unknown table"):
         reports.rejected("nope")
     assert reports.quality_trend().count() == 7
@@ -132,7 +130,7 @@ def test_a_failed_run_is_recorded_and_not_published(spark, tmp_path):
     with pytest.raises(Exception, match="order_id"):
         run_job(spark, write_files(tmp_path / "broken", broken), storage)
     assert reports.published_run() == good["execution_id"]
-    assert reports.summary().first()["total_orders"] == 2
+    assert reports.summary().first()["total_orders"] == 3
 
     history = reports.runs().collect()
     assert [r["status"] for r in history] == ["FAILED", "SUCCESS", "FAILED"]
@@ -158,59 +156,105 @@ def test_sources_without_rows(spark, tmp_path, mode):
     assert "_reject_reason" in reports.rejected("orders").columns
 
 
-def test_incremental_runs_upsert_orders(spark, tmp_path, rows):
+def test_incremental_runs_take_each_file_once(spark, tmp_path, rows):
     storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
     first = run_job(spark, raw, storage, mode="incremental")
     reports = Reports(spark, storage)
-    assert first["output_records"] == 16
-    assert rows(reports.summary(), "total_revenue", "total_orders") == [(130.5, 2)]
+    assert first["output_records"] == 23 and counts_of(reports, "orders") == (7, 4, 3, 1, 1)
+    summary = tuple(reports.summary().first())
+    assert summary == (65.25, 3, 21.75, 3, 2)
     before = rows(reports.cleaned("orders"), "order_id", "order_status")
 
-    # The same files again: their rows are applied once more and change nothing.
-    run_job(spark, raw, storage, mode="incremental")
+    # The same files again: no new order is read, and nothing changes.
+    assert run_job(spark, raw, storage, mode="incremental")["output_records"] == 19
+    assert counts_of(reports, "orders") == (0, 0, 0, 0, 0)
     assert rows(reports.cleaned("orders"), "order_id", "order_status") == before
-    assert rows(reports.summary(), "total_revenue", "total_orders") == [(130.5, 2)]
+    assert tuple(reports.summary().first()) == summary
 
-    lines = FILES["orders"].splitlines()
-    update = [lines[0], lines[3].replace("shipped", "canceled"), "o5,c1,shipped,bad,", lines[6]]
-    more = {**FILES, "orders": "\n".join(update) + "\n"}
-    run_job(spark, write_files(tmp_path / "more", more), storage, mode="incremental")
+    late = FILES["orders"].splitlines()[0] + "\na2,k2,canceled,2021-03-09 12:00:00,\n"
+    late += "a6,k1,shipped,soon,\n,k1,shipped,2021-05-01 00:00:00,\n"
+    (tmp_path / "raw" / "late_orders_dataset.csv").write_text(late)
+    run_job(spark, raw, storage, mode="incremental")
+    # The date that is none counts as a missing one.
+    assert counts_of(reports, "orders") == (3, 1, 2, 0, 2)
     assert rows(reports.cleaned("orders"), "order_id", "order_status") == [
-        ("o1", "delivered"),
-        ("o2", "canceled"),
-        ("o3", "canceled"),
-    ]
-    assert rows(reports.summary(), "total_revenue", "total_orders") == [(100.0, 1)]
-    history = reports.table_history("orders").collect()
-    assert [(r["version"], r["operation"]) for r in history] == [
-        (2, "UPSERT"),
-        (1, "UPSERT"),
-        (0, "CREATE"),
+        ("a1", "delivered"),
+        ("a2", "canceled"),
+        ("a3", "canceled"),
+        ("a5", "invoiced"),
     ]
+    assert rows(reports.summary(), "total_revenue", "total_orders") == [(25.25, 2)]
     reasons = {r["reason"]: r["rows"] for r in reports.reject_reasons("orders").collect()}
-    # Rows without a key stay from both earlier runs; keys show their newest rejects.
+    # Rows without a key stay from both loads; keys show their newest rejects.
     assert reasons == {
         "null_order_id": 2,
         "duplicate_key": 1,
         "invalid_purchase_timestamp": 1,
-        "delivered_status_missing_date": 1,
+        "delivered_before_purchase": 1,
     }
+    reports.compact()
+    assert reports.cleaned("orders").count() == 4 and reports.rejected("orders").count() == 5
     with pytest.raises(ValueError, match="mode"):
         run_job(spark, raw, storage, mode="sometimes")
 
 
+@pytest.mark.parametrize("earlier", ["failed", "batch"])
+def test_other_runs_do_not_feed_the_upsert(spark, tmp_path, monkeypatch, earlier):
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    if earlier == "batch":
+        run_job(spark, raw, storage)
+    else:
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="out of luck"):
+            patch.setattr(pipeline, "build_marts", lambda *_: (_ for _ in ()).throw(RuntimeError("out of luck")))
+            run_job(spark, raw, storage, mode="incremental")
+    run_job(spark, raw, storage, mode="incremental")
+    reports = Reports(spark, storage)
+    assert counts_of(reports, "orders") == (7, 4, 3, 1, 1)
+    assert reports.rejected("orders").count() == 3 and reports.cleaned("orders").count() == 4
+    assert reports.quality_trend().where("table_name = 'orders'").count() == 1 + (earlier == "batch")
+
+
+def test_the_first_error_is_never_masked(spark, tmp_path, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("log is gone")
+
+    monkeypatch.setattr(pipeline.RunLog, "add_run", broken)
+    with pytest.raises(FileNotFoundError) as e:
+        run_job(spark, str(tmp_path / "nowhere"), str(tmp_path / "storage"))
+    assert "log is gone" in e.value.__notes__[0]
+
+
+def test_malformed_rows_are_rejected_on_demand(spark, tmp_path):
+    files = {**FILES, "sellers": "seller_id,seller_state\nm1,North\nm2,West\nm3\n"}
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", files)
+    run_job(spark, raw, storage, reject_malformed=True)
+    reports = Reports(spark, storage)
+    assert [r["reason"] for r in reports.reject_reasons("sellers").collect()] == ["malformed_row"]
+    assert counts_of(reports, "orders") == (7, 4, 3, 1, 1)
+
+
+def test_layers_as_catalog_tables(finished, spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS martloom_layers CASCADE")
+    spark.sql(f"CREATE DATABASE martloom_layers LOCATION '{tmp_path}'")
+    _, reports = finished
+    names = publish(spark, reports.storage, "martloom_layers")
+    assert "martloom_layers.rejected_orders" in names and len(names) == 24
+    assert spark.table("martloom_layers.silver_orders").count() == 4
+    assert spark.table("martloom_layers.gold_daily_sales").where("year = 2021").count() == 3
+    spark.sql("DROP DATABASE martloom_layers CASCADE")
+
+
 def test_sql_users_get_views(finished, spark):
     _, reports = finished
     views = reports.register_views()
     assert {"silver_orders", "rejected_orders", "gold_kpis", "bronze_reviews"} <= set(views)
-    share = spark.sql(
-        """SELECT category, round(100 * revenue / sum(revenue) OVER (), 1) AS share
-           FROM gold_category_revenue ORDER BY revenue DESC LIMIT 10"""
-    ).collect()
-    assert [(r["category"], r["share"]) for r in share] == [("beauty", 80.0), ("unknown", 20.0)]
-    trend = spark.sql("SELECT * FROM quality_metrics ORDER BY run_ts DESC, table_name")
-    assert trend.first()["table_name"] == "customers"
-    assert spark.sql("SELECT count(*) FROM rejected_orders").first()[0] == 3
+    best = spark.sql("select max_by(category, revenue) c, sum(units_sold) u from gold_category_revenue")
+    assert tuple(best.first()) == ("books", 4)
+    tables = spark.sql("select distinct table_name from quality_metrics where rejected_records > 0")
+    assert {r[0] for r in tables.collect()} == {
+        "orders", "customers", "payments", "order_items", "products", "reviews"
+    }
+    assert spark.sql("select count_if(order_id is null) n from rejected_orders").first()["n"] == 1
 
 
 def test_layers_lie_in_the_run_folder(finished):

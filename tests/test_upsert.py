@@ -2,8 +2,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from martloom.operators.label import label
 from martloom.operators.upsert import AmbiguousSource, upsert
-from martloom.sources.keyed_table import KeyedTable
+from martloom.sources.batched_table import BatchedTable
+from martloom.sources.registry import TableSpec
 
 DDL = "k string, v int"
 CALM = settings(
@@ -57,56 +61,71 @@ def test_twice_is_once(spark, target, source):
     assert sorted(map(tuple, twice.collect())) == sorted(expected.items())
 
 
-def test_keyed_table_reads_what_was_committed(spark, tmp_path, rows):
-    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
-    assert table.read() is None
-    assert table.upsert(frame(spark, [("a", 1), ("b", 2), ("c", 3)])) == 0
-    assert table.upsert(frame(spark, [("b", 20), ("d", 40)])) == 1
-    assert table.upsert(frame(spark, [])) is None
-    assert rows(table.read()) == [("a", 1), ("b", 20), ("c", 3), ("d", 40)]
-    history = table.history().orderBy("version").collect()
-    assert [(r["version"], r["operation"]) for r in history] == [(0, "CREATE"), (1, "UPSERT")]
-
-
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=16)
-    table.upsert(frame(spark, [(chr(97 + i), i) for i in range(26)]))
-    table.upsert(frame(spark, [("a", 100)]))
-    second = table.history().where("version = 1").first()
-    assert len(second["buckets"]) == 1 and second["rows_written"] < 26
-    versions = list((tmp_path / "t" / "data").glob("_bucket=*/_version=1"))
-    assert len(versions) == 1
-
-
-def test_replayed_batches_and_leftovers_change_nothing(spark, tmp_path, rows):
-    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
-    table.upsert(frame(spark, [("a", 1), ("b", 2)]), writer="w", batch_id=0)
-    # A batch whose job died after writing data and before the log row.
-    leftover = frame(spark, [("a", -1), ("z", -1)])
-    table._write(leftover.selectExpr("*", "pmod(xxhash64(k), 4) AS _bucket"), 1)
-    assert rows(table.read()) == [("a", 1), ("b", 2)]
-    assert table.upsert(frame(spark, [("a", 9)]), writer="w", batch_id=0) is None
-    assert table.upsert(frame(spark, [("a", 5)]), writer="w", batch_id=1) == 1
-    assert table.upsert(frame(spark, [("a", 6)]), writer="other", batch_id=1) == 2
-    assert rows(table.read()) == [("a", 6), ("b", 2)]
-
-
-def test_bucket_count_is_fixed_at_creation(spark, tmp_path, rows):
-    path = str(tmp_path / "t")
-    KeyedTable(spark, path, ["k"], buckets=4).upsert(frame(spark, [("a", 1), ("b", 2)]))
-    reopened = KeyedTable(spark, path, ["k"], buckets=99)
-    reopened.upsert(frame(spark, [("a", 10), ("c", 3)]))
-    assert rows(reopened.read()) == [("a", 10), ("b", 2), ("c", 3)]
+def test_rows_without_a_key_stay_out_of_the_join(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(0, 40_000, 1, 8).selectExpr(
+            "if(id % 10 < 9, null, cast(id as string)) as k", "cast(id as int) as v"
+        )
+        out = upsert(target, frame(spark, [("9", -1), ("new", -2)]), ["k"])
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_001 and max(sizes) < 40_000 / 6
+        assert out.where("k is null").count() == 36_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def labelled(spark, data):
+    spec = TableSpec(name="t", files="", key=("k",), rules=(("neg", "v < 0"),))
+    return label(frame(spark, data), spec)
+
+
+def test_batches_are_read_newest_per_key(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"])
+    assert table.read() is None and table.rejects() is None
+    assert table.add(labelled(spark, [("a", 1), ("b", 2), ("c", -3)]), 5)["valid_records"] == 2
+    assert table.add(labelled(spark, []), 6)["input_records"] == 0
+    table.add(labelled(spark, [("b", 20), (None, 4)]), 7)
+    table.add(labelled(spark, [("b", 21), (None, 5)]), 9)
+    assert rows(table.read()) == [("a", 1), ("b", 21), (None, 4), (None, 5)]
+    assert rows(table.read([5, 7])) == [("a", 1), ("b", 20), (None, 4)]
+    assert rows(table.read([6])) == [] if table.read([6]) else True
+    assert rows(table.rejects(), "k", "_batch_id") == [("c", 5)]
+    assert table.batch_ids() == [5, 6, 7, 9]
+
+
+def test_a_batch_costs_what_it_holds_and_may_be_repeated(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"])
+    table.add(labelled(spark, [(f"k{i}", i) for i in range(5000)]), 0)
+    for _ in range(2):
+        table.add(labelled(spark, [(f"k{i}", 7) for i in range(100)]), 1)
+    written = spark.read.parquet(str(tmp_path / "t" / "batches" / "_batch_id=1"))
+    assert written.count() == 100
+    assert table.read().count() == 5000 and table.read().where("v = 7").count() == 100
+
+
+def test_compacting_changes_nothing_but_the_files_read(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"])
+    for n, data in enumerate([[("a", 1), ("b", 2)], [("b", 3)], [("c", 4), (None, 0)], [("a", 9)]]):
+        table.add(labelled(spark, data), n)
+    before = rows(table.read([0, 2, 3]))
+    assert table.compact(upto=2, only=[0, 2, 3]) == 2
+    assert rows(table.read([0, 2, 3])) == before == [("a", 9), ("b", 2), ("c", 4), (None, 0)]
+    assert rows(table.read([0])) == [("a", 1), ("b", 2)]
+    assert not any("_batch_id=0" in f for f in table.read([0, 2, 3]).inputFiles())
 
 
 @CALM
 @given(st.lists(MAPPINGS, min_size=1, max_size=3))
-def test_keyed_table_equals_a_dict(spark, tmp_path_factory, batches):
-    table = KeyedTable(spark, str(tmp_path_factory.mktemp("t")), ["k"], buckets=3)
+def test_batches_equal_a_dict(spark, tmp_path_factory, batches):
+    table = BatchedTable(spark, str(tmp_path_factory.mktemp("t")), ["k"])
     expected = {}
-    for batch in batches:
-        table.upsert(frame(spark, batch.items()))
+    for n, batch in enumerate(batches):
+        table.add(labelled(spark, list(batch.items())), n)
         expected |= batch
     current = table.read()
-    got = {} if current is None else {r["k"]: r["v"] for r in current.collect()}
-    assert got == expected
+    assert ({} if current is None else {r["k"]: r["v"] for r in current.collect()}) == expected
