@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martloom.llm import licences
+from martloom.llm import decontamination, licences
 
 ORACLES: dict[str, str] = {}
 
@@ -161,3 +161,60 @@ with recursive said as (
 select m.conv_id, m.turn, n_passages, n_linked, reply_conv || ':' || reply_turn reply_to, root_conv, root_turn, depth, md5(own) own_md5
 from msgs m join tree t using (conv_id, turn)
 """
+
+
+def decontamination_sql() -> str:
+    """Templates, their windows and slots, joined by the windows themselves instead of by hash."""
+    ends = "'.', '!', '?', chr(10)"
+    quoted = lambda words: ", ".join(f"'{w}'" for w in words)
+    return rf"""
+with src as (
+  select 'd' side, null::bigint item_id, x from (select distinct text x from documents where text is not null)
+  union all select 'b', item_id, x from (select distinct item_id, coalesce(text, '') x from benchmark)
+), tok as (
+  select row_number() over () rid, side, item_id, x,
+    regexp_extract_all(x, '[0-9]+(?:[.,:][0-9]+)*|[\p{{L}}][\p{{L}}\p{{M}}\p{{N}}]*|[.!?\n]') w from src
+), e as (
+  select rid, i, w[i] tk, lower(w[i]) lo, upper(w[i]) up, case when i = 1 then '.' else w[i - 1] end bf
+  from (select rid, w, unnest(range(1, len(w) + 1)) i from tok)
+), k as (
+  select rid, i, tk, case
+    when (tk >= '0' and tk <= '9~') or lo in ({quoted(decontamination.NUMBER_WORDS)}) then '<number>'
+    when substr(tk, 1, 1) <> substr(lo, 1, 1) and tk <> up and bf not in ({ends}) then '<name>'
+    when lo in ({quoted(decontamination.UNITS)}) then '<unit>' else lo end p
+  from e where tk not in ({ends})
+), whole as (
+  select tok.rid, side, item_id, x, raw, tpl, least({decontamination.WINDOW}, len(tpl)) l
+  from tok join (select rid, list(tk order by i) raw, list(p order by i) tpl from k group by rid) using (rid)
+), iw as (
+  select *, count(*) over (partition by rid) n_windows from (
+    select rid, item_id, l, p, tpl[p:p + l - 1] win, raw[p:p + l - 1] a
+    from (select *, unnest(range(1, len(tpl) - l + 2)) p from whole where side = 'b'))
+  where len(list_filter(win, lambda z: starts_with(z, '<'))) * 2 <= l
+), dw as (
+  select rid, x, p, tpl[p:p + n - 1] win, raw[p:p + n - 1] b from (
+    select whole.*, n, unnest(range(1, len(tpl) - n + 2)) p
+    from whole join (select distinct l n from iw) sizes on len(tpl) >= n where side = 'd')
+), hit as (
+  select dw.rid, dw.x, iw.item_id, iw.p place, dw.p - iw.p diagonal, n_windows, dw.win, a, b,
+    len(list_filter(dw.win, lambda z: starts_with(z, '<'))) n_slots
+  from dw join iw on dw.win = iw.win
+), slots as (
+  select rid, item_id, diagonal, win[j] kind, a[j] a, b[j] b
+  from (select *, unnest(range(1, len(win) + 1)) j from hit) where starts_with(win[j], '<')
+), wrong as (
+  select rid, item_id, diagonal from slots group by all
+  having count(distinct (kind, a, b)) <> count(distinct (kind, a))
+    or count(distinct (kind, a, b)) <> count(distinct (kind, b))
+), held as (
+  select x, item_id, count(distinct place) n_found, n_windows, max(n_slots)::integer n_slots from hit
+  where not exists (select 1 from wrong w where w.rid = hit.rid and w.diagonal = hit.diagonal
+    and w.item_id is not distinct from hit.item_id)
+  group by x, item_id, n_windows
+)
+select doc_id, item_id, n_found, n_windows::integer n_windows, n_slots from documents join held on text = x
+where n_found * 100 >= n_windows * {decontamination.MIN_SHARE_PERCENT}
+"""
+
+
+ORACLES["op3_template_decontamination"] = decontamination_sql()
