@@ -17,8 +17,8 @@ import numpy as np
 
 # Entries of the young half of the words' cache, and of that of the parts that words consist of; a
 # full half becomes the old one. About 250 MB a worker.
-CACHE_ENTRIES = 500_000
-PART_ENTRIES = 150_000
+CACHE_ENTRIES = 550_000
+PART_ENTRIES = 100_000
 
 # Words of these characters are the same in every Unicode normal form in use, and their letters
 # and digits are known without tables; all others go through the library.
@@ -116,8 +116,11 @@ class Encoder:
         body, tail = (word[:-1], word[-1]) if word[-1] in ",." else (word, "")
         letters = body[1:] if body[:1] == " " else body
         if letters.isalpha() and letters.isascii():
-            part = letters if len(letters) == len(body) else "Ġ" + letters
-            found = self._part(part if self.keeps_space else part.lower())
+            spaced = len(letters) < len(body)
+            plain = letters if self.keeps_space else letters.lower()
+            known = self.words if spaced or not self.keeps_space else self.first_words
+            # The same word may be known without its mark or capital.
+            found = known.young.get(plain.encode()) or self._merged("Ġ" + plain if spaced else plain)
             return found + self._part(tail) if tail else found
         if _PLAIN.fullmatch(word):
             parts = (
