@@ -146,20 +146,37 @@ def links(messages: DataFrame) -> DataFrame:
 
 
 def rooted(replies: DataFrame) -> DataFrame:
-    """node, root, depth of every node of the replies (node, parent); links must lead to smaller
-    nodes. Each round doubles the length of the ways known."""
-    nodes = replies.select("node", F.coalesce("parent", "node").alias("up"), F.col("parent").isNotNull().cast("long").alias("steps"))
-    now, last = stored(nodes), None
-    while True:
-        total = now.agg(F.sum("steps")).first()[0]
-        if total == last:
-            return now.select("node", F.col("up").alias("root"), F.col("steps").alias("depth"))
-        above = now.select(F.col("node").alias("n"), F.col("up").alias("u"), F.col("steps").alias("s"))
-        now, last = stored(
-            now.join(above, now["up"] == above["n"], "left").select(
-                "node", F.coalesce("u", "up").alias("up"), (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps")
+    """node, root, depth of every node of the replies (node, parent); parents must be nodes, and
+    smaller ones. Each round doubles the length of the ways known, and only nodes that have not
+    reached their root yet take part in it."""
+    root = F.col("parent").isNull()
+    nodes = replies.select(
+        "node",
+        F.coalesce("parent", "node").alias("up"),
+        F.when(root, 0).otherwise(1).cast("long").alias("steps"),
+        root.alias("done"),
+    )
+    known = stored(nodes)
+    finished, open_ = [known.where("done")], known.where("not done")
+    while not open_.isEmpty():
+        above = open_
+        for part in finished:
+            above = above.union(part)
+        above = above.toDF("above", "up2", "steps2", "done2")
+        moved = stored(
+            open_.join(above, open_["up"] == above["above"]).select(
+                "node",
+                F.col("up2").alias("up"),
+                (F.col("steps") + F.col("steps2")).alias("steps"),
+                F.col("done2").alias("done"),
             )
-        ), total
+        )
+        finished.append(moved.where("done"))
+        open_ = moved.where("not done")
+    whole = finished[0]
+    for part in finished[1:]:
+        whole = whole.union(part)
+    return whole.select("node", F.col("up").alias("root"), F.col("steps").alias("depth"))
 
 
 def reply_order(messages: DataFrame) -> DataFrame:
