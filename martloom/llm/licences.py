@@ -96,9 +96,24 @@ RULES = (
 
 # Where a sentence ends; a mark that no text holds stands for the cut.
 CUT = "\u0001"
+# The plain cuts, which the SQL counterpart uses.
 END = r"([.!?:])[ \t]*\r?\n|([.!?:])[ \t]+|\r?\n[ \t]*\r?\n"
 # The blank after "v." in front of a number ends nothing.
 VERSION = r"([ ,][Vv]\.) ([0-9])"
+# The same over line ends with comment marks, the colon inside of the known sentences, and the words
+# that mark comments; other comment marks are no letters and go when a sentence is normalised.
+JOINED = (
+    r"([ ,][Vv]\.)[^A-Za-z0-9]{1,8}([0-9])|([Ff]ree[^A-Za-z0-9]{1,8}[Ss]oftware):"
+    r"|(?m:^)[ \t]*(?:dnl|REM|rem)(?=\s)"
+)
+# A copyright line ends by itself, whatever stands in it.
+COPYRIGHT = r"([Cc]opyright (?:\([Cc]\)|©|[0-9]{4})[^\n]*\n)"
+# A line without letters and digits is blank, as are those that hold a comment mark alone; the address
+# that stands between two sentences of a notice belongs to neither.
+ENDS = (
+    r"([.!?:])[ \t]*\r?\n|([.!?:])[ \t]+|\n[^A-Za-z0-9\n]*\n"
+    r"|https?://www\.apache\.org/licenses/LICENSE-2\.0(?:\.txt|\.html)?"
+)
 NOT_LETTERS = r"[^a-z0-9]+"
 
 
@@ -111,8 +126,26 @@ def normal_text(sentence: str) -> str:
     return re.sub(NOT_LETTERS, " ", sentence.lower()).strip()
 
 
+def cut_text(text: str) -> list[str]:
+    """The sentences of a text, as ``cut`` gives them."""
+    joined = re.sub(JOINED, r"\1\2\3", re.sub(COPYRIGHT, r"\1\n", text))
+    return [part for part in re.sub(ENDS, r"\1\2" + CUT, joined).split(CUT) if normal_text(part)]
+
+
+def cut(text: Column) -> Column:
+    """The text's sentences; a sentence may run over several lines, commented ones too."""
+    ended = F.when(
+        F.contains(text, F.lit("opyright ")), F.regexp_replace(text, COPYRIGHT, "$1\n")
+    ).otherwise(text)
+    joined = F.regexp_replace(ended, JOINED, "$1$2$3")
+    return F.split(F.regexp_replace(joined, ENDS, "$1$2" + CUT), CUT)
+
+
 def known_sentences() -> dict[str, str]:
-    """Identifier by normalised sentence."""
+    """Identifier by normalised sentence; one that would be cut could never be found."""
+    torn = [name for name, sentence in SENTENCES.items() if len(cut_text(sentence)) != 1]
+    if torn:
+        raise ValueError(f"known sentences that are cut: {torn}")
     return {normal_text(sentence): name for name, sentence in SENTENCES.items()}
 
 
@@ -122,10 +155,8 @@ def sentences_found(docs: DataFrame) -> DataFrame:
     A sentence that runs over several lines is looked up whole, and each of its lines by itself.
     """
     spark = docs.sparkSession
-    joined = F.regexp_replace("_text", VERSION, "$1$2")
-    cut = F.split(F.regexp_replace(joined, END, "$1$2" + CUT), CUT)
     lines = F.transform(
-        cut,
+        cut(F.col("_text")),
         lambda s: F.when(
             F.contains(s, F.lit("\n")), F.concat(F.array(s), F.split(s, "\n"))
         ).otherwise(F.array(s)),
