@@ -3,12 +3,14 @@
 A text becomes a row of lower-case words in which numbers, names and units are typed placeholders.
 Windows of this template are joined by hash with the windows of the benchmark items. Windows that
 lie on one diagonal of a text and an item are then held against each other slot by slot: the same
-value of the item must always stand for the same value of the text, and the other way round.
+value of the item must stand for the same value of the text, in nearly all slots of the diagonal.
+Windows of mostly placeholders are joined by their very words, and a long run of windows counts
+whatever its share of the item, with equal words also where the slots disagree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import framed, small_side, stored, unframed, whole_text
@@ -16,6 +18,10 @@ from martloom.llm.common import framed, small_side, stored, unframed, whole_text
 WINDOW = 8
 # The share of an item's windows that must be found.
 MIN_SHARE_PERCENT = 30
+# The share of a diagonal's slots in which an item's value stands for its most usual text value.
+AGREE_PERCENT = 80
+# So many words in a row are contamination, however long the item is.
+RUN_WORDS = 15
 
 # A number, a word, or the end of a sentence.
 _TOKEN = r"[0-9]+(?:[.,:][0-9]+)*|[\p{L}][\p{L}\p{M}\p{N}]*|[.!?\n]"
@@ -62,71 +68,97 @@ def with_template(rows: DataFrame) -> DataFrame:
     )
 
 
-def window_at(start: Column, length: Column | int) -> Column:
-    """Hash of the template's window that starts at the place (from 1)."""
-    return F.xxhash64(F.slice("_hashes", start, length))
+def word_hashes(template: str, raw: str) -> dict[str, Column]:
+    """Hashes of the template's words, and of the raw ones, which never equal the former."""
+    return {
+        "_hashes": F.transform(template, lambda t: F.xxhash64(t)),
+        "_raws": F.transform(raw, lambda r: F.xxhash64(F.lit("raw"), F.lower(r))),
+    }
+
+
+def window_at(start: Column, length: Column | int, hashes: str = "_hashes") -> Column:
+    """Hash of the window that starts at the place (from 1)."""
+    return F.xxhash64(F.slice(hashes, start, length))
+
+
+def windows_of(places: Column, length: int, hashes: str) -> Column:
+    return F.transform(
+        places, lambda i: F.struct(i.alias("_at"), window_at(i, length, hashes).alias("window"))
+    )
+
+
+def is_slot(word: Column) -> Column:
+    return word.startswith("<")
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per window of each item: item_id, length, n_windows, place, window, raw, template.
+    """One row per window of each item: item_id, length, n_windows, n_told, place, exact, window,
+    raw, template.
 
     Items shorter than a window are one window of their own length. Windows in which placeholders
-    outnumber the other words say little and are left out; items without any others cannot be
-    found. Null texts have no windows; a null item_id stays, repeated items count once.
+    outnumber the other words say little and are exact: they are found by their raw words, numbers
+    included. n_told counts the others. Null texts have no windows; a null item_id stays, repeated
+    items count once.
     """
     rows = benchmark.select(benchmark["item_id"].cast("long"), whole_text().alias("_text")).distinct()
     tokens = stored(with_template(rows)).where(F.size("template") > 0)
     tokens = tokens.withColumns(
-        {
-            "_hashes": F.transform("template", lambda t: F.xxhash64(t)),
-            "length": F.least(F.size("template"), F.lit(window)),
-        }
+        {**word_hashes("template", "raw"), "length": F.least(F.size("template"), F.lit(window))}
     )
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size("template") - F.col("length") + 1),
-        lambda i: F.struct(
+
+    def window_of(i: Column) -> Column:
+        template = F.slice("template", i, F.col("length"))
+        exact = F.size(F.filter(template, is_slot)) * 2 > F.col("length")
+        return F.struct(
             i.alias("place"),
-            window_at(i, F.col("length")).alias("window"),
+            exact.alias("exact"),
+            F.when(exact, window_at(i, F.col("length"), "_raws"))
+            .otherwise(window_at(i, F.col("length")))
+            .alias("window"),
             F.slice("raw", i, F.col("length")).alias("raw"),
-            F.slice("template", i, F.col("length")).alias("template"),
-        ),
-    )
-    told = F.filter(
-        windows,
-        lambda w: F.size(F.filter(w["template"], lambda t: t.startswith("<"))) * 2 <= F.col("length"),
-    )
-    listed = tokens.select("item_id", "length", told.alias("windows"))
+            template.alias("template"),
+        )
+
+    places = F.sequence(F.lit(1), F.size("template") - F.col("length") + 1)
+    listed = tokens.select("item_id", "length", F.transform(places, window_of).alias("windows"))
     return listed.select(
-        "item_id", "length", F.size("windows").alias("n_windows"), F.inline("windows")
+        "item_id",
+        "length",
+        F.size("windows").alias("n_windows"),
+        F.size(F.filter("windows", lambda w: ~w["exact"])).alias("n_told"),
+        F.inline("windows"),
     )
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Equal windows: text_hash, item_id, place (in the item), diagonal. Copies count once.
+    """Equal windows: text_hash, item_id, place (in the item), exact, diagonal. Copies count once.
 
     ``docs`` has text_hash and _text. Only hashes and places leave a text's row; with a small
     benchmark they are looked up where they arise, else both sides are shuffled by the hash.
     """
-    lengths = [r["length"] for r in items.select("length").distinct().orderBy("length").collect()]
-    keys = items.select("item_id", "length", "place", "window")
+    sizes = items.groupBy("length").agg(F.max("exact").alias("exact")).orderBy("length").collect()
+    keys = items.select("item_id", "length", "place", "exact", "window")
     found = None
     hashed = with_template(docs).select(
-        "text_hash", F.transform("template", lambda t: F.xxhash64(t)).alias("_hashes")
+        "text_hash", *[c.alias(name) for name, c in word_hashes("template", "raw").items()]
     )
-    for length in lengths:
+    for length, exact in sizes:
         places = F.sequence(F.lit(1), F.size("_hashes") - (length - 1))
+        # Raw windows are hashed only if the benchmark has any to look up.
+        kinds = [
+            windows_of(places, length, hashes)
+            for hashes in (["_hashes", "_raws"] if exact else ["_hashes"])
+        ]
         # No filter on the size: it would be pushed down and compute all templates twice.
-        windows = F.when(
-            F.size("_hashes") >= length, F.transform(places, lambda i: window_at(i, length))
-        )
-        rows = hashed.select("text_hash", F.posexplode(windows).alias("_at", "window"))
+        windows = F.when(F.size("_hashes") >= length, F.concat(*kinds))
+        rows = hashed.select("text_hash", F.inline(windows))
         side = small_side(keys.where(F.col("length") == length).drop("length"))
         met = rows.join(side, "window").select(
-            "text_hash", "item_id", "place", (F.col("_at") + 1 - F.col("place")).alias("diagonal")
+            "text_hash", "item_id", "place", "exact", (F.col("_at") - F.col("place")).alias("diagonal")
         )
         found = met if found is None else found.union(met)
     if found is None:
-        empty = "text_hash long, item_id long, place int, diagonal int"
+        empty = "text_hash long, item_id long, place int, exact boolean, diagonal int"
         return docs.sparkSession.createDataFrame([], empty)
     return found.distinct()
 
@@ -134,21 +166,32 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """text_hash, item_id, n_found, n_windows, n_slots of every text that holds an item.
 
-    An item counts as held if windows on diagonals with consistent slots make up at least
-    MIN_SHARE_PERCENT percent of its windows.
+    An item counts as held if its windows on diagonals with consistent slots make up at least
+    MIN_SHARE_PERCENT percent of all its windows or of those that are not exact, or if RUN_WORDS
+    words follow each other on such a diagonal, or raw ones on any.
     """
     texts = docs.select(F.xxhash64(docs["text"]).alias("text_hash"), whole_text().alias("_text"))
     items = stored(item_windows(benchmark, window))
     found = stored(hits(texts, items))
-    sizes = items.select("item_id", "n_windows").distinct()
+    sizes = items.select("item_id", "n_windows", "n_told").distinct()
+    places = [
+        F.count_distinct("place").alias("n_found"),
+        F.count_distinct(F.when(~F.col("exact"), F.col("place"))).alias("n_told_found"),
+    ]
 
-    def enough(counted: DataFrame) -> DataFrame:
+    def with_sizes(counted: DataFrame) -> DataFrame:
         same = F.col("item_id").eqNullSafe(F.col("_item"))
-        met = counted.join(sizes.withColumnRenamed("item_id", "_item"), same).drop("_item")
-        return met.where(F.col("n_found") * 100 >= F.col("n_windows") * MIN_SHARE_PERCENT)
+        return counted.join(sizes.withColumnRenamed("item_id", "_item"), same).drop("_item")
 
-    counted = found.groupBy("text_hash", "item_id").agg(F.count_distinct("place").alias("n_found"))
-    likely = stored(enough(counted).select("text_hash", "item_id"))
+    enough = (F.col("n_found") * 100 >= F.col("n_windows") * MIN_SHARE_PERCENT) | (
+        (F.col("n_told") > 0) & (F.col("n_told_found") * 100 >= F.col("n_told") * MIN_SHARE_PERCENT)
+    )
+    pair = ["text_hash", "item_id"]
+    key = [*pair, "diagonal"]
+    counted = found.groupBy(*pair).agg(*places)
+    # Shorter items than a run are found by their share.
+    runs = found.groupBy(*key).count().where(F.col("count") >= max(RUN_WORDS - window + 1, 1))
+    likely = stored(with_sizes(counted).where(enough).select(*pair).union(runs.select(*pair)).distinct())
     likely_hits = found.alias("f").join(
         likely.alias("l"),
         (F.col("f.text_hash") == F.col("l.text_hash"))
@@ -166,7 +209,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     by_text = stored(
         slots.groupBy("text_hash").agg(
             F.collect_list(
-                F.struct("item_id", "diagonal", "place", "length", "item_raw", "template")
+                F.struct("item_id", "diagonal", "place", "exact", "length", "item_raw", "template")
             ).alias("hits")
         )
     )
@@ -175,39 +218,55 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         .groupBy("text_hash").agg(F.first("_text").alias("_text"))
     )
     facing = with_template(one_copy).drop("template").join(by_text, "text_hash")
+
+    def facing_words(h: Column) -> Column:
+        own = F.slice("raw", h["place"] + h["diagonal"], h["length"])
+        return F.transform(
+            F.arrays_zip(h["item_raw"].alias("a"), own.alias("b"), h["template"].alias("kind")),
+            lambda p, i: F.struct(
+                p["kind"].alias("kind"),
+                F.lower(p["a"]).alias("a"),
+                F.lower(p["b"]).alias("b"),
+                (h["place"] + i).alias("at"),
+            ),
+        )
+
     pairs = F.transform(
         "hits",
         lambda h: F.struct(
             h["item_id"].alias("item_id"),
             h["diagonal"].alias("diagonal"),
             h["place"].alias("place"),
-            F.filter(
-                F.arrays_zip(
-                    h["item_raw"].alias("a"),
-                    F.slice("raw", h["place"] + h["diagonal"], h["length"]).alias("b"),
-                    h["template"].alias("kind"),
-                ),
-                lambda p: p["kind"].startswith("<"),
-            ).alias("slots"),
+            h["exact"].alias("exact"),
+            h["length"].alias("length"),
+            F.forall(facing_words(h), lambda p: p["a"] == p["b"]).alias("equal"),
+            F.filter(facing_words(h), lambda p: is_slot(p["kind"])).alias("slots"),
         ),
     )
     rows = stored(facing.select("text_hash", F.inline(pairs)))
-    key = ["text_hash", "item_id", "diagonal"]
-    values = rows.select(*key, F.explode("slots").alias("s")).select(
-        *key, F.struct("s.kind", "s.a").alias("a"), F.struct("s.kind", "s.b").alias("b")
+    values = rows.select(*key, F.inline("slots"))
+    usual = (
+        values.groupBy(*key, "kind", "a", "b").agg(F.count_distinct("at").alias("n"))
+        .groupBy(*key, "kind", "a").agg(F.max("n").alias("usual"), F.sum("n").alias("n"))
+        .groupBy(*key).agg(F.sum("usual").alias("usual"), F.sum("n").alias("n"))
+    )
+    wrong = usual.where(F.col("usual") * 100 < F.col("n") * AGREE_PERCENT)
+    wrong = wrong.select(*[F.col(k).alias(f"_{k}") for k in key], F.lit(True).alias("_wrong"))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    judged = rows.join(wrong, on, "left").withColumn("consistent", F.col("_wrong").isNull())
+    # Windows at places that follow each other have one difference of place and rank.
+    ranked = judged.where("consistent or equal").withColumn(
+        "run", F.col("place") - F.dense_rank().over(Window.partitionBy(*key).orderBy("place"))
     )
-    checked = values.groupBy(*key).agg(
-        F.count_distinct("a", "b").alias("n"),
-        F.count_distinct("a").alias("n_a"),
-        F.count_distinct("b").alias("n_b"),
+    run = Window.partitionBy(*key, "run")
+    run_words = F.max("place").over(run) - F.min("place").over(run) + F.max("length").over(run)
+    right = ranked.withColumn("long_run", run_words >= RUN_WORDS).where("consistent or long_run")
+    held = right.groupBy(*pair).agg(
+        *places, F.max(F.size("slots")).alias("n_slots"), F.max("long_run").alias("long_run")
     )
-    wrong = checked.where("n != n_a or n != n_b")
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key]
-    right = rows.alias("r").join(wrong.alias("c"), on, "left_anti")
-    held = right.groupBy("text_hash", "item_id").agg(
-        F.count_distinct("place").alias("n_found"), F.max(F.size("slots")).alias("n_slots")
+    return with_sizes(held).where(enough | F.col("long_run")).select(
+        "text_hash", "item_id", "n_found", "n_windows", "n_slots"
     )
-    return enough(held).select("text_hash", "item_id", "n_found", "n_windows", "n_slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
