@@ -8,7 +8,6 @@ time on a bounded sample; prediction reads every text whole, window by window.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,8 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.common import sliced
+
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of Unicode's category L (numerals and digits are not)."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -209,11 +214,13 @@ def held_out(doc_id=None):
 def sample(docs: DataFrame, how: Training = Training()) -> tuple[list[str], list[str]]:
     """Excerpts and languages of at most ``how.docs`` documents that may be learnt from.
 
-    Documents are taken by the hash of their id, as many of each language as the bound allows.
+    Documents are taken by the hash of their id and text, as many of each language as the bound
+    allows; rows that are equal in both count as they come, so copies without ids are few at most
+    if the source is not made of them.
     """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(False))
-    ).select("lang", "text", F.xxhash64("doc_id").alias("_order"))
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("_order"))
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
         return [], []
@@ -247,15 +254,13 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            told = [i for i, t in enumerate(texts) if net.languages and t and _LETTER.search(t)]
-            for at in range(0, len(told), 256):
-                some = told[at : at + 256]
-                p = document_probabilities(net, [texts[i].encode() for i in some])
-                best = p.argmax(axis=1)
-                for i, k, row in zip(some, best, p, strict=True):
+            told = [i for i, t in enumerate(texts) if net.languages and has_letter(t)]
+            if told:
+                p = document_probabilities(net, [texts[i].encode() for i in told])
+                for i, k, row in zip(told, p.argmax(axis=1), p, strict=True):
                     names[i], scores[i] = net.languages[k], min(1.0, float(row[k]))
             columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
@@ -265,7 +270,10 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def identify(docs: DataFrame, how: Training = Training()) -> DataFrame:
-    """Trains on the documents that may be learnt from and predicts all of them."""
+    """Trains on the documents that may be learnt from and predicts all of them.
+
+    Sampling and training run while the query is built.
+    """
     texts, languages = sample(docs, how)
     net = train(texts, languages, how) if texts else Network([], *new_network(["x"], 1, 0).arrays())
     return predict(docs, net)

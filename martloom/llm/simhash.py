@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import framed, small_side, stored, unframed
+from martloom.llm.common import framed, sliced, small_side, stored, unframed
 
 SHINGLE = 4
 RADIUS = 4
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = [fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()]
             bits = pa.array(np.array(prints, np.uint64).view(np.int64))
             names = ["doc_id", "bits", "text_hash"]

@@ -15,10 +15,13 @@ from collections.abc import Callable
 
 import numpy as np
 
-# Entries of the young half of the words' cache, and of that of the parts that words consist of; a
-# full half becomes the old one. About 250 MB a worker.
-CACHE_ENTRIES = 550_000
-PART_ENTRIES = 100_000
+# Bytes of the young half of the words' cache, and of that of the parts that words consist of; a
+# full half becomes the old one. Up to 250 MB a worker.
+CACHE_BYTES = 100_000_000
+PART_BYTES = 20_000_000
+# What an entry takes besides its key and ids, and the longest key that is kept.
+ENTRY_BYTES = 160
+KEY_BYTES = 96
 
 # Words of these characters are the same in every Unicode normal form in use, and their letters
 # and digits are known without tables; all others go through the library.
@@ -50,7 +53,7 @@ _WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81",
 # Places where a byte-level pattern certainly starts a new pre-token.
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def _has_odd_space(text: str, data: bytes) -> bool:
@@ -62,18 +65,25 @@ def _has_odd_space(text: str, data: bytes) -> bool:
 
 
 class Cache:
-    """Ids by piece of text; a full young half becomes the old one."""
+    """Ids by piece of text; a young half that holds ``most`` bytes becomes the old one.
 
-    def __init__(self, make: Callable[[str], bytes], lead: str = "", entries: int = CACHE_ENTRIES):
-        self.make, self.lead, self.entries = make, lead, entries
+    Long pieces are not kept: they rarely come back.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], lead: str = "", most: int = CACHE_BYTES):
+        self.make, self.lead, self.most = make, lead, most
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _new(self, piece: bytes) -> bytes:
         found = self.old.get(piece) or self.make(self.lead + piece.decode())
-        if len(self.young) >= self.entries:
-            self.old, self.young = self.young, {}
-        self.young[piece] = found
+        if len(piece) <= KEY_BYTES:
+            self.held += len(piece) + len(found) + ENTRY_BYTES
+            if self.held > self.most:
+                self.old, self.young = self.young, {}
+                self.held = len(piece) + len(found) + ENTRY_BYTES
+            self.young[piece] = found
         return found
 
     def one(self, piece: bytes) -> bytes:
@@ -89,21 +99,24 @@ class Cache:
 class Encoder:
     """``ids(text)`` equals ``encode(text, add_special_tokens=False).ids`` as unsigned ids.
 
-    Strings of special tokens in a text count as ordinary text.
+    As in the library, strings of special tokens in a text get their ids, unless ``plain``: then
+    they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.specials = [] if plain else [t.content.lower() for t in added]
         # White space counts for a byte-level vocabulary and not for one with word ends.
         self.keeps_space = self.tokenizer.normalizer is None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.merge = self.tokenizer.model.tokenize
-        self.parts = Cache(self._merged, entries=PART_ENTRIES)
+        self.parts = Cache(self._merged, most=PART_BYTES)
         # Words after a blank have it in their first id; the rest start a line or text.
         self.words = Cache(self._split_word, " " if self.keeps_space else "")
         self.first_words = Cache(self._split_word)
@@ -141,6 +154,11 @@ class Encoder:
         return self.parts.one(part.encode())
 
     def ids(self, text: str) -> np.ndarray:
+        if self.specials and "<" in text:
+            small = text.lower()
+            if any(s in small for s in self.specials):
+                # Rare: the library cuts at them, before or after its normaliser.
+                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
         data = text.encode()
         if not self.keeps_space:
             found = self.words.all(data.split())
@@ -160,8 +178,8 @@ class Encoder:
         return np.frombuffer(b"".join(found), self.dtype)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The encoder of a file, one for each Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
