@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,8 @@ from martloom.sources import paths
 
 # A side of a join is broadcast up to this many narrow rows; beyond it, both sides are shuffled.
 BROADCAST_ROWS = 100_000
+# Rows that a Python worker turns into objects at once.
+SLICE = 256
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +33,13 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices (at least one for each): a worker holds the objects of one only."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

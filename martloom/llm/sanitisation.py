@@ -1,25 +1,34 @@
-"""Personal data by pattern, and the terms around it that would give it away.
+"""Personal data by pattern, and the terms that would give it away.
 
 Protected entities are the addresses and numbers found by pattern. How much a term reveals of an
-entity is estimated over the corpus: with N texts, the entity in n_c, the term in n_t, and the term
-near the entity in n_ct of them, the term tells log2(n_ct * N / (n_c * n_t)) of the entity's
-log2(N / n_c) bits. A term that tells too large a share is generalised or removed wherever it
-stands in a text that holds the entity. Texts count once, however many copies there are.
+entity is estimated over the corpus: with N texts, the entity in n_c, the term in n_t, and both in
+n_ct of them, the chance of the entity in a text with the term is estimated as
+
+    p = (n_ct + n_c / N) / (n_t + 1)
+
+(one text of the corpus' average is added, so that one meeting proves less than many). The term
+tells log2(p * N / n_c) of the entity's log2(N / n_c) bits. It is treated if this share is large
+and p is at least ``certainty``: a term that as many texts hold without the entity points nowhere.
+Such terms are generalised or removed in every text that holds them. Texts count once, however many
+copies there are.
+
+Entities that stand in the same texts meet every term equally often, so they are counted as one
+class, and a text's terms are met with its classes, not with each of its entities.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martloom.llm.common import framed, small_side, stored, unframed, whole_text
+from martloom.llm.common import framed, sliced, small_side, stored, unframed, whole_text
 
 # The patterns and their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -39,15 +48,15 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Terms within ``window`` words of an entity are weighed if they stand there in at least
-    ``min_texts`` texts; those that tell ``generalise`` of its bits are generalised, ``remove``
-    removed. Up to ``broadcast_terms`` term hashes (8 bytes each) are sent to all executors."""
+    """Terms that tell ``generalise`` of an entity's bits are generalised, ``remove`` removed, if the
+    entity's chance beside them is ``certainty``. Up to ``broadcast_terms`` hashes of 8 bytes and
+    ``broadcast_bytes`` of treated terms are sent to all executors; beyond, Spark shuffles."""
 
-    window: int = 16
-    min_texts: int = 2
     generalise: float = 0.6
     remove: float = 0.8
+    certainty: float = 0.5
     broadcast_terms: int = 2_000_000
+    broadcast_bytes: int = 8_000_000
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -104,44 +113,34 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def contexts(text: str, spans: list[Span], window: int) -> Iterator[tuple[str, list[str]]]:
-    """Each entity with the terms around it, those inside of entities left out."""
-    if not spans:
-        return
-    places = sorted((a, b) for _, a, b in spans)
-    words, k = [], 0
+def entity_terms(text: str, spans: list[Span]) -> tuple[list[str], list[str]]:
+    """The different entities of a text, and its different terms outside of them."""
+    places, k, terms = sorted((a, b) for _, a, b in spans), 0, set()
     for match in _TERM.finditer(text):
         while k < len(places) and places[k][1] <= match.start():
             k += 1
         if k == len(places) or match.end() <= places[k][0]:
-            words.append((match.start(), match.group()))
-    starts = [s for s, _ in words]
+            terms.add(match.group())
+    entities = set()
     for kind, a, b in spans:
-        before, after = bisect_left(starts, a), bisect_left(starts, b)
-        near = words[max(0, before - window) : before] + words[after : after + window]
         value = text[a:b].lower() if kind in ("email", "ip") else _only_digits(text[a:b])
-        yield f"{kind}:{value}", [w for _, w in near]
-
-
-def _contexts(window: int):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, entities, terms = [], [], []
-            for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for entity, near in contexts(text, base_spans(text), window):
-                    hashes.append(key)
-                    entities.append(entity)
-                    terms.append(near)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes, pa.int64()),
-                    pa.array(entities, pa.string()),
-                    pa.array(terms, pa.list_(pa.string())),
-                ],
-                ["text_hash", "entity", "terms"],
-            )
-
-    return of
+        entities.add(f"{kind}:{value}")
+    return sorted(entities), sorted(terms)
+
+
+def _entity_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    strings = pa.list_(pa.string())
+    for batch in sliced(batches):
+        hashes, entities, terms = [], [], []
+        for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            spans = base_spans(text)
+            if spans:
+                named, held = entity_terms(text, spans)
+                hashes.append(key)
+                entities.append(named)
+                terms.append(held)
+        columns = [pa.array(hashes, pa.int64()), pa.array(entities, strings), pa.array(terms, strings)]
+        yield pa.RecordBatch.from_arrays(columns, ["text_hash", "entities", "terms"])
 
 
 def copy_counts(texts: DataFrame) -> DataFrame:
@@ -150,6 +149,13 @@ def copy_counts(texts: DataFrame) -> DataFrame:
     return stored(counts.where("copies > 1"))
 
 
+def _words(texts: DataFrame, *kept: str) -> DataFrame:
+    """term (hash of the small word) once for each text row and word."""
+    words = F.array_distinct(F.transform(F.split("_text", _BETWEEN), F.lower))
+    rows = texts.select(F.explode(words).alias("word"), *kept)
+    return rows.select(F.xxhash64("word").alias("term"), "word", *kept)
+
+
 def term_counts(
     texts: DataFrame, copies: DataFrame, wanted: DataFrame, how: Disclosure
 ) -> DataFrame:
@@ -159,67 +165,83 @@ def term_counts(
     arise and only sums are shuffled.
     """
     weighed = texts.join(small_side(copies, how.broadcast_terms), "text_hash", "left")
-    words = F.array_distinct(F.transform(F.split("_text", _BETWEEN), F.lower))
-    rows = weighed.select(F.explode(words).alias("word"), "copies")
-    rows = rows.select(F.xxhash64("word").alias("term"), (1 / F.coalesce("copies", F.lit(1))).alias("part"))
-    side = small_side(wanted.select("term").distinct(), how.broadcast_terms)
-    return rows.join(side, "term").groupBy("term").agg(F.round(F.sum("part")).alias("n_t"))
+    rows = _words(weighed, "copies").select(
+        "term", (1 / F.coalesce("copies", F.lit(1))).alias("part")
+    )
+    total = F.round(F.sum("part")).alias("n_t")
+    if wanted.count() <= how.broadcast_terms:
+        return rows.join(F.broadcast(wanted), "term").groupBy("term").agg(total)
+    # Too many for every executor: summed first, so that a common word is one row of each task.
+    return rows.groupBy("term").agg(total).join(wanted, "term")
+
+
+def entity_classes(mentions: DataFrame) -> DataFrame:
+    """text_hash, class, n_c: entities that stand in the same texts are one class."""
+    mark = F.sum(F.xxhash64("text_hash").cast("decimal(38,0)")).cast("string")
+    by_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_c"), mark.alias("mark"))
+    named = by_entity.select("entity", "n_c", F.xxhash64("n_c", "mark").alias("class"))
+    return mentions.join(named, "entity").select("text_hash", "class", "n_c").distinct()
 
 
 def disclosing_terms(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
-    """text_hash, terms: for each text the terms to treat and the share of bits each one tells."""
+    """term, word, share: the terms to treat and the largest share of an entity's bits each tells."""
     texts = docs.select(F.xxhash64(docs["text"]).alias("text_hash"), whole_text().alias("_text"))
-    near_schema = "text_hash long, entity string, terms array<string>"
-    found = stored(texts.mapInArrow(_contexts(how.window), near_schema))
     copies = copy_counts(texts)
     more = copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
     n = float(texts.count() - more)
-    mentions = found.select("text_hash", "entity").distinct()
-    known = mentions.groupBy("entity").agg(F.count("*").alias("n_c"))
-    # Entities of fewer texts cannot have a term in enough of them.
-    known = stored(known.where(F.col("n_c") >= how.min_texts))
-    near = found.select("text_hash", "entity", F.explode("terms").alias("word")).select(
-        "text_hash", "entity", F.lower("word").alias("word")
+    found = stored(
+        texts.mapInArrow(_entity_texts, "text_hash long, entities array<string>, terms array<string>")
     )
-    pairs = (
-        near.join(small_side(known), "entity").distinct()
-        .groupBy("entity", "n_c", "word").agg(F.count("*").alias("n_ct"))
-        .where(F.col("n_ct") >= how.min_texts)
-    )
-    # A term stands in at least as many texts as it stands near any entity: common words are out
-    # before all texts are searched.
-    at_least = near.groupBy("word").agg(F.count_distinct("text_hash").alias("at_least"))
-    most = F.col("n_ct") * F.pow(F.lit(n) / F.col("n_c"), F.lit(1 - how.generalise))
-    pairs = pairs.join(at_least, "word").where(F.col("at_least") <= most * 1.000001)
-    pairs = stored(pairs.withColumn("term", F.xxhash64("word")))
-    counts = term_counts(texts, copies, pairs, how)
-    told = F.log2(F.col("n_ct") * F.lit(n) / (F.col("n_c") * F.col("n_t")))
-    bits = F.log2(F.lit(n) / F.col("n_c"))
+    mentions = found.select("text_hash", F.explode("entities").alias("entity")).distinct()
+    classes = stored(entity_classes(mentions))
+    held = found.select("text_hash", F.explode("terms").alias("word"))
+    held = stored(held.select("text_hash", F.lower("word").alias("word")).distinct())
+    # A term stands in at least as many texts as entity texts hold it: common words are out before
+    # all texts are searched.
+    at_least = held.groupBy("word").agg(F.count("*").alias("at_least"))
+    met = held.join(classes, "text_hash").groupBy("class", "n_c", "word").agg(F.count("*").alias("n_ct"))
+    best = F.col("n_ct") + F.col("n_c") / F.lit(n)
+    pairs = met.join(at_least, "word").where(best >= how.certainty * (F.col("at_least") + 1))
+    pairs = pairs.select(F.xxhash64("word").alias("term"), "word", "n_c", "n_ct")
+    # Classes with the same counts say the same of a term.
+    pairs = stored(pairs.distinct())
+    counts = term_counts(texts, copies, stored(pairs.select("term").distinct()), how)
+    p = best / (F.col("n_t") + 1)
+    bits, told = F.log2(F.lit(n) / F.col("n_c")), F.log2(p * F.lit(n) / F.col("n_c"))
     shares = pairs.join(counts, "term").select(
-        "entity", "word", F.when(bits > 0, told / bits).otherwise(0.0).alias("share")
+        "term", "word", p.alias("p"), F.when(bits > 0, told / bits).otherwise(0.0).alias("share")
     )
-    telling = stored(shares.where(F.col("share") >= how.generalise))
-    worst = (
-        mentions.join(small_side(telling), "entity")
-        .groupBy("text_hash", "word").agg(F.max("share").alias("share"))
-    )
-    return worst.groupBy("text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("word", "share"))).alias("terms")
+    telling = shares.where((F.col("p") >= how.certainty) & (F.col("share") >= how.generalise))
+    return telling.groupBy("term", "word").agg(F.max("share").alias("share"))
+
+
+def terms_of_texts(docs: DataFrame, telling: DataFrame, how: Disclosure) -> DataFrame:
+    """text_hash, removed, generalised: the treated words of every text that holds any."""
+    texts = docs.select(F.xxhash64(docs["text"]).alias("text_hash"), whole_text().alias("_text"))
+    side = telling.select("term", (F.col("share") >= how.remove).alias("remove"))
+    rows = _words(texts, "text_hash").join(small_side(side, how.broadcast_terms), "term")
+
+    def words(wanted: Column) -> Column:
+        return F.sort_array(F.collect_set(F.when(wanted, F.col("word"))))
+
+    return rows.groupBy("text_hash").agg(
+        words(F.col("remove")).alias("removed"), words(~F.col("remove")).alias("generalised")
     )
 
 
-def term_spans(text: str, base: list[Span], terms: list[dict], how: Disclosure) -> list[Span]:
+def term_spans(
+    text: str, base: list[Span], removed: frozenset[str], generalised: frozenset[str]
+) -> list[Span]:
     """Spans of the terms outside of the base spans, generalised ones first."""
-    shares = {t["word"]: t["share"] for t in terms}
     places, k, found = sorted((a, b) for _, a, b in base), 0, []
     for match in _TERM.finditer(text):
-        share = shares.get(match.group().lower())
-        if share is None:
+        word = match.group().lower()
+        kind = "removed" if word in removed else "generalised" if word in generalised else None
+        if kind is None:
             continue
         while k < len(places) and places[k][1] <= match.start():
             k += 1
         if k == len(places) or match.end() <= places[k][0]:
-            kind = "removed" if share >= how.remove else "generalised"
             found.append((kind, *match.span()))
     return sorted(found)
 
@@ -244,25 +266,32 @@ def cleaned(text: str, spans: list[Span]) -> str:
     return "".join(out)
 
 
-def _apply(how: Disclosure):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            spans, texts = [], []
-            for text, terms in zip(
-                batch.column("in_text").to_pylist(), batch.column("_terms").to_pylist(), strict=True
-            ):
-                found = base_spans(text or "")
-                if terms and found:
-                    found += term_spans(text, found, terms, how)
-                spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in found])
-                texts.append(cleaned(text, found) if found else text)
-            kept = batch.drop_columns(["in_text", "_terms"])
-            yield kept.append_column("spans", pa.array(spans, kind)).append_column(
-                "clean_text", pa.array(texts, pa.string())
-            )
-
-    return of
+def _span_array(found: list[list[Span]]) -> pa.Array:
+    """Lists of spans column by column, without an object for each span."""
+    ends = [0, *accumulate(map(len, found))]
+    flat = list(chain.from_iterable(found))
+    kinds, starts, stops = zip(*flat, strict=True) if flat else ((), (), ())
+    fields = [pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64())]
+    spans = pa.StructArray.from_arrays(fields, ["kind", "start", "end"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+
+
+def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    added = ["in_text", "_removed", "_generalised"]
+    for batch in sliced(batches):
+        spans, texts = [], []
+        for text, removed, generalised in zip(
+            *(batch.column(c).to_pylist() for c in added), strict=True
+        ):
+            found = base_spans(text or "")
+            if removed or generalised:
+                found += term_spans(
+                    text or "", found, frozenset(removed or ()), frozenset(generalised or ())
+                )
+            spans.append(found)
+            texts.append(cleaned(text, found) if found else text)
+        kept = batch.drop_columns(added).append_column("spans", _span_array(spans))
+        yield kept.append_column("clean_text", pa.array(texts, pa.string()))
 
 
 def sanitised(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
@@ -270,15 +299,26 @@ def sanitised(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
 
     spans holds (kind, start, end) in code points: email, ip, card, phone, generalised, removed,
     each by start. A null text has no spans and stays null; repeated rows stay; texts without
-    entities are left as they are; an empty table gives an empty one.
+    entities and without telling terms are left as they are; an empty table gives an empty one.
+    The corpus is counted while the query is built; what it finds is stored in the shared folder.
     """
-    terms = stored(disclosing_terms(docs, how))
-    side = small_side(terms.select(F.col("text_hash").alias("_of"), F.col("terms").alias("_terms")))
+    telling = stored(disclosing_terms(docs, how))
+    words = stored(terms_of_texts(docs, telling, how))
+    size = F.size("removed") + F.size("generalised")
+    # Words take some 20 bytes each in memory, and a text's row some 100.
+    weight = words.agg(F.sum(size * 20 + 100)).first()[0] or 0
+    side = words.select(
+        F.col("text_hash").alias("_of"),
+        F.col("removed").alias("_removed"),
+        F.col("generalised").alias("_generalised"),
+    )
+    side = F.broadcast(side) if weight <= how.broadcast_bytes else side
     hashed = framed(docs).withColumn("_hash", F.xxhash64("in_text"))
     rows = hashed.join(side, F.col("_hash") == F.col("_of"), "left").drop("_hash", "_of")
-    schema = StructType([f for f in rows.schema.fields if f.name not in ("in_text", "_terms")])
+    given = ("in_text", "_removed", "_generalised")
+    schema = StructType([f for f in rows.schema.fields if f.name not in given])
     schema = schema.add("spans", StructType.fromDDL(f"s {SPANS}")["s"].dataType)
-    return rows.mapInArrow(_apply(how), schema.add("clean_text", "string"))
+    return rows.mapInArrow(_apply, schema.add("clean_text", "string"))
 
 
 def without_personal_data(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:

@@ -23,11 +23,11 @@ from martloom.llm import (
 )
 from martloom.llm.common import read
 from martloom.llm.queries import QUERIES
-from martloom.llm.tokens import Encoder
+from martloom.llm.tokens import ENTRY_BYTES, Cache, Encoder
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "\n", "  a b", "a  b", "a\n\nb", "a \nb", "tab\tx", "x\x1cy z", "it's I'LL 'sx",
-       "12 345 ½ x²", "<|endoftext|> hi", "a b ", "日本語 テキスト", "ΣΑΣ", "A-b_c's 'tis", "x \x00y",
+       "12 345 ½ x²", "<|endoftext|> hi", "alpha <|endoftext|> beta", "x<|StartOfText|>y", "<| <|endoftext|>\n", "a b ", "日本語 テキスト", "ΣΑΣ", "A-b_c's 'tis", "x \x00y",
        "\x85 a\x85b", "é é ÇA"]
 
 
@@ -39,16 +39,27 @@ def texts(spark):
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_ids_equal_those_of_the_library(texts, name):
-    plain = Tokenizer.from_file(public_tokenizers.path(name))
-    plain.encode_special_tokens = True
-    mine = Encoder(public_tokenizers.path(name))
-    for text in [*ODD, *list(texts.values())[:100]]:
-        assert mine.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    path = public_tokenizers.path(name)
+    for plain in (False, True):
+        library, mine = Tokenizer.from_file(path), Encoder(path, plain)
+        if plain:
+            library.encode_special_tokens = True
+        for text in [*ODD, *list(texts.values())[:100]]:
+            assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_caches_hold_bytes_not_entries():
+    made = []
+    cache = Cache(lambda p: made.append(p) or p.encode(), most=10 * (ENTRY_BYTES + 20))
+    for i in range(200):
+        cache.one(b"%010d" % i)
+        assert cache.held <= cache.most and len(cache.young) + len(cache.old) <= 20
+    long = b"x" * 5000
+    assert cache.one(long) == cache.one(long) == long and made.count(long.decode()) == 2
 
 
 def test_packing_digest_and_layout(spark, texts):
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    plain.encode_special_tokens = True
     want = {}
     for doc_id, text in texts.items():
         ids = [*plain.encode(text, add_special_tokens=False).ids, 0]
@@ -89,7 +100,6 @@ def test_each_piece_goes_where_the_sum_of_squares_is_least():
 
 def test_arrow_files_round_trip(spark, texts):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rows, at = sorted(tuple(r) for r in QUERIES["op4_arrow_sequences"](spark, SF).collect()), 0
     for (doc_id, text), row in zip(sorted(texts.items()), rows, strict=True):
         ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
@@ -218,34 +228,107 @@ def test_personal_data_by_pattern(spark):
         assert sanitisation.base_spans(text) == plain(text)
 
 
+FILLER = "common words of all the people who say what is here wrote from to any address without"
+
+
 def test_terms_that_give_an_entity_away(spark):
-    filler = [f"common words of all the people number{chr(97 + i % 26)} here" for i in range(300)]
-    rows = [(i, t) for i, t in enumerate(filler)]
-    # A copy must not lend the rare word a second text; the near copies do.
+    rows = [(i, f"{FILLER} number{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(300)]
+    filler = list(rows)
     rows += [(1000, "Zephyrine wrote from zoe@x.example.com to all people")] * 2
     rows += [(1001, "the people say zoe@x.example.com is Zephyrine of all")]
     rows += [(1002, "Quixotry wrote from max@x.example.com to people")] * 3
+    # A telling term is treated wherever it stands, far from the address and in texts without it.
     rows += [(1003, "Zephyrine without any address of people")]
+    rows += [(1004, "eve@x.example.com " + "people of the " * 40 + "Farawayville")]
+    # As many texts without the entity leave a term deniable.
+    rows += [(1005, "Commoner wrote to ann@x.example.com"), (1006, "Commoner wrote to all people")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in sanitisation.without_personal_data(docs).collect()}
     assert out[1000] == " wrote from [email] to all people"
     assert out[1001] == "the people say [email] is  of all"
-    assert out[1002] == "Quixotry wrote from [email] to people"
-    assert out[1003] == "Zephyrine without any address of people"
-    assert all(out[i] == t for i, t in enumerate(filler))
+    assert out[1002] == " wrote from [email] to people"
+    assert out[1003] == " without any address of people"
+    assert out[1004] == "[email] " + "people of the " * 40
+    assert out[1005] == "Commoner wrote to [email]" and out[1006] == "Commoner wrote to all people"
+    assert all(out[i] == t for i, t in filler)
+
+
+def plain_sanitised(texts, how):
+    """Treated words by text: every entity with every word, counted text by text."""
+    word = re.compile(r"[^\x00-@\[-`{-\u00bf\u2000-\u206f\u3000-\u303f]+")
+    unique, holds, outside, entities = set(texts), {}, {}, {}
+    for t in unique:
+        spans = sanitisation.base_spans(t)
+        holds[t] = {w.lower() for w in word.findall(t)}
+        outside[t] = {
+            m.group().lower() for m in word.finditer(t)
+            if all(m.end() <= a or m.start() >= b for _, a, b in spans)
+        }
+        for kind, a, b in spans:
+            value = t[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", t[a:b])
+            entities.setdefault((kind, value), set()).add(t)
+    n, shares = len(unique), {}
+    for held in entities.values():
+        for w in set().union(*(outside[t] for t in held)):
+            n_ct, n_t = sum(w in outside[t] for t in held), sum(w in h for h in holds.values())
+            p, bits = (n_ct + len(held) / n) / (n_t + 1), np.log2(n / len(held))
+            share = np.log2(p * n / len(held)) / bits if bits > 0 else 0
+            if p >= how.certainty and share >= how.generalise:
+                shares[w] = max(share, shares.get(w, 0))
+    return {t: {w: shares[w] for w in holds[t] if w in shares} for t in unique}
+
+
+@pytest.mark.parametrize("how", [sanitisation.Disclosure(), sanitisation.Disclosure(0.3, 0.7, 0.2, 3, 50)])
+def test_spans_of_terms_equal_those_of_plain_counts(spark, how):
+    rng = random.Random(7)
+    names = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnr"]
+    rows = []
+    for i in range(150):
+        words = [rng.choice(names[: 8 if rng.random() < 0.7 else 80]) for _ in range(rng.randint(1, 25))]
+        for _ in range(rng.choice([0, 0, 0, 1, 2])):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["me@x.example", "10.0.0.7", f"u{i % 9}@y.example"]))
+        rows.append((i, " ".join(words).title() if i % 2 else " ".join(words)))
+    rows += rows[:20] + [(500, None), (501, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_sanitised([t or "" for _, t in rows], how)
+    word = re.compile(r"[^\x00-@\[-`{-\u00bf\u2000-\u206f\u3000-\u303f]+")
+    texts, added = dict(rows), 0
+    for r in sanitisation.sanitised(docs, how).collect():
+        text = texts[r["in_doc_id"]] or ""
+        base = sanitisation.base_spans(text)
+        expected = [
+            ("removed" if want[text][m.group().lower()] >= how.remove else "generalised", *m.span())
+            for m in word.finditer(text)
+            if m.group().lower() in want[text] and all(m.end() <= a or m.start() >= b for _, a, b in base)
+        ]
+        assert [tuple(s) for s in r["spans"]] == base + sorted(expected)
+        added += len(expected)
+    assert added > 10
 
 
-def test_shares_follow_the_definition(spark):
-    docs = read(spark, SF, "documents").select("doc_id", "text").limit(60)
-    extra = spark.createDataFrame([(9000 + i, f"rarity a{i} b@c.example.org the of") for i in range(3)], docs.schema)
-    shares = {r["word"]: r["share"] for row in sanitisation.disclosing_terms(
-        docs.union(extra), sanitisation.Disclosure(generalise=0.01)).collect() for r in row["terms"]}
-    texts = {r["text"] for r in docs.union(extra).collect()}
-    n, n_c = len(texts), 3
-    for word in ("rarity", "the"):
-        n_t = sum(word in re.findall(r"[^\W\d_]+", t.lower()) for t in texts)
-        want = np.log2(3 * n / (n_c * n_t)) / np.log2(n / n_c)
-        assert shares.get(word, 0) == pytest.approx(want if want >= 0.01 else 0)
+def test_a_worker_holds_little_though_half_of_the_texts_share_addresses(spark):
+    rng = random.Random(5)
+    base = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(380)]
+    rows = [
+        (i, " ".join([*rng.sample(base, 370), *(f"user{k}@mail.example.com" for k in range(12))]))
+        for i in range(3000)
+    ]
+    rows += [(10_000 + i, "plain text of other people") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def peak(batches):
+        import resource
+
+        import pyarrow as pa
+
+        for batch in sanitisation._apply(batches):
+            yield pa.RecordBatch.from_pydict(
+                {"mb": [resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024] * batch.num_rows}
+            )
+
+    words = spark.createDataFrame([(base, base[:0])], "_removed array<string>, _generalised array<string>")
+    given = docs.select(F.col("text").alias("in_text")).crossJoin(F.broadcast(words))
+    assert given.mapInArrow(peak, "mb long").agg(F.max("mb")).first()[0] < 400
 
 
 def test_templates_find_reparameterised_items_only(spark):
@@ -305,3 +388,35 @@ def test_language_gradients_and_held_out_accuracy(spark):
     assert [r for r in out if r["held_out"]] == held and len(out) == len(truth)
     assert np.mean([truth[r["doc_id"]] == r["lang_pred"] for r in held]) >= 0.95
     assert all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_predictions_equal_a_plain_loop_over_bytes(spark):
+    net = language.new_network(["a", "b", "c"], 3, 5)
+    texts = ["short", "a longer text, é and ü " * 9, "² ½ ① 12", "x" * 96, "y" * 97, None, "日本"]
+
+    def plain(data, window=96):
+        total = np.zeros(3)
+        for at in range(0, len(data), window):
+            # The last window is filled with zero bytes, which the backward direction reads first.
+            part, states = data[at : at + window].ljust(window, b"\0"), []
+            for d, order in ((0, part), (1, part[::-1])):
+                h, kept = np.zeros(3), []
+                for byte in order:
+                    a = net.inputs[d][byte] + h @ net.states[d]
+                    z, c = 1 / (1 + np.exp(-a[:3])), np.tanh(a[3:])
+                    h = z * h + (1 - z) * c
+                    kept.append(h)
+                states.append(kept if d == 0 else kept[::-1])
+            for forward, backward in list(zip(*states))[: len(data) - at]:
+                scores = forward @ net.outputs[0] + backward @ net.outputs[1] + net.bias
+                total += np.exp(scores) / np.exp(scores).sum()
+        return total / len(data)
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language.predict(frame, net).collect():
+        text = texts[r["doc_id"]]
+        if r["doc_id"] in (2, 5):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        else:
+            p = plain(text.encode())
+            assert r["lang_pred"] == "abc"[p.argmax()] and r["score"] == pytest.approx(p.max(), abs=1e-4)
