@@ -12,6 +12,9 @@ from martloom.sources import paths
 
 # A side of a join is broadcast up to this many narrow rows; beyond it, both sides are shuffled.
 BROADCAST_ROWS = 100_000
+# Keys with more than this part of the rows, at least HOT_ROWS, are joined by broadcast: there are
+# no more than HOT_PARTS of them, whatever the data.
+HOT_PARTS, HOT_ROWS = 5_000, 64
 # Rows that a Python worker turns into objects at once.
 SLICE = 256
 
@@ -33,6 +36,21 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def many_to_one(
+    rows: DataFrame, side: DataFrame, keys: list[str], n_rows: int, rows_of_key: str = "n"
+) -> DataFrame:
+    """Inner join of the rows with the one row of their key; no key's rows meet in one task.
+
+    ``side`` counts each key's rows in ``rows_of_key``. Keys that hold many rows are sent to all
+    executors, at most ``HOT_PARTS`` of them; the rest are shuffled.
+    """
+    most = max(HOT_ROWS, n_rows // HOT_PARTS)
+    hot = F.broadcast(side.where(F.col(rows_of_key) > most))
+    met = rows.join(hot, keys)
+    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    return met.unionByName(rest.join(side.where(F.col(rows_of_key) <= most), keys))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches in short slices (at least one for each): a worker holds the objects of one only."""
     for batch in batches:

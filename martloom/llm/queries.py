@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
+    alignment,
     arrow_sequences,
     decontamination,
     language,
     licences,
     line_frequency,
+    minhash,
     packing,
     quotations,
     sanitisation,
@@ -126,3 +128,15 @@ def op5_quotation_linking(spark, sf_dir):
 def op7_byte_network_language(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return language.identify(docs).withColumn("held_out", language.held_out())
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    byte_path = public_tokenizers.path("byte_bpe_50k.json")
+    piece_path = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignments(read(spark, sf_dir, "documents"), byte_path, piece_path)
+
+
+@query
+def op13_minhash_near_dup(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))

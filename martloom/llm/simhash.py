@@ -20,7 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import framed, sliced, small_side, stored, unframed
+from martloom.llm.common import framed, many_to_one, sliced, small_side, stored, unframed
+from martloom.llm.components import components
 
 SHINGLE = 4
 RADIUS = 4
@@ -246,7 +247,7 @@ def block_masks(used: int, radius: int) -> list[int]:
     free = [b for b in range(64) if not used >> b & 1]
     blocks = radius + EQUAL_BLOCKS
     if len(free) < blocks:
-        return []
+        raise ValueError(f"a group cannot be dealt again by {blocks} blocks; raise its limit")
     parts = [sum(1 << int(b) for b in part) for part in np.array_split(free, blocks)]
     return [used | a | b for a, b in combinations(parts, EQUAL_BLOCKS)]
 
@@ -290,40 +291,6 @@ def links(prints: DataFrame, radius: int = RADIUS, limit: int = GROUP_LIMIT) ->
 # --- groups ----------------------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges (a, b): root is the smallest node it reaches.
-
-    Large-star and small-star steps in turn: every step hangs nodes on the smallest one they know,
-    so edges stay no more than nodes and edges, and stop changing after a few rounds.
-    """
-
-    def star(both: DataFrame) -> DataFrame:
-        """Each node's neighbours hang on the smallest of the node and its neighbours."""
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        return both.join(least, "a").select("a", "b", F.least("a", "m").alias("m"))
-
-    def settled(pairs: DataFrame) -> tuple[DataFrame, tuple]:
-        kept = stored(pairs.where("a != b").distinct())
-        mark = kept.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return kept, tuple(mark)
-
-    high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    now, mark = settled(edges.select(high, low))
-    while mark[0]:
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
-        hung = star(large)
-        small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            hung.select("a", F.col("m").alias("b"))
-        )
-        now, after = settled(small.select(high, low))
-        if after == mark:
-            break
-        mark = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, limit: int = GROUP_LIMIT
 ) -> DataFrame:
@@ -335,15 +302,21 @@ def near_duplicates(
     an empty one.
     """
     rows = stored(fingerprints(docs, shingle))
-    prints = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
+    prints = stored(
+        rows.groupBy("bits").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    )
     rooted = components(links(prints.select("bits"), radius, limit))
     root = F.coalesce("root", "bits").alias("root")
     member = prints.join(rooted, prints["bits"] == rooted["node"], "left").select(
-        "bits", "first_id", root
+        "bits", "first_id", "n", root
     )
-    group = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = member.join(group, "root").select("bits", "component_id")
-    return rows.join(ids, "bits").select("doc_id", "text_hash", "bits", "component_id")
+    member = stored(member)
+    total = F.min("first_id").alias("component_id"), F.count("*").alias("members")
+    group = member.groupBy("root").agg(*total)
+    ids = many_to_one(member, group, ["root"], prints.count(), "members")
+    ids = stored(ids.select("bits", "component_id", "n"))
+    met = many_to_one(rows, ids, ["bits"], rows.count())
+    return met.select("doc_id", "text_hash", "bits", "component_id")
 
 
 def one_per_group(docs: DataFrame, **how: int) -> DataFrame:

@@ -33,15 +33,20 @@ _BYTE_PARTS = re.compile(
 )
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """Byte-level vocabularies write each byte as a letter: itself if visible, else 256 and up."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = iter(range(256, 512))
-    letters = [chr(b if b in visible else next(hidden)) for b in range(256)]
+    return {b: chr(b if b in visible else next(hidden)) for b in range(256)}
+
+
+def _spelled() -> dict[int, str]:
+    """Plain characters in the letters of their bytes."""
+    letters = byte_letters()
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in (*range(128), *range(192, 256))}
 
 
-_BYTE_LETTERS = _byte_letters()
+_BYTE_LETTERS = _spelled()
 
 
 # White space that is neither one blank nor one line break between two words.
@@ -56,7 +61,7 @@ _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _has_odd_space(text: str, data: bytes) -> bool:
+def has_odd_space(text: str, data: bytes) -> bool:
     if data[:1] in b" \n" or data[-1:] in b" \n" or any(p in data for p in _ODD_PAIRS):
         return True
     if len(data.translate(None, _ODD_BYTES)) < len(data):
@@ -164,7 +169,7 @@ class Encoder:
             found = self.words.all(data.split())
         elif not data:
             found = []
-        elif _has_odd_space(text, data):
+        elif has_odd_space(text, data):
             found = self.first_words.all([p.encode() for p in _SAFE_CUT.split(text)])
         else:
             (line_break,) = self.first_words.all([b"\n"])
