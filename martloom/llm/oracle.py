@@ -218,3 +218,67 @@ where n_found * 100 >= n_windows * {decontamination.MIN_SHARE_PERCENT}
 
 
 ORACLES["op3_template_decontamination"] = decontamination_sql()
+
+
+ORACLES["op11_phrase_collocations"] = r"""
+with p as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) piece from documents
+), w as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') ws from p
+), g as (
+  select lang, k, array_to_string(ws[i:i + k - 1], ' ') phrase
+  from (select lang, ws, unnest(range(1, len(ws) + 1)) i from w), (select unnest(range(1, 5)) k)
+  where i + k - 1 <= len(ws)
+), f as (
+  select lang, k, phrase, count(*) f from g group by all
+), n as (
+  select lang, sum(f)::bigint n from f where k = 1 group by lang
+), c as (
+  select lang, k, phrase, f a, string_split(phrase, ' ') ws from f where k > 1 and f >= 30
+), cut as (
+  select c.lang, c.phrase, a, x.f l, y.f r, (2000000::hugeint * a) // (x.f + y.f) score, j
+  from (select *, unnest(range(1, k)) j from c) c
+  join f x on x.lang = c.lang and x.phrase = array_to_string(ws[1:j], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(ws[j + 1:], ' ')
+  qualify row_number() over (partition by c.lang, c.phrase order by score, j) = 1
+), part as (
+  select distinct lang, phrase whole, a whole_a, array_to_string(ws[i:i + m - 1], ' ') phrase
+  from (select *, unnest(range(1, k + 1)) i from c), (select unnest(range(2, 4)) m)
+  where m < k and i + m - 1 <= k
+), best as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from cut
+  where not exists (select 1 from part where part.lang = cut.lang and part.phrase = cut.phrase
+    and 100::hugeint * whole_a >= 80::hugeint * cut.a)
+)
+select lang, rank::bigint rank, phrase, a::bigint a, l::bigint l, r::bigint r, n, score::bigint score
+from best join n using (lang) where rank <= 2000
+"""
+
+ORACLES["op13_minhash_near_dup"] = rf"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE}'),
+    lambda x: x <> '') ws from documents
+), d as (
+  select doc_id, list_sort(case when len(ws) = 0 then []::varchar[]
+    when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end) s
+  from w
+), c as (
+  select min(doc_id) node, s, len(s) n from d where len(s) > 0 group by s
+), x as (
+  select node, n, unnest(s) shingle from c
+), e as (
+  select a.node a, b.node b from x a join x b on a.shingle = b.shingle and a.node <> b.node
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach as (
+  select node, node root from c union select e.b, reach.root from reach join e on e.a = reach.node
+), least_root as (
+  select node, min(root) root from reach group by node
+)
+select doc_id, len(s)::bigint n_shingles, coalesce(root, doc_id) component_id,
+  coalesce(root, doc_id) = doc_id kept
+from d left join c using (s) left join least_root using (node)
+"""

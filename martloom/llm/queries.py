@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     alignment,
     arrow_sequences,
+    collocations,
     decontamination,
     language,
     licences,
@@ -130,6 +131,11 @@ def op7_byte_network_language(spark, sf_dir):
     return language.identify(docs).withColumn("held_out", language.held_out())
 
 
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 @query
 def op12_token_alignment(spark, sf_dir):
     byte_path = public_tokenizers.path("byte_bpe_50k.json")
