@@ -10,10 +10,14 @@ from martloom.plans.pipeline import BATCH_MODE, INCREMENTAL_MODE, run_job
 from martloom.plans.reports import Reports
 from martloom.session import get_session
 
+_NO_REPORTS = {
+    "table", "published_run", "register_views", "compact", "is_upserted", "mart_folder",
+    "cleaned_folder", "folded",
+}
 _REPORTS = sorted(
     n
     for n, f in inspect.getmembers(Reports, inspect.isfunction)
-    if not n.startswith("_") and n not in ("table", "published_run", "register_views", "compact")
+    if not n.startswith("_") and n not in _NO_REPORTS
 )
 
 
@@ -26,7 +30,7 @@ def main() -> None:
     run.add_argument("--mode", choices=(BATCH_MODE, INCREMENTAL_MODE), default=BATCH_MODE)
     run.add_argument("--keep", choices=("latest", "earliest"), default="latest")
     run.add_argument("--reject-malformed", action="store_true", help="reject broken CSV rows")
-    run.add_argument("--catalog", metavar="SCHEMA", help="also publish the layers as tables")
+    run.add_argument("--catalog", metavar="SCHEMA", help="also publish the layers as views")
     compact = commands.add_parser("compact", help="fold the batches of upserted tables")
     compact.add_argument("--storage", required=True)
     report = commands.add_parser("report", help="show a report of the newest run")

@@ -15,7 +15,8 @@ from martloom.sources import paths
 from martloom.sources.registry import TableSpec
 
 STATUS = "_dq_status"
-REASON = "_reject_reason"
+# The reasons as an array, and as a text for readers without arrays.
+REASONS, REASON = "_reject_reasons", "_reject_reason"
 HAS_NULL = "_has_null"
 
 # Status names, the separator inside a reason text, the duplicate reason.
@@ -32,6 +33,10 @@ METRICS = (
 )
 
 
+def reason_text(reasons: Column) -> Column:
+    return F.array_join(reasons, SEPARATOR)
+
+
 def label(
     df: DataFrame,
     spec: TableSpec,
@@ -47,15 +52,17 @@ def label(
     order = order or survivor_order(df.columns, keep=keep)
     marked = mark_duplicates(df, spec.key, order)
     typed = apply_casts(marked, spec.casts)
-    broken = {DUPLICATE_REASON: F.col(DUPLICATE)}
-    broken |= {reason: F.expr(predicate) for reason, predicate in spec.rules}
-    # Plain predicates rather than a look at the reason text: a reader of valid rows then
-    # needs no text, and the optimizer sees the filter on the rank.
-    is_broken = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in broken.values()])
+    # A row's copies count before its rules; an unknown verdict of a rule breaks nothing.
+    verdicts = [(DUPLICATE_REASON, F.col(DUPLICATE)), *((n, F.expr(rule)) for n, rule in spec.rules)]
+    named = F.array_compact(F.array(*[F.when(fails, F.lit(n)) for n, fails in verdicts]))
+    # The status looks at the rules themselves, not at the names: a reader of valid rows then needs
+    # no array, and the optimizer sees the filter on the rank.
+    passes = reduce(Column.__and__, [~F.coalesce(fails, F.lit(False)) for _, fails in verdicts])
     labelled = typed.select(
         "*",
-        F.when(is_broken, F.lit(REJECTED)).otherwise(F.lit(VALID)).alias(STATUS),
-        F.concat_ws(SEPARATOR, *[F.when(c, F.lit(r)) for r, c in broken.items()]).alias(REASON),
+        F.when(passes, F.lit(VALID)).otherwise(F.lit(REJECTED)).alias(STATUS),
+        named.alias(REASONS),
+        reason_text(named).alias(REASON),
         any_null(spec.null_columns or spec.key).alias(HAS_NULL),
     )
     # Valid rows need no original text.
@@ -66,7 +73,7 @@ def label(
 
 def _helpers(labelled: DataFrame) -> list[str]:
     casts = [c for c in labelled.columns if f"{c}_raw" in labelled.columns]
-    return [DUPLICATE, HAS_NULL, STATUS, REASON, *(f"{c}_raw" for c in casts)]
+    return [DUPLICATE, HAS_NULL, STATUS, REASONS, REASON, *(f"{c}_raw" for c in casts)]
 
 
 def valid_rows(labelled: DataFrame) -> DataFrame:

@@ -4,25 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions import any_null
-from martloom.operators.label import REASON, SEPARATOR
+from martloom.operators.label import REASON, REASONS, SEPARATOR
 from martloom.operators.topn import top_n
 
 
 def reason_counts(rejected: DataFrame) -> DataFrame:
     """Rows per single reason; a row with two reasons counts for both."""
-    # Combined texts are few, so count them first and explode only the counts.
-    return (
-        reason_combinations(rejected)
-        .select(F.explode(F.split(REASON, SEPARATOR)).alias("reason"), "rows")
-        .where(F.col("reason") != "")
-        .groupBy("reason")
-        .agg(F.sum("rows").alias("rows"))
-    )
+    # Combinations are few, so count them first and explode only the counts.
+    combined = rejected.groupBy(_reasons(rejected).alias("reasons")).agg(F.count("*").alias("rows"))
+    single = combined.select(F.explode("reasons").alias("reason"), "rows")
+    return single.groupBy("reason").agg(F.sum("rows").alias("rows"))
+
+
+def _reasons(rejected: DataFrame) -> Column:
+    """The array of reasons; rows that were written without one have it in their text."""
+    if REASONS in rejected.columns:
+        return F.col(REASONS)
+    return F.array_remove(F.split(REASON, SEPARATOR), "")
 
 
 def reason_combinations(rejected: DataFrame) -> DataFrame:

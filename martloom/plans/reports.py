@@ -118,6 +118,21 @@ class Reports:
         for name in UPSERTED:
             self._upserted(name).compact(only=batches)
 
+    def is_upserted(self, table: str) -> bool:
+        """Whether the published run keeps a cleaned table by upsert."""
+        return self._is_upserted(table, self._published())
+
+    def mart_folder(self, name: str) -> str:
+        return paths.join(self._folder(self._published(), MART_STAGE), name)
+
+    def cleaned_folder(self, table: str) -> str:
+        return paths.join(self._folder(self._published(), CLEAN_STAGE), table)
+
+    def folded(self, table: str) -> tuple[str, str, str]:
+        """Folders of an upserted table's rows with a key, without one, and of its rejects; its
+        batches up to the published run are folded if they are not."""
+        return self._upserted(table).folded(self._batches(self._published()))
+
     def reject_total(self, table: str) -> DataFrame:
         """How many rows of a table are rejected now."""
         return self.rejected(table).agg(F.count("*").alias("rejected"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators.topn import top_n
 from martloom.sources import paths
-from martloom.sources.appended import JSON_TIMES, append_rows, read_rows
+from martloom.sources.appended import append_frame, append_rows, read_rows
 
 RUNS_DDL = (
     "execution_id string, start_time timestamp, end_time timestamp, mode string,"
@@ -47,7 +47,7 @@ class RunLog:
             for c, n in (("error", ERROR_CHARS), ("trace", TRACE_CHARS))
             if c in runs.columns
         }
-        runs.withColumns(cut).write.mode("append").options(**JSON_TIMES).json(self._runs)
+        append_frame(runs.withColumns(cut), self._runs)
 
     def add_stages(self, stages: list[dict]) -> None:
         if stages:
@@ -82,11 +82,11 @@ class RunLog:
         rows = read_rows(self.spark, self._quality, QUALITY_DDL)
         return rows.join(self.published().select("execution_id"), "execution_id", "left_semi")
 
-    def landed(self, table: str) -> set[str]:
-        """Stamps of the files that successful runs have applied to a table."""
+    def landed(self, table: str) -> DataFrame:
+        """stamp of the files that successful runs have applied to a table."""
         rows = read_rows(self.spark, self._files, FILES_DDL).where(F.col("table_name") == table)
         done = rows.join(self.published().select("execution_id"), "execution_id", "left_semi")
-        return {r["file"] for r in done.select("file").collect()}
+        return done.select(F.col("file").alias("stamp"))
 
 
 def _append(spark: SparkSession, path: str, rows: list[dict], ddl: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_table(
@@ -23,6 +23,13 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def replace_view(spark: SparkSession, name: str, query: str, comment: str = "") -> None:
+    """Create or replace a stored view by one statement; a table of that name gives way first."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} COMMENT '{comment}' AS {query}")
+
+
 def append_table(df: DataFrame, name: str) -> None:
     """Append, creating the table on first use."""
     df.write.mode("append").format("parquet").saveAsTable(name)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -31,36 +32,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def data_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching the pattern, and those in folders matching it; hidden ones left out."""
-    fs, hadoop_path = _hadoop(spark, pattern)
-    found, open_ = [], list(fs.globStatus(hadoop_path) or [])
-    while open_:
-        status = open_.pop()
-        if status.getPath().getName()[:1] in "._":
-            continue
-        if status.isDirectory():
-            open_ += list(fs.listStatus(status.getPath()))
-        else:
-            found.append(status.getPath().toString())
-    return sorted(found)
-
-
-def stamp(spark: SparkSession, path: str) -> str:
-    """Path, time and length of a file: differs once the file was replaced."""
-    fs, hadoop_path = _hadoop(spark, path)
-    status = fs.getFileStatus(hadoop_path)
-    return f"{path} {status.getModificationTime()} {status.getLen()}"
+def inventory(spark: SparkSession, pattern: str) -> DataFrame:
+    """path and stamp of the files matching the pattern, and of those in folders matching it.
 
+    The stamp (path, time and length) differs once a file was replaced. Spark lists many folders in
+    parallel and reads no content; hidden files and those of no bytes are left out. Nothing matching
+    gives no rows.
+    """
+    if not glob(spark, pattern):
+        return spark.createDataFrame([], "path string, stamp string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    stamp = F.concat_ws(
+        " ", "path", F.unix_millis("modificationTime").cast("string"), F.col("length").cast("string")
+    )
+    return files.select("path", stamp.alias("stamp"))
 
-def first_line(spark: SparkSession, path: str) -> str:
-    fs, hadoop_path = _hadoop(spark, path)
-    java = spark._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
-    try:
-        return (reader.readLine() or "").removeprefix("\ufeff")
-    finally:
-        reader.close()
+
+def data_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the inventory."""
+    return sorted(r["path"] for r in inventory(spark, pattern).select("path").collect())
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,18 +43,38 @@ def require_sources(spark: SparkSession, raw_dir: str, specs: Iterable[TableSpec
         raise FileNotFoundError(f"no files in {raw_dir} for: {', '.join(missing)}")
 
 
-def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names in their first line; one short read per file, side by side."""
+def first_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """file, line: the first line of each file that has one, compressed or not.
+
+    One scan of the files' first splits as text, in tasks; nothing is opened from the driver.
+    """
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value"),
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    return first.select("file", F.regexp_replace("line", "^\ufeff", "").alias("line"))
 
-    def header(file: str) -> tuple[str, ...]:
-        line = paths.first_line(spark, file)
-        return tuple(next(csv.reader([line]), ())) if line else ()
 
+def _one_slash(path: str) -> str:
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
+def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first line; a file without lines has none."""
+    known = {_one_slash(f): f for f in files}
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        for file, names in zip(files, pool.map(header, files), strict=True):
-            groups.setdefault(names, []).append(file)
-    return groups
+    for row in first_lines(spark, files).collect() if files else []:
+        # Spark writes some characters of the paths in its metadata as %xx.
+        found = _one_slash(row["file"])
+        file = known.pop(found, None) or known.pop(unquote(found))
+        names = tuple(next(csv.reader([row["line"]]), ())) if row["line"] else ()
+        groups.setdefault(names, []).append(file)
+    if known:
+        groups.setdefault((), []).extend(known.values())
+    return {names: sorted(located) for names, located in groups.items()}
 
 
 def read_raw(
@@ -67,12 +89,14 @@ def read_raw(
 
     Every file is read by the names in its own header, so the order of columns may differ
     between files; a column that a file lacks is NULL there, except for the columns the spec
-    declares, whose absence is an error that names the file. With ``keep_malformed`` short, long
+    declares, whose absence is an error that names the file. Files of no bytes are passed over. With ``keep_malformed`` short, long
     or broken rows carry their text in ``_corrupt_record``. A file of a ``multi_line`` source is
     read by one task, so store such a source as many files of some hundred megabytes at most.
     """
     known = paths.data_files(spark, paths.join(raw_dir, spec.files))
     groups = read_headers(spark, known if files is None else files or known[:1])
+    if not groups:
+        raise ValueError(f"no file of {spec.files} in {raw_dir} has a header")
     for names, located in groups.items():
         if absent := [c for c in spec.columns if c not in names]:
             raise ValueError(f"{located[0]}: the header lacks {', '.join(absent)}")

@@ -14,6 +14,7 @@ from martloom.operators.label import (
     DUPLICATE,
     METRICS,
     REASON,
+    REASONS,
     STATUS,
     label,
     rejected_rows,
@@ -67,6 +68,7 @@ def cleaned(spark, sf_dir, name, **how) -> DataFrame:
 
 
 def rejected(spark, sf_dir, name, **how) -> DataFrame:
+    """Rejects with their reasons as an array and as a text."""
     return rejected_rows(labelled(spark, sf_dir, name, **how))
 
 
@@ -190,7 +192,7 @@ def cast_int_safe(spark, sf_dir):
 
 def _register_cleaned(name: str) -> None:
     QUERIES[f"silver_{name}"] = lambda spark, sf_dir: cleaned(spark, sf_dir, name)
-    QUERIES[f"rejected_{name}"] = lambda spark, sf_dir: rejected(spark, sf_dir, name)
+    QUERIES[f"rejected_{name}"] = lambda spark, sf_dir: rejected(spark, sf_dir, name).drop(REASONS)
 
 
 for _name in CLEANED:
@@ -249,7 +251,7 @@ def reject_reason_combos(spark, sf_dir):
 
 @query
 def rejected_sample(spark, sf_dir):
-    rows = rejected(spark, sf_dir, "orders")
+    rows = rejected(spark, sf_dir, "orders").drop(REASONS)
     return rejects.rejected_sample(rows, ["order_id", "src_key", "load_no"], 20)
 
 
@@ -453,7 +455,7 @@ def stream_upsert_orders(spark, sf_dir):
 def rejects_latest(spark, sf_dir):
     folder = paths.shared_folder(spark)
     for n, keep in enumerate(("earliest", "latest")):
-        batch = rejected(spark, sf_dir, "order_items", keep=keep)
+        batch = rejected(spark, sf_dir, "order_items", keep=keep).drop(REASONS)
         batch.write.parquet(f"{folder}/{BATCH}={n}")
     return rejects.latest_rejects(spark.read.parquet(folder), CLEANED["order_items"].key)
 

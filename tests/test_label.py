@@ -288,3 +288,19 @@ def test_unknown_tables_are_refused():
         cleaned_spec("nope")
     with pytest.raises(ValueError, match="unknown table"):
         cleaned_spec("category_translation")
+
+
+def test_reasons_as_an_array_and_as_a_text(spark):
+    spec = TableSpec(name="t", files="", key=("k",), rules=(("neg", "v < 0"), ("odd", "v % 2 <> 0")))
+    df = spark.createDataFrame([("a", -3), ("a", -3), ("b", 2), ("c", None), ("d", 5)], "k string, v int")
+    out = label(df, spec).collect()
+    held = sorted((r["k"], r["_reject_reasons"], r[REASON]) for r in out)
+    assert held == [
+        ("a", ["duplicate_key", "neg", "odd"], "duplicate_key; neg; odd"),
+        ("a", ["neg", "odd"], "neg; odd"),
+        ("b", [], ""),
+        ("c", [], ""),
+        ("d", ["odd"], "odd"),
+    ]
+    assert "_reject_reasons" in rejected_rows(label(df, spec)).columns
+    assert "_reject_reasons" not in valid_rows(label(df, spec)).columns

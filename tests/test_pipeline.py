@@ -4,7 +4,8 @@ from martloom.plans import pipeline
 from martloom.plans.catalog_layers import publish
 from martloom.plans.pipeline import layer_dir, run_job
 from martloom.plans.reports import NothingPublished, Reports
-from martloom.plans.runlog import run_history
+from martloom.plans.runlog import RunLog, run_history
+from martloom.sources import appended
 from martloom.sources.registry import SOURCES
 
 FILES = {
@@ -260,3 +261,47 @@ def test_sql_users_get_views(finished, spark):
 def test_layers_lie_in_the_run_folder(finished):
     run, reports = finished
     assert layer_dir("s", "id", "gold") == "s/runs/id/gold"
+
+
+def test_publishing_moves_pointers_and_writes_no_data(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS martloom_pointers CASCADE")
+    spark.sql(f"CREATE DATABASE martloom_pointers LOCATION '{tmp_path / 'db'}'")
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    spark.range(1).write.saveAsTable("martloom_pointers.gold_kpis")
+    changed = {**FILES, "orders": FILES["orders"].replace("2021-04-20 23:59:59", "bad")}
+    for n in (4, 3):
+        if n == 3:
+            raw = write_files(tmp_path / "changed", changed)
+        run_job(spark, raw, storage)
+        files = sorted(p for p in (tmp_path / "storage").rglob("*") if p.is_file())
+        publish(spark, storage, "martloom_pointers")
+        assert files == sorted(p for p in (tmp_path / "storage").rglob("*") if p.is_file())
+        assert not list((tmp_path / "db").rglob("*.parquet"))
+        assert spark.table("martloom_pointers.silver_orders").count() == n
+        assert spark.table("martloom_pointers.silver_orders").columns == Reports(spark, storage).cleaned("orders").columns
+    assert spark.table("martloom_pointers.rejected_orders").count() == 4
+    spark.sql("DROP DATABASE martloom_pointers CASCADE")
+
+
+def test_publishing_an_upserted_table_points_at_its_base(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS martloom_base CASCADE")
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    for _ in range(2):
+        run_job(spark, raw, storage, mode="incremental")
+        publish(spark, storage, "martloom_base")
+        reports = Reports(spark, storage)
+        for view, frame in (("silver_orders", reports.cleaned("orders")), ("rejected_orders", reports.rejected("orders"))):
+            published = spark.table(f"martloom_base.{view}")
+            assert published.columns == frame.columns
+            assert sorted(map(repr, published.collect())) == sorted(map(repr, frame.collect()))
+    spark.sql("DROP DATABASE martloom_base CASCADE")
+
+
+def test_logs_of_many_runs_stay_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(appended, "FOLD_FILES", 6)
+    log = RunLog(spark, str(tmp_path))
+    for n in range(30):
+        log.add_run(execution_id=f"r{n}", status="SUCCESS" if n % 2 else "FAILED", input_records=n)
+    assert log.runs().count() == 30 and log.published().count() == 15
+    assert len(log.runs().inputFiles()) <= appended.FOLD_FILES + 1
+    assert log.runs().agg({"input_records": "sum"}).first()[0] == sum(range(30))

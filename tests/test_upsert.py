@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martloom.operators.label import label
+from martloom.operators.rejects import latest_rejects
 from martloom.operators.upsert import AmbiguousSource, upsert
 from martloom.sources.batched_table import BatchedTable
 from martloom.sources.registry import TableSpec
@@ -129,3 +130,59 @@ def test_batches_equal_a_dict(spark, tmp_path_factory, batches):
         expected |= batch
     current = table.read()
     assert ({} if current is None else {r["k"]: r["v"] for r in current.collect()}) == expected
+
+
+def test_a_folded_base_is_not_shuffled(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"])
+    table.add(labelled(spark, [(f"k{i}", i) for i in range(500)] + [(None, 7)]), 0)
+    assert table.compact(buckets=4) == 0
+    table.add(labelled(spark, [(f"k{i}", 1000) for i in range(0, 600, 3)] + [(None, 8)]), 1)
+    table.add(labelled(spark, [("k0", 2000)]), 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        current = table.read()
+        plan = current._jdf.queryExecution().executedPlan().toString()
+        # Nothing but a filter lies between the join and the scan of the base.
+        lines = plan.splitlines()
+        base = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        join = max(i for i, line in enumerate(lines[:base]) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line for line in lines[join:base])
+        assert "SelectedBucketsCount: 4 out of 4" in plan and "SortAggregate" not in plan
+        got = dict((r["k"], r["v"]) for r in current.where("k is not null").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    expected = {f"k{i}": i for i in range(500)} | {f"k{i}": 1000 for i in range(0, 600, 3)} | {"k0": 2000}
+    assert got == expected
+    assert rows(table.read().where("k is null")) == [(None, 7), (None, 8)]
+    # Folding again, from base and batches, and reading it where the catalog has lost the table.
+    assert table.compact(buckets=3) == 2
+    spark.sql(f"DROP TABLE {table._table_name(2)}")
+    assert {r["k"]: r["v"] for r in table.read().where("k is not null").collect()} == expected
+    assert table.base_table(2).inputFiles() and len(table.base_table(2).inputFiles()) == 3
+
+
+def test_folding_keeps_the_newest_rejects(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"])
+    table.add(labelled(spark, [("a", -1), ("b", -2), (None, -3), ("c", 1)]), 0)
+    table.add(labelled(spark, [("a", -4), (None, -5)]), 1)
+    newest = rows(latest_rejects(table.rejects(), ["k"]), "k", "v", "_batch_id")
+    assert newest == [("a", -4, 1), ("b", -2, 0), (None, -3, 0), (None, -5, 1)]
+    table.compact()
+    assert rows(table.rejects(), "k", "v", "_batch_id") == newest
+    assert not any("batches" in f for f in table.rejects().inputFiles())
+    table.add(labelled(spark, [("b", -9), ("a", 5)]), 2)
+    later = rows(latest_rejects(table.rejects(), ["k"]), "k", "v", "_batch_id")
+    assert later == [("a", -4, 1), ("b", -9, 2), (None, -3, 0), (None, -5, 1)]
+    assert rows(table.read()) == [("a", 5), ("c", 1)]
+
+
+def test_null_safe_keys_are_folded_too(spark, tmp_path, rows):
+    table = BatchedTable(spark, str(tmp_path / "t"), ["k"], null_safe=True)
+    spec = TableSpec(name="t", files="", key=("k",), rules=(("neg", "v < 0"),))
+    add = lambda n, data: table.add(label(frame(spark, data), spec), n)
+    add(0, [("a", 1), (None, 2)])
+    table.compact()
+    add(1, [(None, 3)])
+    assert rows(table.read()) == [("a", 1), (None, 3)]
