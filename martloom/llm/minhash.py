@@ -10,13 +10,15 @@ runs by chance are rare, and a pair at the threshold of 0.85 misses all 64 bucke
 Within a bucket the candidates form a star: its smallest member with each other one. All candidate
 pairs are confirmed on the full sets. A bucket whose members the links have not joined is looked at
 again with other centres, more in each round, until every pair of members is either in one group or
-was compared; so stars lose no link. Equal sets are one node throughout, whatever their number.
+was compared; so stars lose no link. In these rounds a pair is compared by a sketch first, one bit of
+each of 256 bins: overlapping sets differ in few of them, and a pair at the threshold is taken for
+farther apart once in 10^9. Equal sets are one node throughout, whatever their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,9 @@ PERCENT = 85
 BINS, BANDS = 512, 64
 # Centres of a bucket in the first round after the star, and how many times more in each further one.
 CENTRES, MORE = 16, 4
+# Longs of a sketch, and the standard deviations (7.8) that a pair at the threshold may differ beyond
+# the expected number of bits.
+SKETCH, BEYOND = 4, 7.8
 # Sets with fewer filled bins find all lenders at once; those with more try one after the other.
 _FEW = 32
 # Nodes whose buckets a task has passed on and does not repeat.
@@ -78,9 +83,22 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return values
 
 
-def bucket_keys(hashes: np.ndarray, bins: int = BINS, bands: int = BANDS) -> np.ndarray:
-    """One key for each band of the signature."""
-    rows = signature(hashes, bins).reshape(bands, -1)
+def sketch(values: np.ndarray) -> np.ndarray:
+    """One bit of each of the first bins of a signature."""
+    some = values[: 64 * SKETCH]
+    bits = mixed(some + np.arange(len(some), dtype=np.uint64)) >> np.uint64(63)
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def sketch_limit(percent: int) -> int:
+    """Bits in which the sketches of sets that overlap by ``percent`` may differ."""
+    n, p = 64 * SKETCH, (1 - percent / 100) / 2
+    return int(n * p + BEYOND * (n * p * (1 - p)) ** 0.5)
+
+
+def bucket_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """One key for each band of a signature."""
+    rows = values.reshape(bands, -1)
     total = np.arange(bands, dtype=np.uint64)
     for k in range(rows.shape[1]):
         total = mixed(total ^ rows[:, k])
@@ -99,33 +117,37 @@ def can_link(n: Column | int, percent: int) -> Column | bool:
 
 
 def shingled(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_hash, node (name of the set; null without words), n and keys of every row.
+    """doc_id, text_hash, node (name of the set; null without words), n, keys and bits of every row.
 
-    keys is null for sets that cannot link, and for sets that the same task has passed on before.
+    keys and bits (the sketch) are null for sets that cannot link, and for sets that the same task has
+    passed on before.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = WordHashes(), set()
         for batch in sliced(batches):
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingle_set(text, words, shingle)
                 node = set_hash(hashes) if len(hashes) else None
                 nodes.append(node)
                 sizes.append(len(hashes))
                 fresh = node is not None and node not in seen and can_link(len(hashes), percent)
-                keys.append(bucket_keys(hashes).view(np.int64) if fresh else None)
+                values = signature(hashes) if fresh else None
+                keys.append(bucket_keys(values).view(np.int64) if fresh else None)
+                bits.append(sketch(values) if fresh else None)
                 if fresh:
                     seen = seen if len(seen) < _SEEN else set()
                     seen.add(node)
             columns = [
                 batch.column(0), batch.column(2), pa.array(nodes, pa.int64()),
-                pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                pa.array(sizes, pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in (keys, bits)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "keys", "bits"])
 
     rows = docs.select(docs["doc_id"].cast("long"), docs["text"], F.xxhash64(docs["text"]))
-    return rows.mapInArrow(of, "doc_id long, text_hash long, node long, n long, keys array<long>")
+    schema = "doc_id long, text_hash long, node long, n long, keys array<long>, bits array<long>"
+    return rows.mapInArrow(of, schema)
 
 
 # --- candidates ------------------------------------------------------------------------
@@ -270,6 +292,9 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int
     star = members.where(alike("n", "centre_n", percent))
     found = stored(confirmed(stored(ordered_pairs(star, "node", "centre")), sets, percent))
     members, centres = members.select("key", "node", "n").distinct(), CENTRES
+    bits = [F.col("bits")[k].alias(f"bits{k}") for k in range(SKETCH)]
+    sketches = rows.where("keys is not null").select("node", *bits).dropDuplicates(["node"])
+    sketches = stored(sketches.join(sets.select("node"), "node", "left_semi"))
     while True:
         grouped = stored(components(found))
         named = members.join(grouped, "node", "left").select(
@@ -293,12 +318,18 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int
         share = F.ceil(F.col("others") / centres)
         chosen = F.pmod(F.xxhash64("node", F.lit(centres)), share) == 0
         spent = stored(left.where((F.col("root") != F.col("main")) & chosen))
-        centre = spent.select(
-            "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of")
+        centre = spent.join(sketches, "node").select(
+            "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of"),
+            *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
+        )
+        apart = reduce(
+            lambda x, y: x + y,
+            [F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"centre_bits{k}"))) for k in range(SKETCH)],
         )
-        met = left.join(small_side(centre), "key").where(
+        met = left.join(sketches, "node").join(small_side(stored(centre)), "key").where(
             (F.col("root") != F.col("of")) & alike("n", "centre_n", percent)
-        )
+            & (apart <= sketch_limit(percent))
+        )
         pairs = stored(ordered_pairs(met, "node", "centre"))
         found = stored(found.unionByName(confirmed(pairs, sets, percent)))
         gone = spent.select("key", "node")

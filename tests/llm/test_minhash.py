@@ -103,6 +103,23 @@ def test_bins_agree_as_often_as_sets_overlap():
         assert abs(np.mean(share)) < 0.03
 
 
+def test_sketches_of_overlapping_sets_differ_in_few_bits():
+    words, rng = WordHashes(), random.Random(9)
+    limit, most, far = minhash.sketch_limit(85), 0, 0
+    assert 45 < limit < 60
+    for n in (6, 13, 100, 1500):
+        for _ in range(60):
+            base = [f"{rng.random()}" for _ in range(n + 4)]
+            a = minhash.shingle_set(" ".join(base), words)
+            cut = a[rng.sample(range(len(a)), int(np.ceil(0.85 * len(a))))]
+            sides = [minhash.sketch(minhash.signature(np.sort(x))).view(np.uint64) for x in (a, cut)]
+            most = max(most, int(np.bitwise_count(sides[0] ^ sides[1]).sum()))
+            other = minhash.shingle_set(" ".join(f"{rng.random()}" for _ in range(n + 4)), words)
+            bits = minhash.sketch(minhash.signature(other)).view(np.uint64)
+            far += int(np.bitwise_count(sides[0] ^ bits).sum()) > limit
+    assert most <= limit and far == 240
+
+
 def test_lenders_are_the_same_one_by_one_and_at_once():
     rng = np.random.default_rng(1)
     for n in (5, 31, 32, 33, 200):
