@@ -285,8 +285,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(of, "a long, b long")
 
 
-def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Confirmed pairs (a, b) of nodes, enough to connect all that link; ``rows`` is ``shingled``."""
+def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(node, root) of the nodes that link with others; ``rows`` is ``shingled``."""
     members = stored(shared_buckets(rows.where("keys is not null")))
     sets = stored(full_sets(docs, rows, members.select("node").distinct(), shingle))
     star = members.where(alike("n", "centre_n", percent))
@@ -295,8 +295,8 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int
     bits = [F.col("bits")[k].alias(f"bits{k}") for k in range(SKETCH)]
     sketches = rows.where("keys is not null").select("node", *bits).dropDuplicates(["node"])
     sketches = stored(sketches.join(sets.select("node"), "node", "left_semi"))
+    grouped = stored(components(found))
     while True:
-        grouped = stored(components(found))
         named = members.join(grouped, "node", "left").select(
             "key", "node", "n", F.coalesce("root", "node").alias("root")
         )
@@ -311,7 +311,7 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int
             )
         )
         if open_keys.isEmpty():
-            return found
+            return grouped
         # Members outside of the largest group, all or some of them, are compared with all others of
         # their bucket and leave it.
         left = stored(named.join(small_side(open_keys), "key"))
@@ -331,7 +331,10 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int
             & (apart <= sketch_limit(percent))
         )
         pairs = stored(ordered_pairs(met, "node", "centre"))
-        found = stored(found.unionByName(confirmed(pairs, sets, percent)))
+        new = stored(confirmed(pairs, sets, percent))
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            grouped = stored(components(found))
         gone = spent.select("key", "node")
         members = stored(left.join(gone, ["key", "node"], "left_anti").select("key", "node", "n"))
         centres *= MORE
@@ -351,7 +354,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         rows.where("node is not null").groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     )
-    rooted = components(links(docs, rows, shingle, percent))
+    rooted = linked(docs, rows, shingle, percent)
     member = stored(
         nodes.join(rooted, "node", "left").select(
             "node", "first_id", "n", F.coalesce("root", "node").alias("root")
