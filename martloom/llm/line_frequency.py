@@ -13,20 +13,35 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import BROADCAST_ROWS, framed, stored, unframed, whole_text
+from martloom.llm.common import (
+    BROADCAST_ROWS,
+    HOT_PARTS,
+    HOT_ROWS,
+    framed,
+    many_to_one,
+    stored,
+    unframed,
+    whole_text,
+)
 
 SPACE = r"[\x20\x09-\x0D]+"
-SALTS = 64
+# Lines of so few words repeat by chance, and need more texts to count as boilerplate by number alone.
+SHORT_WORDS = 3
+# Hashes of lost lines that are broadcast at most: 8 MB.
+LOST_BROADCAST = 1_000_000
 
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is frequent on a host if at least ``line_docs`` texts and more than ``line_percent``
-    percent of the host's texts have it. A document is depleted if fewer than ``min_words`` words
+    """A line is frequent on a host if ``many_docs`` of its texts have it (``many_docs_short`` for
+    lines of one to three words), however large the host; or if at least ``line_docs`` texts and
+    more than ``line_percent`` percent of the host's texts have it. A document is depleted if fewer than ``min_words`` words
     or less than ``min_left_percent`` percent of its words are left."""
 
     line_docs: int = 10
     line_percent: int = 5
+    many_docs: int = 50
+    many_docs_short: int = 500
     min_words: int = 50
     min_left_percent: int = 50
     max_repeat_percent: int = 50
@@ -110,39 +125,87 @@ def with_counts(docs: DataFrame) -> DataFrame:
     ).drop("_places", "_words")
 
 
-def frequent_lines(docs: DataFrame, limits: Limits) -> DataFrame:
-    """(host, lines): hashes of the host's frequent lines and the text that may keep each.
+def host_lines(docs: DataFrame) -> DataFrame:
+    """One row per line of each different text of a host: host, line (hash), text_hash, short, doc_id.
 
-    Columns read: host, doc_id, text_hash, _text. Lines are first made unique within the texts of
-    a host, then counted with partial sums, so neither a large host nor a common line meets in one
-    task. A host has at most (lines of all its texts) / line_docs frequent lines.
+    Columns read: host, doc_id, text_hash, _text. Copies of a text collapse before the shuffle; a
+    line is short if it has at most SHORT_WORDS words.
     """
-    hashes = F.array_distinct(
-        F.transform(
-            F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
-            lambda line: F.xxhash64(normal_line(line)),
-        )
+    full = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.transform(
+        F.transform(full, normal_line),
+        lambda norm: F.struct(
+            F.xxhash64(norm).alias("line"),
+            (F.length(norm) - F.length(F.replace(norm, F.lit(" "))) < SHORT_WORDS).alias("short"),
+        ),
     )
-    rows = docs.select("host", "doc_id", "text_hash", F.explode(hashes).alias("line"))
-    once = rows.groupBy("host", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"))
-    lines = once.groupBy("host", "line").agg(
+    rows = docs.select("host", "doc_id", "text_hash", F.inline(lines))
+    return rows.groupBy("host", "line", "text_hash").agg(
+        F.first("short").alias("short"), F.min("doc_id").alias("doc_id")
+    )
+
+
+def frequent_lines(docs: DataFrame, lines: DataFrame, limits: Limits) -> DataFrame:
+    """host, line, n (texts that have it), first (the text that may keep it) of frequent lines.
+
+    ``lines`` are those of ``host_lines``. They are counted with partial sums, so neither a large
+    host nor a common line meets in one task.
+    """
+    counted = lines.groupBy("host", "line").agg(
         F.count("*").alias("n"),
+        F.first("short").alias("short"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))["text_hash"].alias("first"),
     )
     texts = docs.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    often = lines.where(F.col("n") >= limits.line_docs).join(texts, "host")
-    often = often.where(F.col("n") * 100 > F.col("texts") * limits.line_percent)
-    return often.groupBy("host").agg(F.collect_list(F.struct("line", "first")).alias("frequent"))
+    many = F.when(F.col("short"), limits.many_docs_short).otherwise(limits.many_docs)
+    often = counted.where(F.col("n") >= min(limits.line_docs, limits.many_docs, limits.many_docs_short))
+    often = often.join(texts, "host").where(
+        (F.col("n") >= many)
+        | (F.col("n") >= limits.line_docs) & (F.col("n") * 100 > F.col("texts") * limits.line_percent)
+    )
+    return often.select("host", "line", "n", "first")
 
 
-def with_frequent(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Adds each row's host's frequent lines: broadcast if few, else joined with hosts salted."""
-    lines = frequent.agg(F.sum(F.size("frequent"))).first()[0] or 0
-    if lines <= BROADCAST_ROWS:
-        return docs.join(F.broadcast(frequent), "host", "left")
-    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).alias("_salt")
-    salted = frequent.select("*", F.explode(F.array(*map(F.lit, range(SALTS)))).cast("long").alias("_salt"))
-    return docs.select("*", salt).join(salted, ["host", "_salt"], "left").drop("_salt")
+def lost_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """host, text_hash, lost: the hashes of the frequent lines that each text has to give up.
+
+    A group holds the lines of one text. Lines of many texts are met by broadcast, others by shuffle.
+    """
+    size, rows = frequent.agg(F.count("*"), F.sum("n")).first()
+    if size <= BROADCAST_ROWS:
+        met = lines.join(F.broadcast(frequent), ["host", "line"])
+    else:
+        met = many_to_one(lines, frequent, ["host", "line"], rows)
+    given_up = met.where(F.col("first") != F.col("text_hash"))
+    return given_up.groupBy("host", "text_hash").agg(F.collect_list("line").alias("lost"))
+
+
+def with_lost(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """Adds ``lost`` to each row: broadcast if there are few lines, else joined by text.
+
+    Texts with many copies, at most HOT_PARTS of them, are met by broadcast in any case, and their
+    rows take no part in the join of the others: each is shuffled by a key of its own.
+    """
+    keys = ["host", "text_hash"]
+    if (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= LOST_BROADCAST:
+        return docs.join(F.broadcast(lost), keys, "left")
+    copies = stored(docs.groupBy(*keys).count())
+    rows = copies.agg(F.sum("count")).first()[0]
+    hot = copies.where(F.col("count") > max(HOT_ROWS, rows // HOT_PARTS))
+    hot = hot.join(lost, keys, "left").select(
+        *keys, F.coalesce("lost", F.array().cast("array<bigint>")).alias("_hot_lost")
+    )
+    dealt = docs.join(F.broadcast(hot), keys, "left").withColumns(
+        {
+            "_cold": F.col("_hot_lost").isNull(),
+            "_key": F.when(F.col("_hot_lost").isNull(), F.col("text_hash")).otherwise(
+                F.xxhash64("doc_id", F.monotonically_increasing_id())
+            ),
+        }
+    )
+    side = lost.select("host", F.col("text_hash").alias("_key"), "lost", F.lit(True).alias("_cold"))
+    met = dealt.join(side, ["host", "_key", "_cold"], "left")
+    return met.withColumn("lost", F.coalesce("_hot_lost", "lost")).drop("_hot_lost", "_key", "_cold")
 
 
 def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
@@ -162,14 +225,13 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
             "text_hash": F.xxhash64("in_text"),
         }
     )
-    frequent = stored(frequent_lines(rows.select("host", "doc_id", "text_hash", "_text"), limits))
-    counted = with_counts(with_frequent(rows, frequent))
+    keyed = rows.select("host", "doc_id", "text_hash", "_text")
+    lines = stored(host_lines(keyed))
+    frequent = stored(frequent_lines(keyed, lines, limits))
+    lost = stored(lost_lines(lines, frequent))
+    counted = with_counts(with_lost(rows, lost))
     # The lines this text has to give up.
-    lost = F.transform(
-        F.filter("frequent", lambda f: f["first"] != F.col("text_hash")), lambda f: f["line"]
-    )
-    lost = F.coalesce(lost, F.array().cast("array<bigint>"))
-    split = counted.withColumn("_lost", lost)
+    split = counted.withColumn("_lost", F.coalesce("lost", F.array().cast("array<bigint>")))
     left = F.when(F.size("_lost") == 0, F.col("_lines")).otherwise(
         F.filter(
             "_lines", lambda line: ~F.array_contains(F.col("_lost"), F.xxhash64(normal_line(line)))

@@ -33,7 +33,8 @@ with d as (
   select host, norm, first_t from (
     select host, norm, arg_min(t, doc_id) first_t, count(*) n from (
       select host, norm, t, min(doc_id) doc_id from l where norm <> '' group by all)
-    group by host, norm) join hosts using (host) where n >= 10 and n * 100 > 5 * texts
+    group by host, norm) join hosts using (host) 
+  where n >= case when len(string_split(norm, ' ')) <= 3 then 500 else 50 end or n >= 10 and n * 100 > 5 * texts
 ), line_words as (
   select l.rid, l.norm <> '' has_word,
     len(list_filter(regexp_split_to_array(l.line, '{SPACE}'), lambda x: x <> '')) n, l.line,

@@ -367,6 +367,31 @@ def test_frequent_lines_leave_one_text_and_deplete_others(spark):
     assert not out[200]["base_failed"] and not out[200]["kept"] and out[200]["n_words_left"] == 49
 
 
+def test_a_notice_in_many_texts_goes_however_large_the_host(spark):
+    notice = "This notice of thirteen words stands below fifty of the texts of us"
+    rows = []
+    for i in range(1200):
+        body = " ".join(f"w{i}x{k}" for k in range(60))
+        rows.append((i, body + ("\n" + notice if i < 50 else "\nnext page" if i < 110 else ""), "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["in_doc_id"]: r["n_frequent_lines"] for r in line_frequency.judge(docs).collect()}
+    # The first text keeps the notice; 60 texts of 1,200 are 5 %, not more, and two words are few.
+    assert {i for i, n in out.items() if n} == set(range(1, 50)) and max(out.values()) == 1
+
+
+@pytest.mark.parametrize("lost_most, lines_most", [(0, 100_000), (0, 0)])
+def test_lines_are_lost_alike_however_they_are_joined(spark, monkeypatch, lost_most, lines_most):
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(i, f"menu home about us\n{body(i % 40)}", "ab"[i % 2]) for i in range(80)]
+    rows += [(None, f"menu home about us\n{body(0)}", "a")] * 90 + [(900 + i, body(900), None) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted(map(repr, line_frequency.judge(docs).collect()))
+    monkeypatch.setattr(line_frequency, "LOST_BROADCAST", lost_most)
+    monkeypatch.setattr(line_frequency, "BROADCAST_ROWS", lines_most)
+    assert sorted(map(repr, line_frequency.judge(docs).collect())) == want
+    assert any("n_frequent_lines=1" in row for row in want)
+
+
 def test_language_gradients_and_held_out_accuracy(spark):
     net = language.new_network(["a", "b", "c"], 3, 1)
     rows, labels = np.random.default_rng(0).integers(0, 6, (5, 4)), np.array([0, 1, 2, 1])
