@@ -6,6 +6,10 @@ lie on one diagonal of a text and an item are then held against each other slot
 value of the item must stand for the same value of the text, in nearly all slots of the diagonal.
 Windows of mostly placeholders are joined by their very words, and a long run of windows counts
 whatever its share of the item, with equal words also where the slots disagree.
+
+A window that many templates share (a lead-in, a form of question) never finds an item: it is
+joined with the texts once, not once per item, and counts only for items of which the text holds a
+window of its own.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ MIN_SHARE_PERCENT = 30
 AGREE_PERCENT = 80
 # So many words in a row are contamination, however long the item is.
 RUN_WORDS = 15
+# A window in more different templates than this is common; it tells nothing of any of its items.
+MAX_TEMPLATES = 10
 
 # A number, a word, or the end of a sentence.
 _TOKEN = r"[0-9]+(?:[.,:][0-9]+)*|[\p{L}][\p{L}\p{M}\p{N}]*|[.!?\n]"
@@ -92,13 +98,13 @@ def is_slot(word: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per window of each item: item_id, length, n_windows, n_told, place, exact, window,
-    raw, template.
+    """One row per window of each item: item_id, form, length, n_windows, n_told, place, exact,
+    window, raw, template.
 
-    Items shorter than a window are one window of their own length. Windows in which placeholders
-    outnumber the other words say little and are exact: they are found by their raw words, numbers
-    included. n_told counts the others. Null texts have no windows; a null item_id stays, repeated
-    items count once.
+    form is the hash of the item's template. Items shorter than a window are one window of their own
+    length. Windows in which placeholders outnumber the other words say little and are exact: they
+    are found by their raw words, numbers included. n_told counts the others. Null texts have no
+    windows; a null item_id stays, repeated items count once.
     """
     rows = benchmark.select(benchmark["item_id"].cast("long"), whole_text().alias("_text")).distinct()
     tokens = stored(with_template(rows)).where(F.size("template") > 0)
@@ -120,9 +126,13 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         )
 
     places = F.sequence(F.lit(1), F.size("template") - F.col("length") + 1)
-    listed = tokens.select("item_id", "length", F.transform(places, window_of).alias("windows"))
+    listed = tokens.select(
+        "item_id", F.xxhash64("template").alias("form"), "length",
+        F.transform(places, window_of).alias("windows"),
+    )
     return listed.select(
         "item_id",
+        "form",
         "length",
         F.size("windows").alias("n_windows"),
         F.size(F.filter("windows", lambda w: ~w["exact"])).alias("n_told"),
@@ -130,14 +140,50 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Equal windows: text_hash, item_id, place (in the item), exact, diagonal. Copies count once.
+def weighed(items: DataFrame) -> DataFrame:
+    """Adds tell (the window may find its item), n_tell and n_told_tell (the item's such windows, and
+    those of them that are not exact).
+
+    A window tells its item if at most MAX_TEMPLATES templates hold it; where none of a template's
+    windows is that rare, its rarest ones tell it, so that every item can be found.
+    """
+    forms = items.select("form", "exact", "window").distinct()
+    spread = forms.groupBy("exact", "window").agg(F.count("*").alias("n_forms"))
+    rarest = forms.join(spread, ["exact", "window"]).groupBy("form").agg(F.min("n_forms").alias("rarest"))
+    told = items.join(spread, ["exact", "window"]).join(rarest, "form")
+    tell = F.col("n_forms") <= F.greatest("rarest", F.lit(MAX_TEMPLATES))
+    # One item's windows.
+    item = Window.partitionBy("item_id", "form")
+    return (
+        told.withColumn("tell", tell)
+        .withColumns(
+            {
+                "n_tell": F.sum(F.col("tell").cast("int")).over(item),
+                "n_told_tell": F.sum((F.col("tell") & ~F.col("exact")).cast("int")).over(item),
+            }
+        )
+        .drop("n_forms", "rarest")
+    )
+
 
-    ``docs`` has text_hash and _text. Only hashes and places leave a text's row; with a small
-    benchmark they are looked up where they arise, else both sides are shuffled by the hash.
+def met_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows of the texts that are also the benchmark's: text_hash, item_id, place (in the item),
+    exact, diagonal, common. Copies count once.
+
+    Common windows come once, not once per item: with the window, the place in the text as diagonal,
+    and no item. ``docs`` has text_hash and _text. Only hashes and places leave a text's row; with a
+    small benchmark they are looked up where they arise, else both sides are shuffled by the hash.
     """
     sizes = items.groupBy("length").agg(F.max("exact").alias("exact")).orderBy("length").collect()
-    keys = items.select("item_id", "length", "place", "exact", "window")
+    telling = items.where("tell").select(
+        "item_id", "length", "place", "exact", "window", F.lit(None).cast("long").alias("common")
+    )
+    common = items.where(~F.col("tell")).select("length", "exact", "window").distinct()
+    common = common.select(
+        F.lit(None).cast("long").alias("item_id"), "length", F.lit(0).alias("place"), "exact", "window",
+        F.col("window").alias("common"),
+    )
+    keys = stored(telling.unionByName(common))
     found = None
     hashed = with_template(docs).select(
         "text_hash", *[c.alias(name) for name, c in word_hashes("template", "raw").items()]
@@ -154,43 +200,72 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         rows = hashed.select("text_hash", F.inline(windows))
         side = small_side(keys.where(F.col("length") == length).drop("length"))
         met = rows.join(side, "window").select(
-            "text_hash", "item_id", "place", "exact", (F.col("_at") - F.col("place")).alias("diagonal")
-        )
+            "text_hash", "item_id", "place", "exact", (F.col("_at") - F.col("place")).alias("diagonal"),
+            "common",
+        )
         found = met if found is None else found.union(met)
     if found is None:
-        empty = "text_hash long, item_id long, place int, exact boolean, diagonal int"
+        empty = "text_hash long, item_id long, place int, exact boolean, diagonal int, common long"
         return docs.sparkSession.createDataFrame([], empty)
     return found.distinct()
 
 
+def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Equal windows: text_hash, item_id, place (in the item), exact, diagonal, tell.
+
+    Common windows only of items that have a telling one in the same text: they grow with those
+    pairs, not with all items that share the window.
+    """
+    met = stored(met_windows(docs, items))
+    columns = ["text_hash", "item_id", "place", "exact", "diagonal"]
+    telling = met.where(F.col("common").isNull()).select(*columns, F.lit(True).alias("tell"))
+    pairs = telling.select("text_hash", F.col("item_id").alias("_item")).distinct()
+    shared = items.where(~F.col("tell")).select("item_id", "place", "exact", F.col("window").alias("common"))
+    asked = pairs.join(shared, F.col("_item").eqNullSafe(F.col("item_id"))).drop("_item")
+    seen = met.where(F.col("common").isNotNull()).select("text_hash", "exact", "common", F.col("diagonal").alias("_at"))
+    common = asked.join(seen, ["text_hash", "exact", "common"]).select(
+        "text_hash", "item_id", "place", "exact", (F.col("_at") - F.col("place")).alias("diagonal"),
+        F.lit(False).alias("tell"),
+    )
+    return telling.union(common.distinct())
+
+
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """text_hash, item_id, n_found, n_windows, n_slots of every text that holds an item.
 
     An item counts as held if its windows on diagonals with consistent slots make up at least
-    MIN_SHARE_PERCENT percent of all its windows or of those that are not exact, or if RUN_WORDS
-    words follow each other on such a diagonal, or raw ones on any.
+    MIN_SHARE_PERCENT percent of all its windows or of those that are not exact, and of those among
+    them that tell it; or if RUN_WORDS words with a window that tells it follow each other on such a
+    diagonal, or raw ones on any.
     """
     texts = docs.select(F.xxhash64(docs["text"]).alias("text_hash"), whole_text().alias("_text"))
-    items = stored(item_windows(benchmark, window))
+    items = stored(weighed(stored(item_windows(benchmark, window))))
     found = stored(hits(texts, items))
-    sizes = items.select("item_id", "n_windows", "n_told").distinct()
+    sizes = items.select("item_id", "n_windows", "n_told", "n_tell", "n_told_tell").distinct()
+    told = F.when(~F.col("exact"), F.col("place"))
     places = [
         F.count_distinct("place").alias("n_found"),
-        F.count_distinct(F.when(~F.col("exact"), F.col("place"))).alias("n_told_found"),
+        F.count_distinct(told).alias("n_told_found"),
+        F.count_distinct(F.when(F.col("tell"), F.col("place"))).alias("n_tell_found"),
+        F.count_distinct(F.when(F.col("tell"), told)).alias("n_told_tell_found"),
     ]
 
     def with_sizes(counted: DataFrame) -> DataFrame:
         same = F.col("item_id").eqNullSafe(F.col("_item"))
         return counted.join(sizes.withColumnRenamed("item_id", "_item"), same).drop("_item")
 
-    enough = (F.col("n_found") * 100 >= F.col("n_windows") * MIN_SHARE_PERCENT) | (
-        (F.col("n_told") > 0) & (F.col("n_told_found") * 100 >= F.col("n_told") * MIN_SHARE_PERCENT)
+    def share(found: str, of: str) -> Column:
+        return (F.col(of) > 0) & (F.col(found) * 100 >= F.col(of) * MIN_SHARE_PERCENT)
+
+    enough = (share("n_found", "n_windows") & share("n_tell_found", "n_tell")) | (
+        share("n_told_found", "n_told") & share("n_told_tell_found", "n_told_tell")
     )
     pair = ["text_hash", "item_id"]
     key = [*pair, "diagonal"]
     counted = found.groupBy(*pair).agg(*places)
     # Shorter items than a run are found by their share.
-    runs = found.groupBy(*key).count().where(F.col("count") >= max(RUN_WORDS - window + 1, 1))
+    runs = found.groupBy(*key).agg(F.count("*").alias("count"), F.max("tell").alias("tell"))
+    runs = runs.where("tell").where(F.col("count") >= max(RUN_WORDS - window + 1, 1))
     likely = stored(with_sizes(counted).where(enough).select(*pair).union(runs.select(*pair)).distinct())
     likely_hits = found.alias("f").join(
         likely.alias("l"),
@@ -209,7 +284,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     by_text = stored(
         slots.groupBy("text_hash").agg(
             F.collect_list(
-                F.struct("item_id", "diagonal", "place", "exact", "length", "item_raw", "template")
+                F.struct("item_id", "diagonal", "place", "exact", "tell", "length", "item_raw", "template")
             ).alias("hits")
         )
     )
@@ -238,6 +313,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             h["diagonal"].alias("diagonal"),
             h["place"].alias("place"),
             h["exact"].alias("exact"),
+            h["tell"].alias("tell"),
             h["length"].alias("length"),
             F.forall(facing_words(h), lambda p: p["a"] == p["b"]).alias("equal"),
             F.filter(facing_words(h), lambda p: is_slot(p["kind"])).alias("slots"),
@@ -260,7 +336,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     )
     run = Window.partitionBy(*key, "run")
     run_words = F.max("place").over(run) - F.min("place").over(run) + F.max("length").over(run)
-    right = ranked.withColumn("long_run", run_words >= RUN_WORDS).where("consistent or long_run")
+    long_run = (run_words >= RUN_WORDS) & F.max("tell").over(run)
+    right = ranked.withColumn("long_run", long_run).where("consistent or long_run")
     held = right.groupBy(*pair).agg(
         *places, F.max(F.size("slots")).alias("n_slots"), F.max("long_run").alias("long_run")
     )

@@ -52,3 +52,48 @@ def test_a_long_passage_counts_whatever_its_share(spark):
     words = LONG.split(" ")
     got = found(spark, LONG, " ".join(words[50:100]), " ".join(words[50:62]), " ".join(words[50:100]).replace("7", "4"))
     assert set(got) == {0, 2} and got[0][0] * 100 < got[0][1] * decontamination.MIN_SHARE_PERCENT
+
+
+LEAD = " ".join(WORDS[:18])
+
+
+def own_words(k, n=12):
+    return " ".join(f"{w}{LETTERS[k % 26]}{LETTERS[k // 26]}" for w in WORDS[40 : 40 + n])
+
+
+def pairs(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    return {tuple(r) for r in decontamination.contaminated(docs, benchmark).select("doc_id", "item_id").collect()}
+
+
+def test_a_lead_in_of_many_items_finds_none_of_them(spark):
+    items = [(k, f"{LEAD} {own_words(k)}") for k in range(60)]
+    only_lead = [f"{own_words(500 + k, 30)} {LEAD} {own_words(600 + k, 30)}" for k in range(40)]
+    assert pairs(spark, items, only_lead) == set()
+    whole = [f"some more {text} some more" for _, text in items]
+    assert pairs(spark, items, whole + only_lead) == {(k, k) for k in range(60)}
+
+
+def test_hits_grow_with_the_texts_not_with_the_items_that_share_windows(spark):
+    texts = [f"{own_words(500 + k, 30)} {LEAD}" for k in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "text_hash long, _text string")
+    for n in (20, 60):
+        benchmark = spark.createDataFrame(
+            [(k, f"{LEAD} {own_words(k)}") for k in range(n)], "item_id long, text string"
+        )
+        items = decontamination.weighed(decontamination.item_windows(benchmark))
+        assert decontamination.met_windows(docs, items).count() == 40 * (18 - decontamination.WINDOW + 1)
+        assert decontamination.hits(docs, items).count() == 0
+
+
+def test_items_without_windows_of_their_own_are_found_by_their_rarest(spark):
+    items = [(k, f"{LEAD} {own_words(k)}") for k in range(30)] + [(100, LEAD), (101, LEAD), (None, LEAD)]
+    assert pairs(spark, items, [f"before {LEAD} after"]) == {(0, 100), (0, 101), (0, None)}
+
+
+def test_items_of_one_template_are_all_found(spark):
+    items = [(k, f"how many red apples does the farmer sell in {k + 3} days at {k + 90} each") for k in range(25)]
+    assert pairs(spark, items, [items[4][1].replace("7", "55"), "how many red apples are there"]) == {
+        (0, k) for k in range(25)
+    }
