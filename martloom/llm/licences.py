@@ -21,10 +21,15 @@ SENTENCES = {
     "mit_notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "mit_warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     "mit_liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "mit_title": "The MIT License (MIT)",
+    "mit_heading": "MIT License",
     "mit_name": "Released under the MIT License.",
     "mit_licensed": "Licensed under the MIT License.",
     "mit_project": "This project is licensed under the MIT License.",
     "isc_grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc_warranty": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "isc_liability": "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "apache_short": "Licensed under the Apache License 2.0.",
     "apache_name": "Licensed under the Apache License, Version 2.0.",
     "apache_grant": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
     "apache_copy": "You may obtain a copy of the License at",
@@ -36,6 +41,18 @@ SENTENCES = {
     "gpl2_free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "lgpl_free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     "agpl_free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl3_free": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl3_program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl_hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "lgpl_details": "See the GNU Lesser General Public License for more details.",
+    "lgpl_received": "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    "lgpl_received_program": "You should have received a copy of the GNU Lesser General Public License along with this program.",
+    "agpl_details": "See the GNU Affero General Public License for more details.",
+    "agpl_received": "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "gpl_received": "You should have received a copy of the GNU General Public License along with this program.",
+    "gpl_received_write": "You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+    "gnu_see": "If not, see <https://www.gnu.org/licenses/>.",
+    "gnu_see_http": "If not, see <http://www.gnu.org/licenses/>.",
     "gpl_hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl_details": "See the GNU General Public License for more details.",
     "bsd_grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
@@ -43,6 +60,9 @@ SENTENCES = {
     "bsd_binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd_endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd_warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "bsd_liability": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "epl2_program": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2_which": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-v20.html",
     "mpl2_source": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "mpl2_copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "ccby4": "Licensed under CC BY 4.0.",
@@ -57,16 +77,38 @@ SENTENCES = {
     "reserved": "All rights reserved.",
 }
 
+# Names that a tag may give; a tag with an expression of several names is not known.
+TAGS = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC0-1.0 CC-BY-4.0 "
+    "CC-BY-NC-4.0 CC-BY-SA-4.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC "
+    "LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib"
+).split()
+SENTENCES.update({f"tag_{name}": f"SPDX-License-Identifier: {name}" for name in TAGS})
+
 # Sequences of identifiers, longest and most telling first.
 RULES = (
+    ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_warranty", "bsd_liability")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_warranty")),
+    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty", "bsd_liability")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty")),
     ("MIT", ("mit_grant", "mit_notice", "mit_warranty", "mit_liability")),
     ("Apache-2.0", ("apache_grant", "apache_copy", "apache_warranty", "apache_see")),
-    ("ISC", ("isc_grant", "mit_warranty")),
+    ("ISC", ("isc_grant", "isc_warranty", "isc_liability")),
+    ("ISC", ("isc_grant", "isc_warranty")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_hope", "gpl_details", "gpl_received", "gnu_see")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_hope", "gpl_details", "gpl_received", "gnu_see_http")),
     ("GPL-3.0-or-later", ("gpl_free", "gpl_hope", "gpl_details")),
+    ("GPL-2.0-or-later", ("gpl2_free", "gpl_hope", "gpl_details", "gpl_received_write")),
+    ("GPL-2.0-or-later", ("gpl2_free", "gpl_hope", "gpl_details", "gpl_received", "gnu_see")),
     ("GPL-2.0-or-later", ("gpl2_free", "gpl_hope", "gpl_details")),
+    ("AGPL-3.0-or-later", ("agpl_free", "gpl_hope", "agpl_details", "agpl_received", "gnu_see")),
+    ("AGPL-3.0-or-later", ("agpl_free", "gpl_hope", "agpl_details")),
     ("AGPL-3.0-or-later", ("agpl_free", "gpl_hope")),
+    ("LGPL-3.0-or-later", ("lgpl3_free", "lgpl_hope", "lgpl_details", "lgpl_received", "gnu_see")),
+    ("LGPL-3.0-or-later", ("lgpl3_free", "lgpl_hope", "lgpl_details")),
+    ("LGPL-3.0-or-later", ("lgpl3_program", "gpl_hope", "lgpl_details", "lgpl_received_program", "gnu_see")),
+    ("LGPL-3.0-or-later", ("lgpl3_program", "gpl_hope", "lgpl_details")),
+    ("LGPL-2.1-or-later", ("lgpl_free", "lgpl_hope", "lgpl_details")),
     ("MPL-2.0", ("mpl2_source", "mpl2_copy")),
     ("Unlicense", ("unlicense", "unlicense_do")),
     ("MIT", ("mit_grant", "mit_notice")),
@@ -92,18 +134,29 @@ RULES = (
     ("CC-BY-NC-4.0", ("ccbync4_long",)),
     ("CC0-1.0", ("cc0",)),
     ("Unlicense", ("unlicense",)),
+    ("MIT", ("mit_title",)),
+    ("MIT", ("mit_heading",)),
+    ("Apache-2.0", ("apache_short",)),
+    ("LGPL-3.0-or-later", ("lgpl3_free",)),
+    ("LGPL-3.0-or-later", ("lgpl3_program",)),
+    ("EPL-2.0", ("epl2_program",)),
+    ("EPL-2.0", ("epl2_which",)),
+    *((name, (f"tag_{name}",)) for name in TAGS),
 )
 
+# Rules of several identifiers come before those of one.
+SEQUENCES = tuple((name, rule) for name, rule in RULES if len(rule) > 1)
+SINGLES = tuple((name, rule) for name, rule in RULES if len(rule) == 1)
+if SEQUENCES + SINGLES != RULES:
+    raise ValueError("a rule of one identifier stands before one of several")
+
 # Where a sentence ends; a mark that no text holds stands for the cut.
 CUT = "\u0001"
-# The plain cuts, which the SQL counterpart uses.
-END = r"([.!?:])[ \t]*\r?\n|([.!?:])[ \t]+|\r?\n[ \t]*\r?\n"
-# The blank after "v." in front of a number ends nothing.
-VERSION = r"([ ,][Vv]\.) ([0-9])"
-# The same over line ends with comment marks, the colon inside of the known sentences, and the words
-# that mark comments; other comment marks are no letters and go when a sentence is normalised.
+# What is joined before the cut: a version number after "v.", also over line ends with comment marks;
+# the colon inside of known sentences and tags; and the words that mark comments. Other comment marks
+# are no letters and go when a sentence is normalised.
 JOINED = (
-    r"([ ,][Vv]\.)[^A-Za-z0-9]{1,8}([0-9])|([Ff]ree[^A-Za-z0-9]{1,8}[Ss]oftware):"
+    r"([ ,][Vv]\.)[^A-Za-z0-9]{1,8}([0-9])|([Ff]ree[^A-Za-z0-9]{1,8}[Ss]oftware|SPDX-License-Identifier):"
     r"|(?m:^)[ \t]*(?:dnl|REM|rem)(?=\s)"
 )
 # A copyright line ends by itself, whatever stands in it.
@@ -188,16 +241,25 @@ def licences(docs: DataFrame) -> DataFrame:
     found = sentences_found(docs).groupBy("row", "doc_id").agg(ordered.alias("ids"))
     state = found.withColumn("_left", F.concat(F.lit(","), F.array_join("ids", ",,"), F.lit(",")))
     names: list[Column] = []
-    for k, (name, rule) in enumerate(RULES):
+    for k, (name, rule) in enumerate(SEQUENCES):
         sequence = "," + ",,".join(rule) + ","
         state = state.withColumn(f"_rule{k}", F.contains("_left", F.lit(sequence)))
         state = state.withColumn("_left", F.replace("_left", F.lit(sequence), F.lit("")))
         names.append(F.when(F.col(f"_rule{k}"), F.lit(name)))
-    taken = F.array_distinct(F.array_compact(F.array(*names)))
+    # Rules of one identifier cannot take from one another: all are looked up at once, in rule order.
+    single = F.create_map(
+        *[c for k, (name, (i,)) in enumerate(SINGLES)
+          for c in (F.lit(i), F.struct(F.lit(k).alias("k"), F.lit(name).alias("name")))]
+    )
     left = F.array_remove(F.split("_left", ","), "")
+    found_single = F.array_sort(
+        F.array_compact(F.transform(left, lambda i: F.try_element_at(single, i)))
+    )
+    names_left = F.transform(found_single, lambda s: s["name"])
+    taken = F.array_distinct(F.concat(F.array_compact(F.array(*names)), names_left))
     return state.select(
         "doc_id",
         F.when(F.size(taken) > 0, F.array_join(taken, ",")).alias("licences"),
         F.array_join("ids", ",").alias("sentences"),
-        F.size(left).cast("long").alias("unmatched"),
+        (F.size(left) - F.size(found_single)).cast("long").alias("unmatched"),
     )

@@ -73,9 +73,15 @@ def licence_sql() -> str:
 with known(normal, sentence_id) as (values {values}),
 s as (
   select rid, doc_id, unnest(parts) part, generate_subscripts(parts, 1) i from (
-    select row_number() over () rid, doc_id, string_split(regexp_replace(
-      regexp_replace(coalesce(text, ''), '{licences.VERSION}', '', 'g'),
-      '{licences.END}', '' || chr(1), 'g'), chr(1)) parts from documents)
+    select rid, doc_id, string_split(regexp_replace(joined,
+      '([.!?:])[ \t]*\r?\n|([.!?:])[ \t]+|\n[^A-Za-z0-9\n]*\n'
+      || '|https?://www\.apache\.org/licenses/LICENSE-2\.0(?:\.txt|\.html)?',
+      '\1\2' || chr(1), 'g'), chr(1)) parts from (
+      select row_number() over () rid, doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''),
+        '([Cc]opyright (?:\([Cc]\)|©|[0-9]{{4}})[^\n]*\n)', '\1' || chr(10), 'g'),
+        '([ ,][Vv]\.)[^A-Za-z0-9]{{1,8}}([0-9])|([Ff]ree[^A-Za-z0-9]{{1,8}}[Ss]oftware|SPDX-License-Identifier):',
+        '\1\2\3', 'g'),
+        '(?m:^)[ \t]*(?:dnl|REM|rem)([ \t\r\n])', '\1', 'g') joined from documents))
 ), p as (
   select rid, doc_id, i, unnest(lines) line, generate_subscripts(lines, 1) j from (
     select *, case when contains(part, chr(10)) then list_concat([part], string_split(part, chr(10)))
@@ -165,7 +171,7 @@ from msgs m join tree t using (conv_id, turn)
 
 
 def decontamination_sql() -> str:
-    """Templates, their windows and slots, joined by the windows themselves instead of by hash."""
+    """Templates, their windows, slots and runs, joined by the windows themselves instead of by hash."""
     ends = "'.', '!', '?', chr(10)"
     quoted = lambda words: ", ".join(f"'{w}'" for w in words)
     return rf"""
@@ -187,34 +193,65 @@ with src as (
 ), whole as (
   select tok.rid, side, item_id, x, raw, tpl, least({decontamination.WINDOW}, len(tpl)) l
   from tok join (select rid, list(tk order by i) raw, list(p order by i) tpl from k group by rid) using (rid)
+), cut as (
+  select rid, item_id, tpl form, l, p, tpl[p:p + l - 1] win, list_transform(raw[p:p + l - 1], lambda z: lower(z)) a
+  from (select *, unnest(range(1, len(tpl) - l + 2)) p from whole where side = 'b')
+), kinds as (
+  select *, len(list_filter(win, lambda z: starts_with(z, '<'))) * 2 > l exact from cut
+), keyed as (
+  select *, case when exact then a else win end seek from kinds
+), spread as (
+  select exact, seek, count(distinct form) n_forms from keyed group by all
 ), iw as (
-  select *, count(*) over (partition by rid) n_windows from (
-    select rid, item_id, l, p, tpl[p:p + l - 1] win, raw[p:p + l - 1] a
-    from (select *, unnest(range(1, len(tpl) - l + 2)) p from whole where side = 'b'))
-  where len(list_filter(win, lambda z: starts_with(z, '<'))) * 2 <= l
+  select *, count(*) over item n_windows, count(*) filter (not exact) over item n_told,
+    count(*) filter (tell) over item n_tell, count(*) filter (tell and not exact) over item n_told_tell
+  from (select *, n_forms <= greatest(10, min(n_forms) over (partition by form)) tell
+        from keyed join spread using (exact, seek))
+  window item as (partition by rid)
 ), dw as (
-  select rid, x, p, tpl[p:p + n - 1] win, raw[p:p + n - 1] b from (
+  select rid, x, p, tpl[p:p + n - 1] win, list_transform(raw[p:p + n - 1], lambda z: lower(z)) b from (
     select whole.*, n, unnest(range(1, len(tpl) - n + 2)) p
     from whole join (select distinct l n from iw) sizes on len(tpl) >= n where side = 'd')
 ), hit as (
-  select dw.rid, dw.x, iw.item_id, iw.p place, dw.p - iw.p diagonal, n_windows, dw.win, a, b,
-    len(list_filter(dw.win, lambda z: starts_with(z, '<'))) n_slots
-  from dw join iw on dw.win = iw.win
+  select dw.rid, dw.x, iw.rid irid, iw.p place, dw.p - iw.p diagonal, iw.* exclude (rid, p), dw.b
+  from dw join iw on dw.win = iw.seek where not exact
+  union all
+  select dw.rid, dw.x, iw.rid irid, iw.p place, dw.p - iw.p diagonal, iw.* exclude (rid, p), dw.b
+  from dw join iw on dw.b = iw.seek where exact
+), likely as (
+  select * from hit semi join (select distinct rid, irid from hit where tell) t using (rid, irid)
 ), slots as (
-  select rid, item_id, diagonal, win[j] kind, a[j] a, b[j] b
-  from (select *, unnest(range(1, len(win) + 1)) j from hit) where starts_with(win[j], '<')
+  select rid, irid, diagonal, win[j] kind, a[j] a, b[j] b, place + j spot
+  from (select *, unnest(range(1, len(win) + 1)) j from likely) where starts_with(win[j], '<')
 ), wrong as (
-  select rid, item_id, diagonal from slots group by all
-  having count(distinct (kind, a, b)) <> count(distinct (kind, a))
-    or count(distinct (kind, a, b)) <> count(distinct (kind, b))
+  select rid, irid, diagonal from (
+    select rid, irid, diagonal, kind, a, max(n) usual, sum(n) n from (
+      select rid, irid, diagonal, kind, a, b, count(distinct spot) n from slots group by all)
+    group by rid, irid, diagonal, kind, a)
+  group by all having sum(usual) * 100 < sum(n) * 80
+), judged as (
+  select likely.*, w.rid is null consistent
+  from likely left join wrong w on (likely.rid, likely.irid, likely.diagonal) = (w.rid, w.irid, w.diagonal)
+), ranked as (
+  select *, place - row_number() over (partition by rid, irid, diagonal order by place) run
+  from judged where consistent or a = b
+), runs as (
+  select *, max(place) over r - min(place) over r + l >= 15 and bool_or(tell) over r long_run
+  from ranked window r as (partition by rid, irid, diagonal, run)
 ), held as (
-  select x, item_id, count(distinct place) n_found, n_windows, max(n_slots)::integer n_slots from hit
-  where not exists (select 1 from wrong w where w.rid = hit.rid and w.diagonal = hit.diagonal
-    and w.item_id is not distinct from hit.item_id)
-  group by x, item_id, n_windows
+  select x, item_id, n_windows, n_told, n_tell, n_told_tell, bool_or(long_run) long_run,
+    count(distinct place) n_found, count(distinct place) filter (not exact) n_told_found,
+    count(distinct place) filter (tell) n_tell_found,
+    count(distinct place) filter (tell and not exact) n_told_tell_found,
+    max(len(list_filter(win, lambda z: starts_with(z, '<'))))::integer n_slots
+  from runs where consistent or long_run
+  group by rid, irid, x, item_id, n_windows, n_told, n_tell, n_told_tell
 )
 select doc_id, item_id, n_found, n_windows::integer n_windows, n_slots from documents join held on text = x
-where n_found * 100 >= n_windows * {decontamination.MIN_SHARE_PERCENT}
+where long_run
+  or n_tell > 0 and n_found * 100 >= n_windows * 30 and n_tell_found * 100 >= n_tell * 30
+  or n_told > 0 and n_told_tell > 0 and n_told_found * 100 >= n_told * 30
+    and n_told_tell_found * 100 >= n_told_tell * 30
 """
 
 

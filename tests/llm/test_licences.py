@@ -73,3 +73,30 @@ def test_a_known_sentence_that_is_cut_is_an_error(monkeypatch):
     monkeypatch.setitem(licences.SENTENCES, "two", "One sentence. And another.")
     with pytest.raises(ValueError, match="two"):
         licences.known_sentences()
+
+
+PUBLISHED = [
+    ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 J. Doe"),
+    ("MIT", "// SPDX-License-Identifier: MIT\n#include <x>\n"),
+    ("GPL-2.0-only", "/* SPDX-License-Identifier: GPL-2.0-only */\nint x;"),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("LGPL-3.0-or-later", GPL.replace("GNU General", "GNU Lesser General")),
+    ("LGPL-3.0-or-later", GPL.replace("GNU General", "GNU Lesser General").replace("program", "library")),
+    ("ISC", " ".join(licences.SENTENCES[i] for i in ("isc_grant", "isc_warranty", "isc_liability"))),
+    ("BSD-2-Clause", "\n".join(licences.SENTENCES[i] for i in (
+        "bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty", "bsd_liability"))),
+    ("EPL-2.0", licences.SENTENCES["epl2_program"] + "\n\n * SPDX-License-Identifier: EPL-2.0"),
+    ("GPL-3.0-or-later", GPL), ("AGPL-3.0-or-later", AGPL), ("Apache-2.0", APACHE),
+]
+
+
+def test_published_notices_leave_nothing_unmatched(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(PUBLISHED)], "doc_id long, text string")
+    rows = {r["doc_id"]: (r["licences"], r["unmatched"]) for r in licences.licences(docs).collect()}
+    assert rows == {i: (name, 0) for i, (name, _) in enumerate(PUBLISHED)}
+
+
+def test_another_warranty_is_no_part_of_the_grant(spark):
+    text = " ".join(licences.SENTENCES[i] for i in ("isc_grant", "mit_warranty"))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(r["licences"], r["unmatched"]) for r in licences.licences(docs).collect()] == [("ISC", 1)]
