@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.sources import paths
+from martloom.sources import paths, records
 from martloom.sources.registry import SOURCES, TableSpec
 
 INGESTED_AT = "_ingested_at"
@@ -62,14 +62,26 @@ def _one_slash(path: str) -> str:
     return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
 
 
+def _given(found: str, known: Mapping[str, str]) -> str:
+    """The key of ``known`` for a path of Spark's metadata, where some characters are written as %xx."""
+    plain = _one_slash(found)
+    return plain if plain in known else unquote(plain)
+
+
+def split_files(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """The files of a source with line breaks in fields that many tasks can read."""
+    large = {_one_slash(f): f for f in records.larger_than_a_split(spark, files)}
+    for found in records.unfit(spark, list(large.values())) if large else []:
+        large.pop(_given(found, large))
+    return [f for f in files if _one_slash(f) in large]
+
+
 def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Files by the column names in their first line; a file without lines has none."""
     known = {_one_slash(f): f for f in files}
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in first_lines(spark, files).collect() if files else []:
-        # Spark writes some characters of the paths in its metadata as %xx.
-        found = _one_slash(row["file"])
-        file = known.pop(found, None) or known.pop(unquote(found))
+        file = known.pop(_given(row["file"], known))
         names = tuple(next(csv.reader([row["line"]]), ())) if row["line"] else ()
         groups.setdefault(names, []).append(file)
     if known:
@@ -90,8 +102,9 @@ def read_raw(
     Every file is read by the names in its own header, so the order of columns may differ
     between files; a column that a file lacks is NULL there, except for the columns the spec
     declares, whose absence is an error that names the file. Files of no bytes are passed over. With ``keep_malformed`` short, long
-    or broken rows carry their text in ``_corrupt_record``. A file of a ``multi_line`` source is
-    read by one task, so store such a source as many files of some hundred megabytes at most.
+    or broken rows carry their text in ``_corrupt_record``. A file of a ``multi_line`` source that is
+    larger than a split is read by many tasks if its quotes tell its records (``records.unfit``,
+    looked up while the query is built), else by one.
     """
     known = paths.data_files(spark, paths.join(raw_dir, spec.files))
     groups = read_headers(spark, known if files is None else files or known[:1])
@@ -105,6 +118,16 @@ def read_raw(
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
 
     def read(names: tuple[str, ...], located: list[str]) -> DataFrame:
+        cut = split_files(spark, located) if spec.multi_line else []
+        whole = [f for f in located if f not in cut]
+        parts = [read_whole(names, whole)] if whole else []
+        if cut:
+            rows = records.read_records(spark, cut, names, CORRUPT if keep_malformed else None)
+            kept, name = [F.col(f"`{c}`") for c in rows.columns[:-1]], F.col(rows.columns[-1])
+            parts.append(rows.select(*kept, F.current_timestamp().alias(INGESTED_AT), name.alias(SOURCE_FILE)))
+        return reduce(DataFrame.union, parts)
+
+    def read_whole(names: tuple[str, ...], located: list[str]) -> DataFrame:
         fields = [T.StructField(n, T.StringType()) for n in names]
         if keep_malformed:
             fields.append(T.StructField(CORRUPT, T.StringType()))
