@@ -74,7 +74,7 @@ def test_one_large_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
 
 
 @pytest.mark.parametrize(
-    "line", ['k,5" tall,x', 'k,"v" ,x', "k,v,x\r", "   ", 'k,v,"open']
+    "line", ['k,5" tall,x', 'k, "v",x', 'k,"v" ,x', "k,v,x\r", "   ", 'k,v,"open', 'k,v"w"x,y', 'k,"v"w,"x"']
 )
 def test_files_that_quotes_do_not_tell_are_read_whole(spark, tmp_path, monkeypatch, small_splits, line):
     rng = random.Random(2)
