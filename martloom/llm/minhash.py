@@ -7,12 +7,14 @@ densification: every filled bin is as likely, so two sets agree in a bin as ofte
 ``BANDS`` runs of ``BINS // BANDS`` bins are hashed to buckets; sets that share half of their bins'
 runs by chance are rare, and a pair at the threshold of 0.85 misses all 64 buckets once in 10^9.
 
-Within a bucket the candidates form a star: its smallest member with each other one. All candidate
-pairs are confirmed on the full sets. A bucket whose members the links have not joined is looked at
+Within a bucket the candidates form a star: its smallest member with each other one. A set meets the
+centre it shares most buckets with first, the others if it is still apart from them. All links are
+confirmed on the full sets. A bucket whose members the links have not joined is looked at
 again with other centres, more in each round, until every pair of members is either in one group or
 was compared; so stars lose no link. In these rounds a pair is compared by a sketch first, one bit of
 each of 256 bins: overlapping sets differ in few of them, and a pair at the threshold is taken for
-farther apart once in 10^9. Equal sets are one node throughout, whatever their number.
+farther apart once in 10^9; pairs of several buckets are compared in one of them. Equal sets are one
+node throughout, whatever their number.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ PERCENT = 85
 BINS, BANDS = 512, 64
 # Centres of a bucket in the first round after the star, and how many times more in each further one.
 CENTRES, MORE = 16, 4
+# Centres, each with the keys of its buckets, that are broadcast at most.
+CENTRE_ROWS = 20_000
 # Longs of a sketch, and the standard deviations (7.8) that a pair at the threshold may differ beyond
 # the expected number of bits.
 SKETCH, BEYOND = 4, 7.8
@@ -285,17 +289,42 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(of, "a long, b long")
 
 
+def joined_groups(grouped: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of the groups after new links (a, b); groups count as links of nodes to their root."""
+    links = stored(links)
+    if grouped is not None:
+        if links.isEmpty():
+            return grouped
+        links = links.unionByName(grouped.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return stored(components(links))
+
+
+def apart_pairs(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one group yet."""
+    for end in ("a", "b"):
+        root = grouped.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = pairs.join(small_side(root), end, "left")
+    same = F.coalesce("root_a", "a") == F.coalesce("root_b", "b")
+    return pairs.where(~same).select("a", "b")
+
+
 def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(node, root) of the nodes that link with others; ``rows`` is ``shingled``."""
     members = stored(shared_buckets(rows.where("keys is not null")))
     sets = stored(full_sets(docs, rows, members.select("node").distinct(), shingle))
-    star = members.where(alike("n", "centre_n", percent))
-    found = stored(confirmed(stored(ordered_pairs(star, "node", "centre")), sets, percent))
+    star = members.where(alike("n", "centre_n", percent) & (F.col("node") != F.col("centre")))
+    star = stored(star.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared")))
+    # Each node first meets the centre it shares most buckets with; other centres only if that has not
+    # brought them into one group.
+    nearest = F.min(F.struct((-F.col("shared")).alias("less"), "a"))
+    first = stored(star.groupBy("b").agg(nearest.alias("f")).select("f.a", "b"))
+    grouped = joined_groups(None, confirmed(first, sets, percent))
+    rest = stored(apart_pairs(star.join(first, ["a", "b"], "left_anti").select("a", "b"), grouped))
+    grouped = joined_groups(grouped, confirmed(rest, sets, percent))
     members, centres = members.select("key", "node", "n").distinct(), CENTRES
     bits = [F.col("bits")[k].alias(f"bits{k}") for k in range(SKETCH)]
-    sketches = rows.where("keys is not null").select("node", *bits).dropDuplicates(["node"])
+    sketches = rows.where("keys is not null").select("node", "keys", *bits).dropDuplicates(["node"])
     sketches = stored(sketches.join(sets.select("node"), "node", "left_semi"))
-    grouped = stored(components(found))
     while True:
         named = members.join(grouped, "node", "left").select(
             "key", "node", "n", F.coalesce("root", "node").alias("root")
@@ -320,21 +349,20 @@ def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: in
         spent = stored(left.where((F.col("root") != F.col("main")) & chosen))
         centre = spent.join(sketches, "node").select(
             "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of"),
-            *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
+            F.col("keys").alias("centre_keys"), *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
         )
         apart = reduce(
             lambda x, y: x + y,
             [F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"centre_bits{k}"))) for k in range(SKETCH)],
         )
-        met = left.join(sketches, "node").join(small_side(stored(centre)), "key").where(
+        # A pair that shares several buckets is compared in one of them only.
+        here = F.array_min(F.array_intersect("keys", "centre_keys")) == F.col("key")
+        met = left.join(sketches, "node").join(small_side(stored(centre), CENTRE_ROWS), "key").where(
             (F.col("root") != F.col("of")) & alike("n", "centre_n", percent)
-            & (apart <= sketch_limit(percent))
+            & (apart <= sketch_limit(percent)) & here
         )
         pairs = stored(ordered_pairs(met, "node", "centre"))
-        new = stored(confirmed(pairs, sets, percent))
-        if not new.isEmpty():
-            found = found.unionByName(new)
-            grouped = stored(components(found))
+        grouped = joined_groups(grouped, confirmed(pairs, sets, percent))
         gone = spent.select("key", "node")
         members = stored(left.join(gone, ["key", "node"], "left_anti").select("key", "node", "n"))
         centres *= MORE

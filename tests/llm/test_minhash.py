@@ -149,3 +149,31 @@ def test_a_hot_bucket_lies_in_many_tasks(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_near_copies_and_almost_near_ones_are_compared_few_times(spark, monkeypatch):
+    rng, compared, met = random.Random(3), [], []
+    confirmed, ordered = minhash.confirmed, minhash.ordered_pairs
+
+    def counting(pairs, sets, percent):
+        compared.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    def listing(pairs, a, b):
+        out = ordered(pairs, a, b)
+        met.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "confirmed", counting)
+    monkeypatch.setattr(minhash, "ordered_pairs", listing)
+    copies = [" ".join([f"a{i}" for i in range(400)] + [f"b{k}"]) for k in range(40)]
+    # Each has a quarter of its words apart, so that many buckets are shared and no two link.
+    base = [f"c{i}" for i in range(600)]
+    almost = [" ".join(base + [f"d{k}e{rng.randrange(10**9)}" for _ in range(90)]) for k in range(12)]
+    rows = list(enumerate(copies + almost))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs) == plain(rows)
+    # Each copy meets one centre, the others meet those they are not linked with.
+    assert compared[0] < len(rows) and sum(compared) < 40 + 12 * 12
+    # A pair comes at most once from either side, whatever the buckets it shares.
+    assert met and all(n <= 2 * pairs for n, pairs in met)
