@@ -347,15 +347,18 @@ def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: in
         share = F.ceil(F.col("others") / centres)
         chosen = F.pmod(F.xxhash64("node", F.lit(centres)), share) == 0
         spent = stored(left.where((F.col("root") != F.col("main")) & chosen))
-        centre = spent.join(sketches, "node").select(
+        # The buckets in which a node is a centre now, 64 at most.
+        own = spent.groupBy("node").agg(F.collect_set("key").alias("centre_keys"))
+        centre = spent.join(own, "node").join(sketches, "node").select(
             "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of"),
-            F.col("keys").alias("centre_keys"), *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
+            "centre_keys", *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
         )
         apart = reduce(
             lambda x, y: x + y,
             [F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"centre_bits{k}"))) for k in range(SKETCH)],
         )
-        # A pair that shares several buckets is compared in one of them only.
+        # A pair that meets in several buckets now is compared in one of them only. If the node has left
+        # that one, it was compared there before.
         here = F.array_min(F.array_intersect("keys", "centre_keys")) == F.col("key")
         met = left.join(sketches, "node").join(small_side(stored(centre), CENTRE_ROWS), "key").where(
             (F.col("root") != F.col("of")) & alike("n", "centre_n", percent)
