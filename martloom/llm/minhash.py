@@ -13,8 +13,9 @@ confirmed on the full sets. A bucket whose members the links have not joined is
 again with other centres, more in each round, until every pair of members is either in one group or
 was compared; so stars lose no link. In these rounds a pair is compared by a sketch first, one bit of
 each of 256 bins: overlapping sets differ in few of them, and a pair at the threshold is taken for
-farther apart once in 10^9; pairs of several buckets are compared in one of them. Equal sets are one
-node throughout, whatever their number.
+farther apart once in 10^9; pairs of several buckets are compared in one of them. Crowded buckets are
+cut into blocks of centres and members, whose full sets meet inside a task: only links leave it, one
+for each two groups. Equal sets are one node throughout, whatever their number.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ BINS, BANDS = 512, 64
 CENTRES, MORE = 16, 4
 # Centres, each with the keys of its buckets, that are broadcast at most.
 CENTRE_ROWS = 20_000
+# Comparisons of a bucket in one round beyond which they are made inside tasks, and the members of such
+# a bucket that a task holds of either side.
+CROWDED, BLOCK = 256, 256
 # Longs of a sketch, and the standard deviations (7.8) that a pair at the threshold may differ beyond
 # the expected number of bits.
 SKETCH, BEYOND = 4, 7.8
@@ -289,6 +293,68 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(of, "a long, b long")
 
 
+def block_links(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the centres and the members of blocks, one for each two groups of a block.
+
+    ``rows`` has key, i, j (the block), node, root and centre_keys, which is null for members and tells
+    the buckets of a centre otherwise; ``facts`` has node, keys (one for each band) and hashes. A pair is
+    compared in the smallest of the centre's buckets that both share.
+    """
+    none = np.iinfo(np.int64).max
+
+    def of(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        key, node, root = block["key"][0].as_py(), block["node"].to_numpy(), block["root"].to_numpy()
+        keys = block["keys"].combine_chunks().flatten().to_numpy().reshape(block.num_rows, -1)
+        sets = [np.frombuffer(h.as_buffer(), "<u8") for h in block["hashes"]]
+        sizes = np.array([len(s) for s in sets])
+        centres = np.flatnonzero(block["centre_keys"].is_valid().to_numpy())
+        members = np.flatnonzero(block["centre_keys"].is_null().to_numpy())
+        links = []
+        for c in centres:
+            own = np.isin(keys[c], block["centre_keys"][int(c)].values.to_numpy())
+            here = np.where((keys[members] == keys[c]) & own, keys[members], none).min(axis=1) == key
+            less, more = np.minimum(sizes[members], sizes[c]), np.maximum(sizes[members], sizes[c])
+            met = members[here & (root[members] != root[c]) & (100 * less >= percent * more)]
+            if not len(met):
+                continue
+            hashes = np.concatenate([sets[m] for m in met])
+            at = np.searchsorted(sets[c], hashes)
+            at[at == sizes[c]] = 0
+            starts = np.concatenate(([0], np.cumsum(sizes[met])[:-1]))
+            common = np.add.reduceat((sets[c][at] == hashes).astype(np.int64), starts)
+            near = met[100 * common >= percent * (sizes[met] + sizes[c] - common)]
+            links += [(root[c], root[m], node[c], node[m]) for m in near]
+        # One link joins two groups as well as many.
+        first = {(min(x, y), max(x, y)): (a, b) for x, y, a, b in links}
+        ends = np.array(list(first.values()), np.int64).reshape(-1, 2)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
+
+    whole = rows.join(facts, "node").select("key", "i", "j", "node", "root", "centre_keys", "keys", "hashes")
+    return whole.groupBy("key", "i", "j").applyInArrow(of, "a long, b long")
+
+
+def blocks(left: DataFrame, centre: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The members and centres of crowded buckets, each in all blocks in which it meets the other side."""
+    wide = [F.ceil(F.col(c) / BLOCK) for c in ("n_centres", "total")]
+
+    def place(side: int) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(side)), wide[side])
+
+    def every(side: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), wide[side] - 1))
+
+    no_keys = F.lit(None).cast("array<long>").alias("centre_keys")
+    crowded = small_side(crowded)
+    members = left.join(crowded, "key").select(
+        "key", every(0).alias("i"), place(1).alias("j"), "node", "root", no_keys
+    )
+    centres = centre.join(crowded, "key").select(
+        "key", place(0).alias("i"), every(1).alias("j"), "node", "root", "centre_keys"
+    )
+    return members.unionByName(centres)
+
+
 def joined_groups(grouped: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, root) of the groups after new links (a, b); groups count as links of nodes to their root."""
     links = stored(links)
@@ -325,6 +391,7 @@ def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: in
     bits = [F.col("bits")[k].alias(f"bits{k}") for k in range(SKETCH)]
     sketches = rows.where("keys is not null").select("node", "keys", *bits).dropDuplicates(["node"])
     sketches = stored(sketches.join(sets.select("node"), "node", "left_semi"))
+    facts = sketches.select("node", "keys").join(sets, "node")
     while True:
         named = members.join(grouped, "node", "left").select(
             "key", "node", "n", F.coalesce("root", "node").alias("root")
@@ -336,23 +403,27 @@ def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: in
         )
         open_keys = stored(
             open_keys.where("groups > 1").select(
-                "key", F.col("most.root").alias("main"), (F.col("total") - F.col("most.held")).alias("others")
-            )
+                "key", F.col("most.root").alias("main"), "total",
+                (F.col("total") - F.col("most.held")).alias("others"),
+            )
         )
         if open_keys.isEmpty():
             return grouped
         # Members outside of the largest group, all or some of them, are compared with all others of
         # their bucket and leave it.
-        left = stored(named.join(small_side(open_keys), "key"))
+        left = stored(named.join(small_side(open_keys.drop("total")), "key"))
         share = F.ceil(F.col("others") / centres)
         chosen = F.pmod(F.xxhash64("node", F.lit(centres)), share) == 0
         spent = stored(left.where((F.col("root") != F.col("main")) & chosen))
         # The buckets in which a node is a centre now, 64 at most.
         own = spent.groupBy("node").agg(F.collect_set("key").alias("centre_keys"))
-        centre = spent.join(own, "node").join(sketches, "node").select(
-            "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of"),
-            "centre_keys", *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
+        centre = stored(spent.join(own, "node").select("key", "node", "n", "root", "centre_keys"))
+        held = centre.groupBy("key").agg(F.count("*").alias("n_centres"))
+        crowded = stored(
+            open_keys.join(held, "key").where(F.col("n_centres") * F.col("total") > CROWDED)
+            .select("key", "n_centres", "total")
         )
+        named_keys = small_side(crowded.select("key"))
         apart = reduce(
             lambda x, y: x + y,
             [F.bit_count(F.col(f"bits{k}").bitwiseXOR(F.col(f"centre_bits{k}"))) for k in range(SKETCH)],
@@ -360,12 +431,20 @@ def linked(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, percent: in
         # A pair that meets in several buckets now is compared in one of them only. If the node has left
         # that one, it was compared there before.
         here = F.array_min(F.array_intersect("keys", "centre_keys")) == F.col("key")
-        met = left.join(sketches, "node").join(small_side(stored(centre), CENTRE_ROWS), "key").where(
+        few = centre.join(named_keys, "key", "left_anti").join(sketches, "node").select(
+            "key", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("of"),
+            "centre_keys", *[F.col(f"bits{k}").alias(f"centre_bits{k}") for k in range(SKETCH)],
+        )
+        loose = left.join(named_keys, "key", "left_anti").join(sketches, "node")
+        met = loose.join(small_side(stored(few), CENTRE_ROWS), "key").where(
             (F.col("root") != F.col("of")) & alike("n", "centre_n", percent)
             & (apart <= sketch_limit(percent)) & here
         )
         pairs = stored(ordered_pairs(met, "node", "centre"))
-        grouped = joined_groups(grouped, confirmed(pairs, sets, percent))
+        links = confirmed(pairs, sets, percent)
+        if not crowded.isEmpty():
+            links = links.unionByName(block_links(blocks(left, centre, crowded), facts, percent))
+        grouped = joined_groups(grouped, links)
         gone = spent.select("key", "node")
         members = stored(left.join(gone, ["key", "node"], "left_anti").select("key", "node", "n"))
         centres *= MORE

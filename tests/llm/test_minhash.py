@@ -177,3 +177,33 @@ def test_near_copies_and_almost_near_ones_are_compared_few_times(spark, monkeypa
     assert compared[0] < len(rows) and sum(compared) < 40 + 12 * 12
     # A pair comes at most once from either side, whatever the buckets it shares.
     assert met and all(n <= 2 * pairs for n, pairs in met)
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_crowded_buckets_are_compared_inside_tasks(spark, monkeypatch, block):
+    rng, met = random.Random(5), []
+    ordered, made = minhash.ordered_pairs, minhash.block_links
+
+    def listing(pairs, a, b):
+        met.append(pairs.count())
+        return ordered(pairs, a, b)
+
+    def links(rows, facts, percent):
+        out = made(rows, facts, percent)
+        # Two groups of a block are linked once, however many of their members are near.
+        assert out.count() <= rows.select("i", "j", "key").distinct().count() * 60
+        return out
+
+    monkeypatch.setattr(minhash, "ordered_pairs", listing)
+    monkeypatch.setattr(minhash, "block_links", links)
+    monkeypatch.setattr(minhash, "CROWDED", 0)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    # 40 texts that share most buckets and do not link, and a chain whose neighbours alone do.
+    base, words = [f"c{i}" for i in range(200)], [f"w{i}" for i in range(400)]
+    texts = [" ".join(base + [f"d{k}e{rng.randrange(10**9)}" for _ in range(30)]) for k in range(40)]
+    texts += [" ".join(words[3 * i : 3 * i + 120]) for i in range(40)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert found(docs) == plain(rows)
+    # Pairs that share a crowded bucket are no rows: there are 780 of the first kind alone.
+    assert met and not any(met)
