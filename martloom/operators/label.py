@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from martloom.functions import any_null
 from martloom.functions.casts import apply_casts
 from martloom.operators.dedup import DUPLICATE, mark_duplicates, survivor_order
+from martloom.session import PARQUET_OPTIONS
 from martloom.sources import paths
 from martloom.sources.registry import TableSpec
 
@@ -23,6 +25,8 @@ HAS_NULL = "_has_null"
 VALID, REJECTED = "valid", "rejected"
 SEPARATOR = "; "
 DUPLICATE_REASON = "duplicate_key"
+# A job that sets this to false leaves no _SUCCESS.
+_MARKS_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 METRICS = (
     "input_records",
@@ -71,6 +75,12 @@ def label(
     return labelled.withColumns(kept) if kept else labelled
 
 
+def key_slices(df: DataFrame, key: Sequence[str], n: int) -> list[DataFrame]:
+    """The rows in n frames, all copies of a key in one of them; they can be labelled one by one."""
+    slot = F.pmod(F.xxhash64(*key), F.lit(n))
+    return [df.where(slot == i) for i in range(n)] if n > 1 else [df]
+
+
 def _helpers(labelled: DataFrame) -> list[str]:
     casts = [c for c in labelled.columns if f"{c}_raw" in labelled.columns]
     return [DUPLICATE, HAS_NULL, STATUS, REASONS, REASON, *(f"{c}_raw" for c in casts)]
@@ -108,19 +118,26 @@ def quality_metrics(labelled: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_labelled(
-    labelled: DataFrame, path: str, *, keep_schema: bool = True
+    labelled: DataFrame | Sequence[DataFrame], path: str, *, keep_schema: bool = True
 ) -> dict[str, int]:
     """Write valid and rejected rows side by side in one job; returns the metrics.
 
+    Slices are written by one job each, one after the other, and ``_SUCCESS`` by the last one.
     The counts are taken in the job's last stage, which Spark counts once per task
     however often executors are lost; put no shuffle between them and the write.
     """
-    seen = Observation()
-    observed = labelled.observe(seen, *metric_columns())
-    observed.write.mode("overwrite").partitionBy(STATUS).parquet(path)
-    if missing := [name for name in METRICS if name not in seen.get]:
-        raise RuntimeError(f"the write of {path} reported no {', '.join(missing)}")
-    if keep_schema and not paths.glob(labelled.sparkSession, paths.join(path, f"{STATUS}=*")):
+    slices = [labelled] if isinstance(labelled, DataFrame) else list(labelled)
+    counts: Counter[str] = Counter()
+    for i, part in enumerate(slices):
+        seen = Observation()
+        observed = part.observe(seen, *metric_columns())
+        last = "true" if i == len(slices) - 1 else "false"
+        writer = observed.write.mode("append" if i else "overwrite").option(_MARKS_SUCCESS, last)
+        writer.options(**PARQUET_OPTIONS).partitionBy(STATUS).parquet(path)
+        if missing := [name for name in METRICS if name not in seen.get]:
+            raise RuntimeError(f"the write of {path} reported no {', '.join(missing)}")
+        counts.update({name: seen.get[name] for name in METRICS})
+    if keep_schema and not paths.glob(slices[0].sparkSession, paths.join(path, f"{STATUS}=*")):
         # A partitioned write of no rows leaves no file to read the schema from.
-        labelled.limit(0).write.mode("append").parquet(path)
-    return {name: seen.get[name] for name in METRICS}
+        slices[0].limit(0).write.mode("append").parquet(path)
+    return {name: counts[name] for name in METRICS}

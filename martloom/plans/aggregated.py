@@ -59,7 +59,8 @@ def build_marts(
             cleaned["order_items"], cleaned["products"], translation
         ),
     }
-    parallel(spark, {n: _writer(df, paths.join(out_dir, n)) for n, df in bases.items()})
+    # One at a time: their shuffles are the largest of this layer.
+    parallel(spark, {n: _writer(df, paths.join(out_dir, n)) for n, df in bases.items()}, workers=1)
     by_day, by_product = (spark.read.parquet(paths.join(out_dir, n)) for n in bases)
 
     def writer(name: str, df: DataFrame):

@@ -6,11 +6,21 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.operators.label import label, rejected_rows, valid_rows, write_labelled
+from martloom.operators.label import key_slices, label, rejected_rows, valid_rows, write_labelled
 from martloom.sources import paths
 from martloom.sources.raw import parallel
 from martloom.sources.registry import CLEANED, TableSpec
 
+# A table is labelled in slices of its keys, so that its shuffles never hold all of its rows: of so
+# many bytes of its raw files, but in no more than MOST_SLICES, as each scans the raw files again.
+SLICE_BYTES, MOST_SLICES = 1 << 25, 12
+
+
+def labelled_slices(spark: SparkSession, raw: str, spec: TableSpec, *, keep: str = "latest") -> list[DataFrame]:
+    """A landed table, labelled, in slices to be written one after the other."""
+    n = min(MOST_SLICES, 1 + paths.size(spark, raw) // SLICE_BYTES)
+    return [label(rows, spec, keep=keep) for rows in key_slices(spark.read.parquet(raw), spec.key, n)]
+
 
 def clean_tables(
     spark: SparkSession,
@@ -25,8 +35,8 @@ def clean_tables(
 
     def clean(spec: TableSpec):
         def job():
-            raw = spark.read.parquet(paths.join(raw_tables, spec.name))
-            return write_labelled(label(raw, spec, keep=keep), paths.join(out_dir, spec.name))
+            slices = labelled_slices(spark, paths.join(raw_tables, spec.name), spec, keep=keep)
+            return write_labelled(slices, paths.join(out_dir, spec.name))
 
         return job
 

@@ -63,8 +63,8 @@ class BatchedTable:
         self.spark, self.keys, self.null_safe = spark, list(keys), null_safe
         self._batches, self._base = paths.join(path, "batches"), paths.join(path, "base")
 
-    def add(self, labelled: DataFrame, batch_id: int) -> dict[str, int]:
-        """Write a batch of labelled rows, once evaluated; returns its quality counts."""
+    def add(self, labelled: DataFrame | Sequence[DataFrame], batch_id: int) -> dict[str, int]:
+        """Write a batch of labelled rows (or of its slices), once evaluated; returns its quality counts."""
         return write_labelled(labelled, self._folder(self._batches, batch_id), keep_schema=False)
 
     def batch_ids(self) -> list[int]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.session import PARQUET_OPTIONS
 from martloom.sources import paths, records
 from martloom.sources.registry import SOURCES, TableSpec
 
@@ -156,9 +157,9 @@ def write_counted(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (
     an executor is lost and earlier stages run again.
     """
     seen = Observation()
-    df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").partitionBy(
-        *partition_by
-    ).parquet(path)
+    df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").options(
+        **PARQUET_OPTIONS
+    ).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 

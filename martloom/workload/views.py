@@ -211,13 +211,24 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: as_text(df) for name, df in rows.items()}
 
 
+def write_raw(text: DataFrame, path: str, *, packed: bool = True) -> None:
+    """Write text rows as a CSV folder; a packed file is read by one task, so it has a million rows at most."""
+    from martloom.sources.raw import CSV_OPTIONS
+
+    packing = {"compression": "gzip", "maxRecordsPerFile": "1000000"} if packed else {}
+    text.write.options(**CSV_OPTIONS, **packing).csv(path)
+
+
 def export_raw(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
-    """Write the sources as CSV folders whose names the source registry's patterns match."""
-    from martloom.sources.raw import CSV_OPTIONS, parallel
+    """Write the sources as CSV folders whose names the source registry's patterns match.
+
+    The one with line breaks in fields is not packed: its large files are to be cut by the reader.
+    """
+    from martloom.sources.raw import parallel
     from martloom.sources.registry import SOURCES
 
     def writer(name: str, df: DataFrame):
         path = f"{raw_dir}/{SOURCES[name].files.lstrip('*')}"
-        return lambda: df.write.options(**CSV_OPTIONS).csv(path)
+        return lambda: write_raw(df, path, packed=not SOURCES[name].multi_line)
 
     parallel(spark, {n: writer(n, df) for n, df in raw_tables(spark, sf_dir).items()})

@@ -9,6 +9,8 @@ from martloom.operators.dedup import DUPLICATE, mark_duplicates, survivor_order
 from martloom.operators.label import (
     METRICS,
     REASON,
+    STATUS,
+    key_slices,
     label,
     metric_columns,
     rejected_rows,
@@ -167,6 +169,37 @@ def test_write_gives_metrics_and_both_parts(spark, tmp_path):
     }
 
 
+def test_slices_are_written_as_one_table(spark, tmp_path, rows):
+    data = [(f"k{i % 40}", 1.0, i) for i in range(200)] + [("hot", 1.0, i) for i in range(300)]
+    data += [(None, -1.0, i) for i in range(50)]
+    df = spark.createDataFrame(data, "order_id string, amount double, _ingested_at int").repartition(5)
+    whole, sliced = str(tmp_path / "whole"), str(tmp_path / "sliced")
+    metrics = write_labelled(label(df, SPEC), whole)
+    assert metrics == dict(zip(METRICS, (550, 41, 509, 508, 50), strict=True))
+    assert write_labelled([label(part, SPEC) for part in key_slices(df, SPEC.key, 4)], sliced) == metrics
+    columns = sorted(spark.read.parquet(whole).columns)
+    assert rows(spark.read.parquet(sliced), *columns) == rows(spark.read.parquet(whole), *columns)
+
+
+def test_all_copies_of_a_key_are_in_one_slice(spark):
+    data = [(f"k{i % 40}" if i % 7 else None, 1.0, i) for i in range(400)]
+    df = spark.createDataFrame(data, DDL)
+    slices = [{r["order_id"] for r in part.collect()} for part in key_slices(df, ["order_id"], 3)]
+    assert all(slices) and sum(map(len, slices)) == len(set.union(*slices)) == 41
+    assert sum(part.count() for part in key_slices(df, ["order_id"], 3)) == 400
+
+
+def test_only_the_last_slice_marks_success(spark, tmp_path):
+    good = label(spark.createDataFrame([("a", 1.0, 1)], DDL), SPEC)
+    broken = good.withColumn("amount", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_labelled([good, broken], str(tmp_path / "t"))
+    assert list((tmp_path / "t").glob(f"{STATUS}=*")) and not (tmp_path / "t" / "_SUCCESS").exists()
+    write_labelled([good, good], str(tmp_path / "t"))
+    assert (tmp_path / "t" / "_SUCCESS").exists()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
 def test_empty_input_has_zero_metrics_and_a_readable_table(spark, tmp_path):
     spark.createDataFrame([], DDL).write.parquet(str(tmp_path / "in"))
     labelled = label(spark.read.parquet(str(tmp_path / "in")), SPEC)

@@ -1,10 +1,13 @@
+import time
+
 import pytest
 
-from martloom.plans import pipeline
+from martloom.plans import cleaned, pipeline
 from martloom.plans.catalog_layers import publish
 from martloom.plans.pipeline import layer_dir, run_job
 from martloom.plans.reports import NothingPublished, Reports
 from martloom.plans.runlog import RunLog, run_history
+from martloom.session import FREES_SHUFFLES
 from martloom.sources import appended
 from martloom.sources.registry import SOURCES
 
@@ -72,6 +75,31 @@ def test_summary_and_trend(finished, rows):
     assert reports.partial_months().count() == 2
 
 
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = [f.rsplit("/", 1)[-1].strip(" )") for f in disk.getAllFiles().toString().split(",")]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("slice_bytes", [cleaned.SLICE_BYTES, 1])
+def test_a_job_leaves_no_shuffle_files(finished, spark, tmp_path, monkeypatch, rows, slice_bytes):
+    monkeypatch.setattr(cleaned, "SLICE_BYTES", slice_bytes)
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    before = shuffle_files(spark)
+    run_job(spark, raw, storage)
+    for _ in range(20):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.5)
+    assert not left
+    assert spark.conf.get(FREES_SHUFFLES) == "false"
+    reports, whole = Reports(spark, storage), finished[1]
+    assert rows(reports.quality()) == rows(whole.quality())
+    assert rows(reports.summary()) == rows(whole.summary())
+    plain = [c for c in whole.rejected("orders").columns if c not in ("_ingested_at", "_source_file")]
+    assert rows(reports.rejected("orders"), *plain) == rows(whole.rejected("orders"), *plain)
+
+
 def test_listings(finished, rows):
     _, reports = finished
     assert rows(reports.top_products(1)) == [("x1", "books", 2, 49.0)]
