@@ -11,7 +11,7 @@ from martloom.plans.reports import Reports
 from martloom.session import get_session
 
 _NO_REPORTS = {
-    "table", "published_run", "register_views", "compact", "is_upserted", "mart_folder",
+    "table", "published_run", "register_views", "compact", "prune", "is_upserted", "mart_folder",
     "cleaned_folder", "folded",
 }
 _REPORTS = sorted(
@@ -33,6 +33,8 @@ def main() -> None:
     run.add_argument("--catalog", metavar="SCHEMA", help="also publish the layers as views")
     compact = commands.add_parser("compact", help="fold the batches of upserted tables")
     compact.add_argument("--storage", required=True)
+    prune = commands.add_parser("prune", help="delete the folders of runs before the newest successful one")
+    prune.add_argument("--storage", required=True)
     report = commands.add_parser("report", help="show a report of the newest run")
     report.add_argument("name", choices=_REPORTS)
     report.add_argument("--storage", required=True)
@@ -57,6 +59,9 @@ def main() -> None:
     if args.command == "compact":
         Reports(spark, args.storage).compact()
         return
+    if args.command == "prune":
+        print(*Reports(spark, args.storage).prune(), sep="\n")
+        return
     given = {"table": args.table, "n": args.limit}
     method = getattr(Reports(spark, args.storage), args.name)
     takes = inspect.signature(method).parameters

@@ -24,6 +24,18 @@ def test_run_and_report(spark, tmp_path, monkeypatch, capsys):
     assert "null_order_id" in capsys.readouterr().out
 
 
+def test_prune_names_the_deleted_runs(spark, tmp_path, monkeypatch, capsys):
+    raw, storage = write_files(tmp_path / "raw", FILES), str(tmp_path / "storage")
+    done = []
+    for _ in range(2):
+        run(monkeypatch, "run", "--raw", raw, "--storage", storage)
+        done.append(capsys.readouterr().out.split()[0])
+    run(monkeypatch, "prune", "--storage", storage)
+    assert capsys.readouterr().out.split() == done[:1]
+    run(monkeypatch, "report", "summary", "--storage", storage)
+    assert "65.25" in capsys.readouterr().out
+
+
 def test_a_report_that_needs_a_table_says_so(monkeypatch, capsys, tmp_path):
     with pytest.raises(SystemExit):
         run(monkeypatch, "report", "rejected", "--storage", str(tmp_path))

@@ -243,6 +243,35 @@ def test_other_runs_do_not_feed_the_upsert(spark, tmp_path, monkeypatch, earlier
     assert reports.quality_trend().where("table_name = 'orders'").count() == 1 + (earlier == "batch")
 
 
+def test_pruning_keeps_what_readers_and_later_runs_use(spark, tmp_path, monkeypatch, rows):
+    storage, raw = str(tmp_path / "storage"), write_files(tmp_path / "raw", FILES)
+    reports = Reports(spark, storage)
+    fail = lambda *_: (_ for _ in ()).throw(RuntimeError("out of luck"))
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="out of luck"):
+        patch.setattr(pipeline, "build_marts", fail)
+        run_job(spark, raw, storage, mode="incremental", execution_id="failed early")
+    with pytest.raises(NothingPublished):
+        reports.prune()
+    for n in "ab":
+        run_job(spark, raw, storage, mode="incremental", execution_id=n)
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="out of luck"):
+        patch.setattr(pipeline, "build_marts", fail)
+        run_job(spark, raw, storage, execution_id="failed late")
+    (tmp_path / "storage" / "runs" / "unknown").mkdir()
+
+    def seen():
+        tables = [reports.summary(), reports.quality(), reports.reject_reasons("orders"), reports.cleaned("orders")]
+        return [rows(t) for t in (*tables, reports.cleaned("payments"), reports.log.quality(), reports.runs())]
+
+    before = seen()
+    assert reports.prune() == ["a", "failed early"]
+    assert {p.name for p in (tmp_path / "storage" / "runs").iterdir()} == {"b", "failed late", "unknown"}
+    assert seen() == before and reports.prune() == []
+    # Files that the pruned run has landed are still known.
+    assert run_job(spark, raw, storage, mode="incremental")["output_records"] == 19
+    assert reports.cleaned("orders").count() == 4
+
+
 def test_the_first_error_is_never_masked(spark, tmp_path, monkeypatch):
     def broken(*_, **__):
         raise OSError("log is gone")
